@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, *spread_by: str) -> DataF
     """One driver table. With ``spread_by`` a table of at most one split is spread over the cores
     before a generator multiplies its rows; a larger one already has a task per split."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if spread_by and df._jdf.queryExecution().analyzed().stats().sizeInBytes().longValue() <= ONE_SPLIT_BYTES:
+    if spread_by and int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes())) <= ONE_SPLIT_BYTES:
         df = df.repartition(spark.sparkContext.defaultParallelism, *spread_by)
     return df
 
