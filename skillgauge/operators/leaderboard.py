@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skillgauge import schema as sc
@@ -65,25 +66,36 @@ def wide(cells_: DataFrame, columns: Sequence[tuple[str, str]] | None = None, va
     ])
 
 
-def baseline_cells(cells_: DataFrame, baseline: str = "lr") -> DataFrame:
-    """Cells of the baseline row of each target: its alphabetically first strategy.
+def column_facts(cells_: DataFrame, baseline: str = "lr", lower_is_better: bool = True) -> DataFrame:
+    """Per (target, setting, scale): the best value and the baseline's value.
 
-    At most one row per (target, setting, scale), whatever the number of entries.
+    The baseline row of a target is its alphabetically first strategy of the baseline model; a
+    column that row lacks has no baseline value. One row per column, whatever the number of
+    entries, so the window below holds a handful of rows per target.
     """
-    own = cells_.where(F.col("model") == baseline)
-    first = own.groupBy("target").agg(F.min("val_strategy").alias("val_strategy"))
-    return own.join(first, ["target", "val_strategy"]).select("target", *COLUMN, F.col("value").alias("baseline_value"))
-
-
-def skill_cells(cells_: DataFrame, baseline: str = "lr") -> DataFrame:
-    """``1 - value / baseline`` per cell; NULL where the baseline has no cell or both are 0."""
-    base = F.col("baseline_value")
-    skill = (
-        F.when(base != 0, 1 - ratio(F.col("value"), base))
-        .when((base == 0) & (F.col("value") > 0), F.lit(float("-inf")))
-        .when((base == 0) & (F.col("value") < 0), F.lit(float("inf")))
+    best = F.min if lower_is_better else F.max
+    own = F.when(F.col("model") == baseline, F.col("val_strategy"))
+    facts = cells_.groupBy("target", *COLUMN).agg(
+        best("value").alias("best"), F.min(own).alias("strategy"), F.min_by("value", own).alias("own_value"),
+    )
+    first = F.min("strategy").over(W.partitionBy("target"))
+    return facts.select(
+        "target", *COLUMN, "best", F.when(F.col("strategy") == first, F.col("own_value")).alias("baseline_value")
+    )
+
+
+def with_facts(cells_: DataFrame, baseline: str = "lr", lower_is_better: bool = True) -> DataFrame:
+    """Cells with the best and the baseline value of their column."""
+    return cells_.join(column_facts(cells_, baseline, lower_is_better), ["target", *COLUMN])
+
+
+def skill_of(value: Column, base: Column) -> Column:
+    """``1 - value / base``; NULL without a baseline or when both are 0."""
+    return (
+        F.when(base != 0, 1 - ratio(value, base))
+        .when((base == 0) & (value > 0), F.lit(float("-inf")))
+        .when((base == 0) & (value < 0), F.lit(float("inf")))
     )
-    return cells_.join(baseline_cells(cells_, baseline), ["target", *COLUMN], "left").withColumn("skill", skill)
 
 
 def _weight(weights: dict[str, float]) -> Column:
@@ -92,30 +104,28 @@ def _weight(weights: dict[str, float]) -> Column:
     return F.coalesce(F.try_element_at(known, F.col("scale")), F.lit(1.0))
 
 
-def overall_skill(skills: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """Weighted mean over the cells an entry has."""
+def overall_of(weights: dict[str, float] | None = None) -> Column:
+    """Weighted mean skill over the cells an entry has. The window holds one row per column."""
     w = F.when(F.col("skill").isNotNull(), _weight(weights or sc.SCALE_WEIGHTS))
-    return skills.groupBy(*ENTRY).agg(ratio(F.sum(w * F.col("skill")), F.sum(w)).alias("overall"))
-
-
-def skill_scores(cells_: DataFrame, baseline: str = "lr", weights: dict[str, float] | None = None) -> DataFrame:
-    """Per cell: value, baseline, skill and the entry's overall score."""
-    skills = skill_cells(cells_, baseline)
-    return skills.join(overall_skill(skills, weights), ENTRY)
+    entry = W.partitionBy(*ENTRY)
+    # Adding 0.0 turns a negative zero into zero, as the ranking does.
+    return ratio(F.sum(w * F.col("skill")).over(entry), F.sum(w).over(entry)) + F.lit(0.0)
 
 
-def with_best(cells_: DataFrame, lower_is_better: bool = True) -> DataFrame:
-    """Attach the best value of each (target, setting, scale)."""
-    best = F.min if lower_is_better else F.max
-    return cells_.join(
-        cells_.groupBy("target", *COLUMN).agg(best("value").alias("best")), ["target", *COLUMN]
+def skill_scores(
+    cells_: DataFrame, baseline: str = "lr", weights: dict[str, float] | None = None, lower_is_better: bool = True
+) -> DataFrame:
+    """Per cell: value, best, baseline, skill and the entry's overall score."""
+    facts = with_facts(cells_, baseline, lower_is_better)
+    return facts.withColumn("skill", skill_of(F.col("value"), F.col("baseline_value"))).withColumn(
+        "overall", overall_of(weights)
     )
 
 
-def relative_to_best(cells_: DataFrame, reach: float = 0.2, lower_is_better: bool = True) -> DataFrame:
-    """Closeness to the best cell of the column and its colour."""
+def relative_to_best(facts: DataFrame, reach: float = 0.2, lower_is_better: bool = True) -> DataFrame:
+    """Closeness of each cell to the best of its column, and its colour."""
     share = fmt.closeness(F.col("value"), F.col("best"), reach, lower_is_better)
-    return with_best(cells_, lower_is_better).withColumn("closeness", share).withColumn("colour", fmt.colour(F.col("closeness")))
+    return facts.withColumn("closeness", share).withColumn("colour", fmt.colour(F.col("closeness")))
 
 
 def with_labels(df: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -142,23 +152,20 @@ def with_labels(df: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     )
 
 
-def ranked(entries: DataFrame) -> DataFrame:
-    """Place of each entry within its target by ``overall``, best first; ties share a place.
+def entry_scores(skills: DataFrame) -> DataFrame:
+    """One row per entry with its overall score."""
+    return skills.groupBy(*ENTRY).agg(F.max("overall").alias("overall"))
+
 
-    Entries without a score come last and share the place after all others.
+def with_places(skills: DataFrame) -> DataFrame:
+    """Attach the entry's ``place`` within its target by ``overall``, best first; ties share one.
+
+    An entry without a score has no place and sorts last.
     """
-    places = value_ranks(entries, ["target"], "overall", descending=True).select(
+    places = value_ranks(entry_scores(skills), ["target"], "overall", descending=True).select(
         "target", "overall", (F.col("first_rank") + 1).alias("place")
     )
-    scored = entries.groupBy("target").agg((F.count("overall") + 1).alias("after_all"))
-    # Adding 0.0 turns a negative zero into zero, as the ranking does.
-    return (
-        entries.withColumn("overall", F.col("overall") + F.lit(0.0))
-        .join(places, ["target", "overall"], "left")
-        .join(scored, "target")
-        .withColumn("place", F.coalesce("place", "after_all"))
-        .drop("after_all")
-    )
+    return skills.join(places, ["target", "overall"], "left")
 
 
 def leaderboard(
@@ -173,10 +180,8 @@ def leaderboard(
     """Long leaderboard of every target: cells with skill, texts and colour, and the entry's place."""
     if not lower_is_better:
         raise ValueError("the leaderboard assumes that lower metric values are better")
-    cells_ = cells(metrics, metric, agg)
-    skills = skill_cells(cells_, baseline)
-    entries = ranked(overall_skill(skills))
-    table = relative_to_best(skills, reach, lower_is_better).join(entries, ENTRY)
+    skills = skill_scores(cells(metrics, metric, agg), baseline)
+    table = relative_to_best(with_places(skills), reach, lower_is_better)
     return with_labels(table, labels).select(
         "target", "place", "model_label", "strategy_label", "model", "val_strategy", "setting", "scale",
         "value", "skill", "overall", "closeness",

@@ -6,9 +6,11 @@ import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from skillgauge.functions import timeparts as tp
 from skillgauge.functions.metrics import DEFAULT_METRICS, Metric, metric_columns
 from skillgauge.operators import temporal as ts
 from skillgauge.schema import EXPERIMENT, SCALES
@@ -51,6 +53,101 @@ DEFAULT_SCALES: dict[str, Scale] = {
 }
 
 
+# Where each standard scale comes from: the reporting unit and, for scales that group days, the
+# period number of a day and whether only valid days count.
+UNIT_OF = {"daily": "env", "weekly": "env", "monthly": "env", "spatial": "env",
+           "seasonal": "site_id", "anom": "site_id", "iav": "site_id"}
+PERIOD_OF: dict[str, tuple[Callable[[], Column], bool]] = {
+    "weekly": (lambda: F.unix_date(tp.week_start(F.col("day"))), False),
+    "monthly": (lambda: F.year("day") * 12 + F.month("day"), False),
+    "seasonal": (lambda: F.dayofyear("day"), True),
+    "iav": (lambda: F.year("day"), True),
+    "spatial": (lambda: F.year("day"), True),
+}
+
+
+def standard_series(frames: SeriesFrames, scales: Sequence[str]) -> DataFrame:
+    """``(keys, scale, env, y_true, y_pred)`` of the standard scales with count thresholds.
+
+    The same results as the single scale operators with fewer passes: both reporting units travel
+    through one daily frame (the unit kind is one more experiment key), the day-level scales are
+    one projection of it, and all period-level scales are one group. Everything after the daily
+    frame stays in its partitions.
+    """
+    keys, limits = [*frames.keys, "kind"], frames.thresholds
+    kinds = sorted({UNIT_OF[s] for s in scales if s in UNIT_OF})
+    parts = []
+    if "hourly" in scales:
+        parts.append(frames.rows.where(F.col("env").isNotNull()).select(
+            *frames.keys, F.lit("hourly").alias("scale"), "env", "y_true", "y_pred"))
+    if kinds:
+        by_unit = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("unit")) for k in kinds]))
+        totals = frames.totals.withColumn("u", by_unit).select("*", "u.kind", "u.unit").drop("u", "env", "site_id")
+        daily = ts.daily_frame(totals, keys, "unit", limits.hour_to_day, complete=False)
+        complete = F.col("state") != ts.NULL_PREDICTION
+    out = [*frames.keys, "scale", F.col("unit").alias("env"), "y_true", "y_pred"]
+
+    points = [s for s in ("daily", "anom") if s in scales]
+    if points:
+        is_daily = F.col("kind") == "env"
+        wanted = F.lit(False)
+        if "daily" in points:
+            wanted = wanted | is_daily
+        if "anom" in points:
+            wanted = wanted | (~is_daily & complete)
+        days = daily.where(wanted).withColumn("doy", F.dayofyear("day"))
+        if "anom" in points:
+            same_day = W.partitionBy(*keys, "slot", "unit", "doy")
+            valid = F.col("valid")
+            usual = {c: F.avg(F.when(valid, F.col(c))).over(same_day) for c in ("y_true", "y_pred")}
+            enough = F.count_if(valid).over(same_day) >= F.lit(limits.anom)
+            days = days.select(
+                *keys, "unit",
+                F.when(is_daily, F.col("y_true")).otherwise(F.col("y_true") - F.when(enough, usual["y_true"])).alias("y_true"),
+                F.when(is_daily, F.col("y_pred")).otherwise(F.col("y_pred") - usual["y_pred"]).alias("y_pred"),
+            )
+        parts.append(days.withColumn("scale", F.when(is_daily, "daily").otherwise("anom")).select(*out))
+
+    grouped = [s for s in PERIOD_OF if s in scales]
+    if grouped:
+        def periods(kind: str) -> Column:
+            entries = []
+            for s in (g for g in grouped if UNIT_OF[g] == kind):
+                number, only_valid = PERIOD_OF[s]
+                entry = F.struct(F.lit(s).alias("scale"), number().cast("int").alias("period"))
+                entries.append(F.when(F.col("valid"), entry) if only_valid else entry)
+            return F.array_compact(F.array(*entries)) if entries else None
+
+        choice = None
+        for kind in kinds:
+            if periods(kind) is not None:
+                test = F.col("kind") == kind
+                choice = F.when(test, periods(kind)) if choice is None else choice.when(test, periods(kind))
+        least = F.coalesce(*[F.when(F.col("scale") == s, F.lit(float(getattr(limits, s)))) for s in grouped])
+        years = W.partitionBy(*keys, "slot", "unit", "scale")
+        means = (
+            daily.where(complete).withColumn("p", F.explode(choice)).select("*", "p.scale", "p.period")
+            .groupBy(*keys, "slot", "unit", "scale", "period")
+            .agg(F.count_if("valid").alias("n"), F.avg("y_true").alias("y_true"), F.avg("y_pred").alias("y_pred"))
+            .withColumn("y_true", F.when(F.col("n") >= least, F.col("y_true")))
+        )
+        if {"iav", "spatial"} & set(grouped):
+            means = means.select(
+                *keys, "unit", "scale", "y_true", "y_pred",
+                F.avg("y_true").over(years).alias("mean_true"), F.avg("y_pred").over(years).alias("mean_pred"),
+                F.row_number().over(years.orderBy("period")).alias("place"),
+            ).where((F.col("scale") != "spatial") | (F.col("place") == 1))
+            for c, m in (("y_true", "mean_true"), ("y_pred", "mean_pred")):
+                means = means.withColumn(c, F.when(F.col("scale") == "iav", F.col(c) - F.col(m))
+                                         .when(F.col("scale") == "spatial", F.col(m)).otherwise(F.col(c)))
+        parts.append(means.select(*out))
+
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part)
+    return stacked
+
+
 def metrics_by_unit(
     series: DataFrame, by: Sequence[str], metrics: dict[str, Metric] | None = None
 ) -> DataFrame:
@@ -79,6 +176,11 @@ def compute_metrics(
     names = list(scales or (SCALES if registry is DEFAULT_SCALES else registry))
     frames = SeriesFrames(predictions, list(keys), thresholds or ts.Thresholds())
     stacked = None
+    limits = frames.thresholds
+    counts_only = min(limits.weekly, limits.monthly, limits.seasonal, limits.anom, limits.iav, limits.spatial) >= 1
+    if registry is DEFAULT_SCALES and counts_only and all(n in registry for n in names):
+        stacked = standard_series(frames, names)
+        names = []
     for name in names:
         if name not in registry:
             warnings.warn(f"unknown scale {name!r}; known: {sorted(registry)}", stacklevel=2)

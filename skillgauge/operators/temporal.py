@@ -178,16 +178,16 @@ def _experiment_state(days: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.count("y_true").alias("truth_days"),
         F.count_if(F.col("y_pred").isNull()).alias("null_days"),
         F.count_if(F.col("y_pred").isNull() & (F.col("n_valid") > 0)).alias("null_valid_days"),
-        F.count_if("thin").alias("thin_days"),
+        F.count(F.when(~F.col("thin"), F.col("y_true"))).alias("kept_days"),
     )
     whole = W.partitionBy(*keys)  # at most SLOTS rows
     daily = F.max("rows").over(whole) <= 1
     nulls = F.when(daily, F.sum("null_valid_days").over(whole)).otherwise(F.sum("null_days").over(whole))
-    truth = F.sum("truth_days").over(whole) - F.when(daily, 0).otherwise(F.sum("thin_days").over(whole))
+    truth = F.when(daily, F.sum("truth_days").over(whole)).otherwise(F.sum("kept_days").over(whole))
     return per_slot.select(
         *keys, "slot",
         daily.alias("daily_input"),
-        F.when(nulls > 0, NULL_PREDICTION).when(truth <= 0, NO_TRUTH).otherwise(OK).alias("state"),
+        F.when(nulls > 0, NULL_PREDICTION).when(truth == 0, NO_TRUTH).otherwise(OK).alias("state"),
     )
 
 

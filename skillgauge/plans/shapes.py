@@ -161,3 +161,85 @@ def order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         spoiled.alias("filename"),
         F.floor(F.col("o_totalprice") * 1000).cast("long").alias("bytes"),
     )
+
+
+def event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File catalogue of ``sub_events``: one file per experiment, 100 bytes per row."""
+    return sub_events(spark, sf_dir).groupBy(*EXPERIMENT).agg((F.count(F.lit(1)) * 100).alias("bytes")).select(
+        F.col("model").alias("model_id"), "val_strategy",
+        F.concat_ws("_", "setting", "target", "model", F.lit("val"), F.concat("val_strategy", F.lit("_predictions.csv"))).alias("filename"),
+        "bytes",
+    ).withColumn("path", F.col("filename"))
+
+
+def owner_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One claim per customer; every fifth names no owner."""
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("m_"), key).alias("model_id"), F.lit("mean").alias("val_strategy"),
+        F.when(key % 5 != 0, F.col("c_name")).alias("owner"),
+    )
+
+
+def owner_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recorded owners: a third agrees with the claim, a third differs, a third is unknown."""
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").where(key % 3 != 2).select(
+        F.concat(F.lit("m_"), key).alias("model_id"),
+        F.when(key % 3 == 0, F.col("c_name")).otherwise("someone else").alias("recorded_owner"),
+    )
+
+
+def registry_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON document per customer, three strategies per model, with assorted defects."""
+    key = F.col("c_custkey")
+    strategy = pick(["mean", "max", "discrepancy"], key)
+    model = F.concat(F.lit("m_"), F.floor(key / 3))
+    status = F.when(key % 13 == 0, "scored").when(key % 17 == 0, "draft").otherwise("pending")
+    folder = F.concat(model, F.lit("_val_"), strategy)
+    text = lambda name, value: F.concat(F.lit(f'"{name}":"'), value, F.lit('",'))
+    file_key = F.concat(F.lit("incoming/"), folder, F.lit("/file_"))
+    entry = lambda n: F.concat(
+        F.lit('{"filename":"file_'), F.lit(n), F.lit('","setting":"TA40"'),
+        F.when(key % 23 == 0, "").otherwise(',"target":"GPP"'),
+        F.when(key % 29 == 0, "").otherwise(F.concat(F.lit(',"r2_key":"'), file_key, F.lit(n), F.lit('"'))),
+        F.lit("}"),
+    )
+    doc = F.concat(
+        F.lit("{"), text("model_id", model), text("display_name", F.col("c_name")),
+        F.when(key % 7 == 0, "").otherwise('"email":null,'),
+        F.lit('"description":null,"code_url":null,"paper_url":null,'),
+        text("owner", F.col("c_name")), text("val_strategy", strategy),
+        F.when(key % 11 == 0, "").otherwise('"submitted_at":"2024-01-01",'),
+        F.lit('"is_baseline":false,'), text("status", status),
+        F.lit('"files":['),
+        F.when(key % 19 == 0, "").otherwise(F.concat(entry("0"), F.lit(","), entry("1"))),
+        F.lit("]}"),
+    )
+    return table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("submissions/"), folder, F.lit("/metadata.json")).alias("path"), doc.alias("doc")
+    )
+
+
+def stored_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Object keys present in storage: both files of a submission, unless lost."""
+    key = F.col("c_custkey")
+    folder = F.concat(
+        F.lit("incoming/m_"), F.floor(key / 3), F.lit("_val_"), pick(["mean", "max", "discrepancy"], key), F.lit("/file_")
+    )
+    numbers = F.when(key % 31 == 0, F.array(F.lit("0"))).when(key % 37 == 0, F.array().cast("array<string>")).otherwise(
+        F.array(F.lit("0"), F.lit("1")))
+    return table(spark, sf_dir, "customer").select(folder.alias("folder"), F.explode(numbers).alias("n")).select(
+        F.concat("folder", "n").alias("path")
+    )
+
+
+def model_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Display labels of the derived models, named after nations; one holds for every strategy."""
+    key = F.col("n_nationkey")
+    return table(spark, sf_dir, "nation").where(key < 3).select(
+        pick(["xgb", "ridge", "lr"], key).alias("model_id"),
+        F.when(key != 2, "mean").alias("val_strategy"),
+        F.col("n_name").alias("display_name"),
+        F.when(key == 0, "cv-mean").otherwise("").alias("val_strategy_display"),
+    )

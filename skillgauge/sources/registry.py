@@ -16,7 +16,7 @@ def read_registry(spark: SparkSession, folder: str, one_per_file: bool = True) -
 
 
 def stream_registry(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as they arrive, one per line."""
-    return spark.readStream.schema(REGISTRY_STREAM_SCHEMA).option("pathGlobFilter", "*.json").text(folder).select(
+    """Documents as they arrive, one per line of any new file."""
+    return spark.readStream.schema(REGISTRY_STREAM_SCHEMA).text(folder).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("doc")
     )

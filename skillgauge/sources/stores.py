@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillgauge.operators.truth import truth_manifest
 from skillgauge.schema import EXPERIMENT, METRICS_SCHEMA, TRUTH_SCHEMA
+from skillgauge.session import shared_folder
 
 METRIC_PARTITIONS = ["target", "setting", "model", "val_strategy"]
 
@@ -88,5 +91,16 @@ def load_all_metrics(
     return shown.where(F.col("scale").isin(list(scales))) if scales else shown
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a result to the shared folder and read it back.
+
+    Cuts the lineage where a costly result is used many times, and survives lost executors.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def write_leaderboard(table: DataFrame, path: str) -> None:
     _replace_partitions(table, path, ["target", "aggregate"])
