@@ -38,6 +38,10 @@ def is_close(a: Column, b: Column, rtol: float, atol: float) -> Column:
     return F.coalesce(comparable & ((a == b) | (both_finite & within)), F.lit(False))
 
 
+# Moves exact ties (x.xxxxxx5) off the rounding edge, where the last bit of a sum would decide.
+TIE_BREAK = 1e-10
+
+
 def tidy(col: Column, digits: int = 6) -> Column:
     """Rounded value without NaN or negative zero, for stable comparisons."""
-    return F.round(nan_to_null(col), digits) + F.lit(0.0)
+    return F.round(nan_to_null(col) + F.lit(TIE_BREAK), digits) + F.lit(0.0)

@@ -18,6 +18,7 @@ from skillgauge.functions.numeric import is_close, is_infinite, ratio
 from skillgauge.operators.ranking import first_rows
 from skillgauge.operators.truth import TRUTH_KEYS
 from skillgauge.schema import EXPERIMENT, SETTINGS, TARGETS
+from skillgauge.sources.stores import stage
 
 SUBMISSION = ["model_id", "val_strategy"]
 CHECKS = ["files", "content_caps", "index_completeness", "ytrue_integrity", "ownership"]
@@ -165,14 +166,16 @@ def file_profile(rows: DataFrame, truth: DataFrame, config: ValidationConfig = V
 def index_examples(rows: DataFrame, truth: DataFrame, profile: DataFrame, n: int = EXAMPLES) -> DataFrame:
     """The first ``n`` missing and extra keys of every file that has any.
 
-    Only the truth of files known to miss rows is compared key by key.
+    Only files known to have missing or extra keys are compared key by key.
     """
     keys = ["site_id", "time"]
     submitted = rows.select(*EXPERIMENT, *keys)
-    extra = submitted.join(truth.select(*TRUTH_KEYS), TRUTH_KEYS, "left_anti").distinct()
+    surplus = profile.where(F.col("n_extra") > 0).select(*EXPERIMENT)
+    extra = submitted.join(surplus, EXPERIMENT, "left_semi").join(
+        truth.select(*TRUTH_KEYS), TRUTH_KEYS, "left_anti").distinct()
     incomplete = profile.where(F.col("n_missing") > 0).select(*EXPERIMENT)
     missing = truth.select(*TRUTH_KEYS).join(incomplete, ["setting", "target"]).join(
-        submitted, [*EXPERIMENT, *keys], "left_anti"
+        submitted.join(incomplete, EXPERIMENT, "left_semi"), [*EXPERIMENT, *keys], "left_anti"
     )
     sides = extra.withColumn("side", F.lit("extra")).unionByName(missing.withColumn("side", F.lit("missing")))
     picked = first_rows(sides, [*EXPERIMENT, "side"], [F.col("site_id"), F.col("time")], n, "time")
@@ -308,11 +311,14 @@ def validate(
     owners: DataFrame,
     config: ValidationConfig = ValidationConfig(),
 ) -> DataFrame:
-    """All checks of all submissions: the report of ``report``."""
+    """All checks of all submissions: the report of ``report``.
+
+    The counters, one row per file, feed four checks and are staged once.
+    """
     judged = judge_files(files)
     accepted = accepted_files(judged)
     fit = readable_rows(rows, accepted, config)
-    profile = file_profile(fit, truth, config)
+    profile = stage(file_profile(fit, truth, config), "profile")
     found = check_files(judged)
     for part in (
         check_sizes(accepted, config),

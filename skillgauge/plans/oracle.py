@@ -16,7 +16,7 @@ def _with(*ctes: str, body: str) -> str:
 
 
 def _r(expr: str, name: str | None = None, digits: int = 6) -> str:
-    return f"round({expr}, {digits}) + 0.0" + (f" AS {name}" if name else "")
+    return f"round(({expr}) + 1e-10::DOUBLE, {digits}) + 0.0" + (f" AS {name}" if name else "")
 
 
 def _pick(values: list[str], index: str) -> str:
@@ -50,7 +50,7 @@ TRUTH = f"""truth AS (
 _SUB_COLS = (
     f"{_pick(SETTINGS, 'event_id')} AS setting, 'GPP' AS target, 'mean' AS val_strategy, CAST(user_id AS VARCHAR) AS env, "
     'CAST(user_id AS VARCHAR) AS site_id, ts AS "time", value AS y_true, value * CAST(0.8 AS DOUBLE) + event_id % 11 AS y_pred, event_id')
-SUB = f"""base AS (SELECT {_SUB_COLS} FROM events),
+_SUB = f"""base AS (SELECT {_SUB_COLS} FROM events),
 sub AS (
   SELECT 'clean' AS model, * FROM base
   UNION ALL SELECT 'short', * FROM base WHERE event_id % 97 <> 0
@@ -58,9 +58,11 @@ sub AS (
   UNION ALL SELECT 'late', * REPLACE (TIMESTAMP '1999-01-01 00:00:00' AS "time") FROM base WHERE event_id % 1009 = 0
   UNION ALL SELECT 'shifted', * REPLACE (CASE WHEN event_id % 89 = 0 THEN y_true + 5 ELSE y_true END AS y_true) FROM base
   UNION ALL SELECT 'broken', * REPLACE (CASE WHEN event_id % 503 = 0 THEN 'NaN'::DOUBLE WHEN event_id % 509 = 0
-    THEN 'Infinity'::DOUBLE WHEN event_id % 521 = 0 THEN 1e12 ELSE y_pred END AS y_pred) FROM base
+    THEN 'Infinity'::DOUBLE WHEN event_id % 521 = 0 THEN @BIG ELSE y_pred END AS y_pred) FROM base
   UNION ALL SELECT 'copied', * FROM base
   UNION ALL SELECT 'copied', * FROM base WHERE event_id % 701 = 0)"""
+SUB = _SUB.replace("@BIG", "1e12")
+SCORED_SUB = _SUB.replace("@BIG", "1000.0")
 # Submissions with the canonical truth in place of their own, NaN as NULL.
 JOINED = f"""pred AS (
   SELECT s.setting, s.target, s.model, s.val_strategy, s.env, s.site_id, s."time",
@@ -320,7 +322,7 @@ faults AS (
 # --------------------------------------------------------------------- incremental
 
 EVENT_METRICS = [
-    TRUTH, SUB, JOINED, _daily("env", 1, "daily_env"),
+    TRUTH, SCORED_SUB, JOINED, _daily("env", 1, "daily_env"),
     f"broken_days AS (SELECT DISTINCT {EXP} FROM daily_env WHERE yp IS NULL)",
     _stack(["hourly", "daily", "weekly", "monthly"], 2, 2,
            "NOT EXISTS (SELECT 1 FROM broken_days b WHERE b.model = x.model AND b.setting = x.setting AND b.target = x.target AND b.val_strategy = x.val_strategy)"),
@@ -403,13 +405,14 @@ ORACLE: dict[str, str] = {
   LEFT JOIN own o ON o.model_id = c.model_id AND o.check_name = c.check_name"""),
     "regression_compare": _with(
         *MODEL_METRICS,
-        """pairs AS (UNPIVOT (SELECT target, setting, model, val_strategy, scale, env, mse, rmse, mae, coalesce(nse, 'NaN'::DOUBLE) AS nse, coalesce(r2_score, 'NaN'::DOUBLE) AS r2_score, bias FROM metrics)
+        """pairs AS (UNPIVOT (SELECT target, setting, model, val_strategy, scale, env, """ + ", ".join(
+            f"coalesce({m}, 'NaN'::DOUBLE) AS {m}" for m in ("mse", "rmse", "mae", "nse", "r2_score", "bias")) + """ FROM metrics)
   ON mse, rmse, mae, nse, r2_score, bias INTO NAME metric VALUE a)""",
-        """both AS (SELECT *, CASE WHEN metric = 'rmse' AND env LIKE 'A%' THEN a * 1.0001::DOUBLE WHEN metric = 'nse' AND scale = 'weekly' AND env LIKE '%1996' THEN 'NaN'::DOUBLE ELSE a END AS b FROM pairs)""",
+        """pair AS (SELECT *, CASE WHEN metric = 'rmse' AND env LIKE 'A%' THEN a * 1.0001::DOUBLE WHEN metric = 'nse' AND scale = 'weekly' AND env LIKE '%1996' THEN 'NaN'::DOUBLE ELSE a END AS b FROM pairs)""",
         body=f"""SELECT {EXP}, metric, count(*) AS cells,
   count(*) FILTER (isfinite(a) <> isfinite(b)) + count(*) FILTER (isfinite(a) AND isfinite(b) AND abs(a - b) > 1e-9 + 1e-6 * abs(b)) AS mismatches,
   {_r("coalesce(max(CASE WHEN isfinite(a) AND isfinite(b) AND abs(b) > 1e-8 THEN abs(a - b) / abs(b) END), 0)", 'worst_relative')}
-  FROM both GROUP BY ALL"""),
+  FROM pair GROUP BY ALL"""),
     "leaderboard_cells_median": _with(*BOARD, _cells(), body=f"SELECT * REPLACE ({_r('value')} AS value) FROM cells"),
     "leaderboard_cells_q90": _with(*BOARD, _cells(0.9), body=f"SELECT * REPLACE ({_r('value')} AS value) FROM cells"),
     "leaderboard_cells_mean": _with(*BOARD, _cells(None), body=f"SELECT * REPLACE ({_r('value')} AS value) FROM cells"),

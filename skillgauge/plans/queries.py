@@ -195,7 +195,7 @@ def truth_coverage(spark, sf):
 
 def truth_join_score(spark, sf):
     metrics = truth.score_against_truth(
-        clean_predictions(shapes.sub_events(spark, sf)), shapes.truth_events(spark, sf),
+        clean_predictions(shapes.scored_events(spark, sf)), shapes.truth_events(spark, sf),
         scales=EVENT_SCALES, thresholds=EVENT_THRESHOLDS,
     )
     return _metrics(metrics)
@@ -229,7 +229,8 @@ def check_content(spark, sf):
 
 def check_index(spark, sf):
     rows, ref = shapes.sub_events(spark, sf), shapes.truth_events(spark, sf)
-    return validation.check_index(validation.file_profile(rows, ref), validation.index_examples(rows, ref, _profile(spark, sf)))
+    profile = stage(validation.file_profile(rows, ref), "profile")
+    return validation.check_index(profile, validation.index_examples(rows, ref, profile))
 
 
 def check_integrity(spark, sf):
@@ -385,7 +386,7 @@ def incremental_score(spark, sf):
     """Metrics of the pending submissions that can be scored as a whole."""
     pending = registry.pending(_event_registry(spark, sf)).withColumnRenamed("model_id", "model")
     metrics, _ = incremental.score_submissions(
-        pending, clean_predictions(shapes.sub_events(spark, sf)), shapes.truth_events(spark, sf),
+        pending, clean_predictions(shapes.scored_events(spark, sf)), shapes.truth_events(spark, sf),
         scales=EVENT_SCALES, thresholds=EVENT_THRESHOLDS)
     return _metrics(metrics)
 
@@ -393,7 +394,7 @@ def incremental_score(spark, sf):
 def incremental_status(spark, sf):
     pending = registry.pending(_event_registry(spark, sf)).withColumnRenamed("model_id", "model")
     _, status = incremental.score_submissions(
-        pending, clean_predictions(shapes.sub_events(spark, sf)), shapes.truth_events(spark, sf),
+        pending, clean_predictions(shapes.scored_events(spark, sf)), shapes.truth_events(spark, sf),
         scales=EVENT_SCALES, thresholds=EVENT_THRESHOLDS)
     return status
 
@@ -404,7 +405,7 @@ def incremental_stream(spark, sf):
     _event_registry(spark, sf).select(F.col("doc").alias("value")).write.mode("overwrite").option("compression", "none").format("text").save(f"{root}/docs")
     store = incremental.Store(root)
     incremental.run_stream(
-        spark, f"{root}/docs", store, clean_predictions(shapes.sub_events(spark, sf)), shapes.truth_events(spark, sf),
+        spark, f"{root}/docs", store, clean_predictions(shapes.scored_events(spark, sf)), shapes.truth_events(spark, sf),
         scales=EVENT_SCALES, thresholds=EVENT_THRESHOLDS).awaitTermination()
     from skillgauge.sources.stores import read_metrics
 

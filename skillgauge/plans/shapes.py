@@ -105,8 +105,11 @@ def truth_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sub_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Submissions over the events truth: one clean model and one per kind of tampering."""
+def sub_events(spark: SparkSession, sf_dir: str, outlier: float = 1e12) -> DataFrame:
+    """Submissions over the events truth: one clean model and one per kind of tampering.
+
+    ``outlier`` is the large prediction of the broken model, over the magnitude cap by default.
+    """
     events = table(spark, sf_dir, "events")
     eid = F.col("event_id")
     base = events.select(
@@ -125,7 +128,7 @@ def sub_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shifted": base.withColumn("y_true", F.when(eid % 89 == 0, F.col("y_true") + 5).otherwise(F.col("y_true"))),
         "broken": base.withColumn(
             "y_pred",
-            F.when(eid % 503 == 0, nan).when(eid % 509 == 0, inf).when(eid % 521 == 0, F.lit(1e12)).otherwise(F.col("y_pred")),
+            F.when(eid % 503 == 0, nan).when(eid % 509 == 0, inf).when(eid % 521 == 0, F.lit(outlier)).otherwise(F.col("y_pred")),
         ),
         "copied": base.unionByName(base.where(eid % 701 == 0)),
     }
@@ -243,3 +246,8 @@ def model_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("display_name"),
         F.when(key == 0, "cv-mean").otherwise("").alias("val_strategy_display"),
     )
+
+
+def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sub_events`` with an outlier that keeps six decimals of the metrics meaningful."""
+    return sub_events(spark, sf_dir, outlier=1000.0)
