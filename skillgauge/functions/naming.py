@@ -21,16 +21,21 @@ def base_name(path: Column) -> Column:
 
 
 def parse_file_name(name: Column) -> Column:
-    """Struct (setting, target, model, val_strategy, is_raw); NULL when the name does not match."""
-    part = lambda i: F.regexp_extract(name, FILE_PATTERN, i)
+    """Struct (setting, target, model, val_strategy, is_raw); NULL when the name does not match.
+
+    One pass of the pattern: it rewrites a matching name to its parts, and a name that does not
+    match stays a single part.
+    """
+    parts = F.split(F.regexp_replace(name, FILE_PATTERN, "$1\u0001$2\u0001$3\u0001$4\u0001$5"), "\u0001")
+    part = lambda i: F.element_at(parts, i + 1)
     return F.when(
-        name.rlike(FILE_PATTERN),
+        F.size(parts) == 5,
         F.struct(
-            part(1).alias("setting"),
-            part(2).alias("target"),
-            part(3).alias("model"),
-            part(4).alias("val_strategy"),
-            (part(5) != "").alias("is_raw"),
+            part(0).alias("setting"),
+            part(1).alias("target"),
+            part(2).alias("model"),
+            part(3).alias("val_strategy"),
+            (part(4) != "").alias("is_raw"),
         ),
     )
 

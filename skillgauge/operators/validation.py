@@ -43,9 +43,13 @@ def _quoted(col: Column) -> Column:
 
 
 def messages(df: DataFrame, check: str, severity: str = "error", **texts: Column) -> DataFrame:
-    """One row per non-NULL text."""
+    """One row per non-NULL text.
+
+    The outer form keeps the texts out of inferred filters, where each would be built again.
+    """
     return (
-        df.select(*SUBMISSION, F.explode(F.array_compact(F.array(*texts.values()))).alias("message"))
+        df.select(*SUBMISSION, F.explode_outer(F.array(*texts.values())).alias("message"))
+        .where(F.col("message").isNotNull())
         .select(*SUBMISSION, F.lit(check).alias("check_name"), F.lit(severity).alias("severity"), "message")
     )
 
@@ -53,25 +57,32 @@ def messages(df: DataFrame, check: str, severity: str = "error", **texts: Column
 # --------------------------------------------------------------------- files
 
 
-def judge_files(files: DataFrame) -> DataFrame:
-    """Each file with its parsed name and ``verdict``: ok, unparsed, wrong_model, wrong_strategy
-    or duplicate. ``files`` is (model_id, val_strategy, path, filename, ...); among files of one
-    (setting, target) the first path counts.
+def name_files(files: DataFrame) -> DataFrame:
+    """Each file with its parsed name and ``verdict``: ok, unparsed, wrong_model or wrong_strategy.
+
+    ``files`` is (model_id, val_strategy, path, filename, ...).
     """
-    named = files.withColumn("named", parse_file_name(F.col("filename"))).select(
+    return files.withColumn("named", parse_file_name(F.col("filename"))).select(
         *files.columns, F.col("named.setting").alias("setting"), F.col("named.target").alias("target"),
         F.col("named.model").alias("named_model"), F.col("named.val_strategy").alias("named_strategy"),
-        F.when(F.col("named").isNull(), "unparsed")
-        .when(F.col("named.model") != F.col("model_id"), "wrong_model")
-        .when(F.col("named.val_strategy") != F.col("val_strategy"), "wrong_strategy")
-        .otherwise("ok").alias("verdict"),
+    ).withColumn(
+        "verdict",
+        F.when(F.col("setting").isNull(), "unparsed")
+        .when(F.col("named_model") != F.col("model_id"), "wrong_model")
+        .when(F.col("named_strategy") != F.col("val_strategy"), "wrong_strategy")
+        .otherwise("ok"),
     )
+
+
+def judge_files(files: DataFrame) -> DataFrame:
+    """``name_files`` plus the verdict ``duplicate``: of the files of one (setting, target) the
+    first path counts."""
+    named = name_files(files)
     combo = [*SUBMISSION, "setting", "target"]
-    first = (
-        named.where(F.col("verdict") == "ok")
-        .groupBy(*combo)
-        .agg(F.min(F.struct("path", "filename")).alias("first"))
-    )
+    # A condition inside the aggregate, not a filter: a filter on the verdict would be pushed below
+    # the name parsing and parse every name again.
+    fit = F.when(F.col("verdict") == "ok", F.struct("path", "filename"))
+    first = named.groupBy(*combo).agg(F.min(fit).alias("first"))
     return named.join(first, combo, "left").withColumn(
         "verdict",
         F.when((F.col("verdict") == "ok") & (F.col("path") != F.col("first.path")), "duplicate").otherwise(F.col("verdict")),
@@ -85,7 +96,7 @@ def accepted_files(judged: DataFrame) -> DataFrame:
 def missing_combos(judged: DataFrame) -> DataFrame:
     """Submissions that lack a required (setting, target), with the missing ones as sorted text."""
     every = F.array(*[F.lit(f"{s} x {t}") for s in sorted(SETTINGS) for t in sorted(TARGETS)])
-    have = F.collect_set(F.when(F.col("verdict") == "ok", _tag(F.col("setting"), F.col("target"))))  # at most 9
+    have = F.collect_set(F.when(F.col("verdict").isin("ok", "duplicate"), _tag(F.col("setting"), F.col("target"))))  # at most 9
     return (
         judged.groupBy(*SUBMISSION).agg(have.alias("have"))
         .withColumn("missing", F.array_sort(F.array_except(every, F.col("have"))))
@@ -313,9 +324,9 @@ def validate(
 ) -> DataFrame:
     """All checks of all submissions: the report of ``report``.
 
-    The counters, one row per file, feed four checks and are staged once.
+    File verdicts and counters, one row per file each, feed several checks and are staged once.
     """
-    judged = judge_files(files)
+    judged = stage(judge_files(files), "files")
     accepted = accepted_files(judged)
     fit = readable_rows(rows, accepted, config)
     profile = stage(file_profile(fit, truth, config), "profile")

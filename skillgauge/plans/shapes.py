@@ -110,33 +110,29 @@ def sub_events(spark: SparkSession, sf_dir: str, outlier: float = 1e12) -> DataF
 
     ``outlier`` is the large prediction of the broken model, over the magnitude cap by default.
     """
-    events = table(spark, sf_dir, "events")
-    eid = F.col("event_id")
-    base = events.select(
-        "event_id", setting_of(eid).alias("setting"), F.lit("GPP").alias("target"),
-        F.lit("mean").alias("val_strategy"), F.col("user_id").cast("string").alias("env"),
-        F.col("user_id").cast("string").alias("site_id"), F.col("ts").alias("time"),
-        F.col("value").alias("y_true"), (F.col("value") * 0.8 + F.pmod(eid, F.lit(11))).alias("y_pred"),
-    )
-    nan, inf = F.lit(float("nan")), F.lit(float("inf"))
-    kinds = {
-        "clean": base,
-        "short": base.where(eid % 97 != 0),
-        "late": base.unionByName(
-            base.where(eid % 1009 == 0).withColumn("time", F.lit("1999-01-01 00:00:00").cast("timestamp_ntz"))
-        ),
-        "shifted": base.withColumn("y_true", F.when(eid % 89 == 0, F.col("y_true") + 5).otherwise(F.col("y_true"))),
-        "broken": base.withColumn(
-            "y_pred",
-            F.when(eid % 503 == 0, nan).when(eid % 509 == 0, inf).when(eid % 521 == 0, F.lit(outlier)).otherwise(F.col("y_pred")),
-        ),
-        "copied": base.unionByName(base.where(eid % 701 == 0)),
-    }
-    stacked = None
-    for model, rows in kinds.items():
-        part = rows.withColumn("model", F.lit(model))
-        stacked = part if stacked is None else stacked.unionByName(part)
-    return stacked.select(*EXPERIMENT, "env", "site_id", "time", "y_true", "y_pred")
+    eid, kind = F.col("event_id"), F.col("kind")
+    # (model, kind of its rows); the last two add rows to a model.
+    variants = F.inline(F.array(*[
+        F.struct(F.lit(m).alias("model"), F.lit(k).alias("kind"), F.lit("GPP").alias("target"), F.lit("mean").alias("val_strategy"))
+        for m, k in [("clean", ""), ("short", "short"), ("late", ""), ("shifted", "shifted"), ("broken", "broken"),
+                     ("copied", ""), ("late", "old"), ("copied", "again")]
+    ]))
+    rows = table(spark, sf_dir, "events", "event_id").select("*", variants).where(
+        F.when(kind == "short", eid % 97 != 0).when(kind == "old", eid % 1009 == 0).when(kind == "again", eid % 701 == 0)
+        .otherwise(F.lit(True))
+    )
+    y_pred = F.col("value") * 0.8 + F.pmod(eid, F.lit(11))
+    spoiled = (
+        F.when(eid % 503 == 0, F.lit(float("nan"))).when(eid % 509 == 0, F.lit(float("inf")))
+        .when(eid % 521 == 0, F.lit(outlier)).otherwise(y_pred)
+    )
+    site = F.col("user_id").cast("string")
+    return rows.select(
+        setting_of(eid).alias("setting"), "target", "model", "val_strategy", site.alias("env"), site.alias("site_id"),
+        F.when(kind == "old", F.lit("1999-01-01 00:00:00").cast("timestamp_ntz")).otherwise(F.col("ts")).alias("time"),
+        F.when((kind == "shifted") & (eid % 89 == 0), F.col("value") + 5).otherwise(F.col("value")).alias("y_true"),
+        F.when(kind == "broken", spoiled).otherwise(y_pred).alias("y_pred"),
+    )
 
 
 def quota_events(spark: SparkSession, sf_dir: str) -> DataFrame:
