@@ -170,3 +170,41 @@ def bodies(batch, name: str = "body") -> list[bytes]:
 
 def crc_class(modulus: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
+
+
+class Lookup:
+    """Distinct 64-bit keys to their positions, by open addressing; read-only and cheap to broadcast."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, int(4 * max(1, len(keys)) - 1).bit_length())
+        self.slots = np.zeros(1 << self.bits, dtype=_U)
+        self.places = np.full(1 << self.bits, -1, dtype=np.int32)
+        self.reach = 1
+        at, left = self._home(keys), np.arange(len(keys))
+        while len(left):
+            free = self.places[at] < 0
+            spots, who = np.unique(at[free], return_index=True)
+            won = np.flatnonzero(free)[who]
+            self.places[spots], self.slots[spots] = left[won], keys[left[won]]
+            stay = np.ones(len(left), dtype=bool)
+            stay[won] = False
+            left, at = left[stay], (at[stay] + 1) & ((1 << self.bits) - 1)
+            self.reach += 1
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return (mix(keys, 21) >> _U(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Position of each key, -1 where it is missing."""
+        at = self._home(keys)
+        out = np.where((self.slots[at] == keys) & (self.places[at] >= 0), self.places[at], -1)
+        open_ = np.flatnonzero((out < 0) & (self.places[at] >= 0))
+        for _ in range(self.reach):
+            if not len(open_):
+                break
+            at[open_] = (at[open_] + 1) & ((1 << self.bits) - 1)
+            place = self.places[at[open_]]
+            hit = (place >= 0) & (self.slots[at[open_]] == keys[open_])
+            out[open_[hit]] = place[hit]
+            open_ = open_[~hit & (place >= 0)]
+        return out
