@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+from skillgauge.llm.bpe import op8_bpe
+from skillgauge.llm.decontaminate import op6_decontaminate
+from skillgauge.llm.hmm import op10_hmm
+from skillgauge.llm.jaccard_join import op4_jaccard_join
+from skillgauge.llm.language_id import op2_language_id
 from skillgauge.llm.substring_dedup import op7_substring_dedup
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
+    "op4_jaccard_join": op4_jaccard_join,
+    "op6_decontaminate": op6_decontaminate,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_bpe": op8_bpe,
+    "op10_hmm": op10_hmm,
 }
 
 ORACLE: dict[str, str] = {}
