@@ -7,15 +7,39 @@ from skillgauge.llm.decontaminate import op6_decontaminate
 from skillgauge.llm.hmm import op10_hmm
 from skillgauge.llm.jaccard_join import op4_jaccard_join
 from skillgauge.llm.language_id import op2_language_id
+from skillgauge.llm.line_dedup import op9_line_dedup
 from skillgauge.llm.substring_dedup import op7_substring_dedup
+from skillgauge.llm.token_rollup import ORACLE as TOKEN_COUNTS
+from skillgauge.llm.token_rollup import op5_token_counts
+from skillgauge.llm.vector_search import op1_vector_search
+from skillgauge.llm.warc import op3_warc
 
 QUERIES = {
+    "op1_vector_search": op1_vector_search,
     "op2_language_id": op2_language_id,
+    "op3_warc": op3_warc,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_token_counts": op5_token_counts,
     "op6_decontaminate": op6_decontaminate,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_bpe": op8_bpe,
+    "op9_line_dedup": op9_line_dedup,
     "op10_hmm": op10_hmm,
 }
 
-ORACLE: dict[str, str] = {}
+_VECTORS = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_vector_search": _VECTORS,
+    "op5_token_counts": TOKEN_COUNTS,
+}
