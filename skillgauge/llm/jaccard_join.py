@@ -216,7 +216,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
         (F.col("x.head") < F.col("y.head"))
         & ((F.col("x.low") != F.col("y.high")) | (F.col("x.high") != F.col("y.low")))
         & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-        & ((100 + percent) * (1 + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) - 1)
+        & ((100 + percent) * F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
            >= percent * (F.col("x.n") + F.col("y.n")))
     )
     group_pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & fits).select(F.col("x.head").alias("g"), F.col("y.head").alias("h")).distinct()
@@ -236,5 +236,13 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
+def keep_first(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, less the documents linked to one of a smaller id.
+    Rows sharing a ``doc_id`` share the decision; rows without one stay."""
+    found = jaccard_components(docs, size, percent)
+    later = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_later")).distinct()
+    return docs.join(later, docs["doc_id"] == later["_later"], "left_anti")
+
+
 def op4_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))

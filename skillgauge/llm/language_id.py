@@ -176,33 +176,36 @@ def train(docs: DataFrame) -> Filters:
     return Filters(langs, masks)
 
 
+def predict(texts: list[str | None], filters: Filters) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text."""
+    n_langs = len(filters.langs)
+    total, counts = np.zeros(len(texts), dtype=np.int64), np.zeros((len(texts), n_langs), dtype=np.int64)
+    for rows, codes in trigrams(texts):
+        if not len(rows):
+            continue
+        first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+        own, ends = rows[first], np.append(first[1:], len(rows))
+        total[own] += ends - first
+        masks = filters.languages(codes)
+        for i in range(n_langs):
+            running = np.concatenate([[0], np.cumsum(masks[:, i >> 3] >> (i & 7) & 1, dtype=np.int64)])
+            counts[own, i] += running[ends] - running[first]
+    known, score, best = total > 0, np.zeros(len(texts)), np.zeros(len(texts), dtype=int)
+    if not n_langs:
+        return [UNKNOWN] * len(texts), score
+    corrected = np.clip((counts - total[:, None] * filters.false) / (1 - np.minimum(filters.false, 0.999)), 0, None)
+    best = corrected.argmax(axis=1)
+    score[known] = np.minimum(1.0, corrected[np.arange(len(texts)), best][known] / total[known])
+    return [filters.langs[b] if k else UNKNOWN for b, k in zip(best, known)], score
+
+
 def _predict(shared):
     schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
     def run(batches):
-        filters = shared.value
-        n_langs = len(filters.langs)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            total, counts = np.zeros(len(texts), dtype=np.int64), np.zeros((len(texts), n_langs), dtype=np.int64)
-            for rows, codes in trigrams(texts):
-                if not len(rows):
-                    continue
-                first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-                own, ends = rows[first], np.append(first[1:], len(rows))
-                total[own] += ends - first
-                masks = filters.languages(codes)
-                for i in range(n_langs):
-                    running = np.concatenate([[0], np.cumsum(masks[:, i >> 3] >> (i & 7) & 1, dtype=np.int64)])
-                    counts[own, i] += running[ends] - running[first]
-            corrected = np.clip((counts - total[:, None] * filters.false) / (1 - np.minimum(filters.false, 0.999)), 0, None)
-            known = (total > 0) & (n_langs > 0)
-            best = corrected.argmax(axis=1) if n_langs else np.zeros(len(texts), dtype=int)
-            score = np.zeros(len(texts))
-            if n_langs:
-                score[known] = np.minimum(1.0, corrected[np.arange(len(texts)), best][known] / total[known])
-            names = [filters.langs[b] if k else UNKNOWN for b, k in zip(best, known)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(names), pa.array(score)], schema=schema)
+            names, score = predict(batch.column("text").to_pylist(), shared.value)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(names, pa.string()), pa.array(score)], schema=schema)
 
     return run
 
@@ -220,3 +223,17 @@ def op2_language_id(spark, sf_dir: str) -> DataFrame:
     filters = train(docs.where(W.crc_class(4) != 2))
     return identify(docs, filters).withColumn("held_out", F.coalesce(W.crc_class(4) == 2, F.lit(False))).select(
         "doc_id", "held_out", "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, filters: Filters, min_score: float = 0.2) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, but those predicted ``und`` or with fewer than
+    ``min_score`` of their trigrams in the predicted language."""
+    W.small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(filters)
+
+    def run(batches):
+        for batch in batches:
+            names, score = predict(batch.column("text").cast(pa.string()).to_pylist(), shared.value)
+            yield batch.filter(pa.array([n != UNKNOWN and s >= min_score for n, s in zip(names, score)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
