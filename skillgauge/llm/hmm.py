@@ -238,7 +238,7 @@ def _seed(texts: list[np.ndarray], states: int, unigram: np.ndarray) -> Model:
         return (counts + 50.0 * unigram[:, None]) / (counts.sum(axis=0) + 50.0)
 
     def gains(emit):
-        log = np.log(emit / unigram[:, None])
+        log = np.log(np.maximum(emit, 1e-300) / np.maximum(unigram, 1e-300)[:, None])  # unused symbols: any number
         return np.array([(log[s] * n[:, None]).sum(axis=0) / n.sum() for s, n in bags])
 
     if texts:
