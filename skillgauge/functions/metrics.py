@@ -44,15 +44,24 @@ def bias(yt: Column, yp: Column) -> Column:
     return F.avg(-_error(yt, yp))
 
 
+# A mean this small beside the mean size of its values is zero but for rounding, as that of anomalies is.
+_ZERO_MEAN = 1e-9
+
+
+def _relative(error: Column, obs: Column) -> Column:
+    """``error`` over the signed mean of the observations; NULL where that mean is zero."""
+    mean = F.avg(obs)
+    return F.when(F.abs(mean) > F.lit(_ZERO_MEAN) * F.avg(F.abs(obs)), ratio(error, mean))
+
+
 def relative_mae(yt: Column, yp: Column) -> Column:
-    """Mean absolute error over the signed mean of the observations."""
     obs, pred = _finite_pair(yt, yp)
-    return ratio(F.avg(F.abs(pred - obs)), F.avg(obs))
+    return _relative(F.avg(F.abs(pred - obs)), obs)
 
 
 def relative_bias(yt: Column, yp: Column) -> Column:
     obs, pred = _finite_pair(yt, yp)
-    return ratio(F.avg(-(pred - obs)), F.avg(obs))
+    return _relative(F.avg(-(pred - obs)), obs)
 
 
 def nse(yt: Column, yp: Column) -> Column:

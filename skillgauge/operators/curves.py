@@ -12,7 +12,7 @@ from skillgauge.operators.leaderboard import QUANTILES
 from skillgauge.operators.ranking import exact_quantile, value_ranks
 from skillgauge.schema import HIGHER_IS_BETTER, LEADERBOARD_SCALES, MODEL_ORDER, SETTINGS_ORDER, listed_position
 
-CURVE = ["target", "setting", "scale", "model"]
+CURVE = ["target", "setting", "scale", "model", "val_strategy"]
 _CHUNK = 100_000
 
 
@@ -24,7 +24,7 @@ def metric_by_setting(
     metrics: DataFrame, metric: str = "rmse", agg: str | Callable[[Column], Column] = "median",
     scales: list[str] | None = None,
 ) -> DataFrame:
-    """One value per (target, scale, setting, model), with the plotting order of settings and models."""
+    """One value per (target, scale, setting, model, strategy), with the plotting order of settings and models."""
     rows = metrics.where(F.col("scale").isin(scales or LEADERBOARD_SCALES))
     if isinstance(agg, str) and agg in QUANTILES:
         values = exact_quantile(rows, CURVE, metric, QUANTILES[agg], "value")
@@ -37,7 +37,7 @@ def metric_by_setting(
 
 
 def cdf_curve(metrics: DataFrame, metric: str = "rmse", scales: list[str] | None = None) -> DataFrame:
-    """Sorted values of a metric against evenly spaced shares from 0 to 1, per model and panel.
+    """Sorted values of a metric against evenly spaced shares from 0 to 1, per entry and panel.
 
     Sorted best first: descending where higher is better. A single value has share 0. A value
     held by many rows is expanded in chunks spread over tasks.

@@ -29,26 +29,26 @@ TARGETS = ["GPP", "ET", "NEE"]
 # --------------------------------------------------------------------- shapes
 
 
-def _lineitem(setting: str, rows: str, name: str) -> str:
+def _lineitem(setting: str, target: str, rows: str, name: str) -> str:
     return f"""{name} AS (
-  SELECT {setting} AS setting, 'GPP' AS target, m.model, m.strategy AS val_strategy,
+  SELECT {setting} AS setting, {target} AS target, m.model, m.strategy AS val_strategy,
          l_returnflag || '-' || CAST(year(l_shipdate) AS VARCHAR) AS env, l_returnflag AS site_id,
          l_shipdate AS "time", l_quantity AS y_true,
          l_quantity + m.f * ((CAST(0.9 AS DOUBLE) * l_quantity + CAST(0.5 AS DOUBLE) * l_linenumber) - l_quantity) AS y_pred
   FROM lineitem CROSS JOIN (VALUES {rows}) m(model, strategy, f))"""
 
 
-PRED_LINEITEM = _lineitem("'time-split'", "('lr', 'mean', 1.0::DOUBLE)", "pred")
+PRED_LINEITEM = _lineitem("'time-split'", "'GPP'", "('lr', 'mean', 1.0::DOUBLE)", "pred")
 PRED_MODELS = _lineitem(
-    _pick(SETTINGS, "l_suppkey"), ", ".join(f"('{m}', '{s}', {f}::DOUBLE)" for m, s, f in MODEL_FACTORS), "pred")
+    _pick(SETTINGS, "l_suppkey"), _pick(TARGETS, "l_partkey"), ", ".join(f"('{m}', '{s}', {f}::DOUBLE)" for m, s, f in MODEL_FACTORS), "pred")
 PRED_EVENTS = """pred AS (
   SELECT 'time-split' AS setting, 'GPP' AS target, 'lr' AS model, 'mean' AS val_strategy, event_type AS env,
          event_type AS site_id, ts AS "time", value AS y_true, value * CAST(0.8 AS DOUBLE) + event_id % 11 AS y_pred FROM events)"""
 TRUTH = f"""truth AS (
-  SELECT {_pick(SETTINGS, 'event_id')} AS setting, 'GPP' AS target, CAST(user_id AS VARCHAR) AS site_id, ts AS "time",
+  SELECT {_pick(SETTINGS, 'event_id')} AS setting, {_pick(TARGETS, '(event_id // 3)')} AS target, CAST(user_id AS VARCHAR) AS site_id, ts AS "time",
          value AS y_true FROM events)"""
 _SUB_COLS = (
-    f"{_pick(SETTINGS, 'event_id')} AS setting, 'GPP' AS target, 'mean' AS val_strategy, CAST(user_id AS VARCHAR) AS env, "
+    f"{_pick(SETTINGS, 'event_id')} AS setting, {_pick(TARGETS, '(event_id // 3)')} AS target, 'mean' AS val_strategy, CAST(user_id AS VARCHAR) AS env, "
     'CAST(user_id AS VARCHAR) AS site_id, ts AS "time", value AS y_true, value * CAST(0.8 AS DOUBLE) + event_id % 11 AS y_pred, event_id')
 _SUB = f"""base AS (SELECT {_SUB_COLS} FROM events),
 sub AS (
@@ -117,6 +117,7 @@ def _out(src: str, unit: str, extra: str | None = '"time"', t: str = "t") -> str
 # --------------------------------------------------------------------- metrics
 
 _FIN = "isfinite(yt) AND isfinite(yp)"
+_MEAN = f"abs(avg(yt) FILTER ({_FIN})) > 1e-9 * (avg(abs(yt)) FILTER ({_FIN}))"
 METRIC_SQL = {
     "mse": "avg((yp - yt) * (yp - yt))",
     "rmse": "sqrt(avg((yp - yt) * (yp - yt)))",
@@ -124,8 +125,8 @@ METRIC_SQL = {
     "nse": f"1 - (avg((yp - yt) * (yp - yt)) FILTER ({_FIN})) / nullif(var_pop(yt) FILTER ({_FIN}), 0)",
     "r2_score": f"pow((covar_pop(yt, yp) FILTER ({_FIN})) / nullif((stddev_pop(yt) FILTER ({_FIN})) * (stddev_pop(yp) FILTER ({_FIN})), 0), 2)",
     "bias": "avg(yt - yp)",
-    "relative_mae": f"(avg(abs(yp - yt)) FILTER ({_FIN})) / nullif(avg(yt) FILTER ({_FIN}), 0)",
-    "relative_bias": f"(avg(yt - yp) FILTER ({_FIN})) / nullif(avg(yt) FILTER ({_FIN}), 0)",
+    "relative_mae": f"CASE WHEN {_MEAN} THEN (avg(abs(yp - yt)) FILTER ({_FIN})) / (avg(yt) FILTER ({_FIN})) END",
+    "relative_bias": f"CASE WHEN {_MEAN} THEN (avg(yt - yp) FILTER ({_FIN})) / (avg(yt) FILTER ({_FIN})) END",
 }
 
 
@@ -137,7 +138,7 @@ def _metrics(src: str, name: str = "metrics", only: list[str] | None = None) ->
 
 
 METRICS_OUT = "SELECT target, setting, model, val_strategy, scale, env, n_samples, " + ", ".join(
-    _r(f"CASE WHEN scale NOT IN ('anom', 'iav') THEN {m} END" if m.startswith("relative") else m, m) for m in METRIC_SQL
+    _r(m, m) for m in METRIC_SQL
 ) + " FROM metrics"
 
 
@@ -190,8 +191,8 @@ def _closeness(v: str = "value", b: str = "best") -> str:
 
 
 _LABELS = """labels AS (
-  SELECT ['xgb', 'ridge', 'lr'][n_nationkey + 1] AS model, CASE WHEN n_nationkey <> 2 THEN 'mean' END AS s,
-         n_name AS display, CASE WHEN n_nationkey = 0 THEN 'cv-mean' END AS sdisplay FROM nation WHERE n_nationkey < 3)"""
+  SELECT coalesce(['xgb', 'ridge', 'lr'][n_nationkey + 1], 'm_' || n_nationkey) AS model, CASE WHEN n_nationkey <> 2 THEN 'mean' END AS s,
+         n_name AS display, CASE WHEN n_nationkey = 0 THEN 'cv-mean' END AS sdisplay FROM nation)"""
 
 
 def _page(agg: str, p: str) -> str:
@@ -212,10 +213,10 @@ _MODEL_ORDER = "CASE model WHEN 'xgb' THEN 1 WHEN 'lr' THEN 7 WHEN 'ridge' THEN
 
 
 def _curve(metric: str, order: str, x: str, y: str, names: tuple[str, str]) -> str:
-    return f"""SELECT target, setting, scale, model, rn - 1 AS rank, {_r(x, names[0])}, {_r(y, names[1])} FROM (
-    SELECT *, row_number() OVER w AS rn, count(*) OVER (PARTITION BY target, setting, scale, model) AS n,
-           {metric} AS v FROM metrics WHERE {metric} IS NOT NULL AND val_strategy = 'mean'
-    WINDOW w AS (PARTITION BY target, setting, scale, model ORDER BY {metric} {order}))"""
+    return f"""SELECT target, setting, scale, model, val_strategy, rn - 1 AS rank, {_r(x, names[0])}, {_r(y, names[1])} FROM (
+    SELECT *, row_number() OVER w AS rn, count(*) OVER (PARTITION BY target, setting, scale, model, val_strategy) AS n,
+           {metric} AS v FROM metrics WHERE {metric} IS NOT NULL
+    WINDOW w AS (PARTITION BY target, setting, scale, model, val_strategy ORDER BY {metric} {order}))"""
 
 
 _SHARE = "coalesce((rn - 1)::DOUBLE / nullif(n - 1, 0), 0)"
@@ -321,11 +322,11 @@ faults AS (
 
 # --------------------------------------------------------------------- incremental
 
+_STRICT = "NOT EXISTS (SELECT 1 FROM broken_days b WHERE b.model = x.model AND b.setting = x.setting AND b.target = x.target AND b.val_strategy = x.val_strategy)"
 EVENT_METRICS = [
-    TRUTH, SCORED_SUB, JOINED, _daily("env", 1, "daily_env"),
+    TRUTH, SCORED_SUB, JOINED, _daily("env", 1, "daily_env"), _daily("site_id", 1, "daily_site"),
     f"broken_days AS (SELECT DISTINCT {EXP} FROM daily_env WHERE yp IS NULL)",
-    _stack(["hourly", "daily", "weekly", "monthly"], 2, 2,
-           "NOT EXISTS (SELECT 1 FROM broken_days b WHERE b.model = x.model AND b.setting = x.setting AND b.target = x.target AND b.val_strategy = x.val_strategy)"),
+    _stack(ALL_SCALES, 2, 2, _STRICT, _STRICT),
     _metrics("stacked"),
     f"uncovered AS (SELECT DISTINCT {EXP} FROM pred WHERE y_true IS NULL)",
 ]
@@ -431,7 +432,7 @@ ORACLE: dict[str, str] = {
     format('{{:.2g}}', value) AS text FROM c"""),
     "cdf_curve": _with(*BOARD, body=_curve("rmse", "ASC", "v", _SHARE, ("value", "share"))),
     "quantile_curve": _with(*BOARD, body=_curve("nse", "DESC", _SHARE, "v", ("x", "y"))),
-    "metric_by_setting": _with(*BOARD, body=f"""SELECT target, setting, scale, model, {_r('quantile_cont(rmse, 0.5)', 'value')},
+    "metric_by_setting": _with(*BOARD, body=f"""SELECT target, setting, scale, model, val_strategy, {_r('quantile_cont(rmse, 0.5)', 'value')},
   CAST({_SETTINGS_ORDER} AS BIGINT) AS setting_order, CAST({_MODEL_ORDER} AS BIGINT) AS model_order
   FROM metrics WHERE rmse IS NOT NULL AND scale <> 'site-mean' GROUP BY ALL"""),
     "axis_bound": _with(*BOARD, body=f"SELECT target, scale, {_r('max(rmse)', 'upper')} FROM metrics GROUP BY ALL"),

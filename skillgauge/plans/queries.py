@@ -30,7 +30,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The derived series have few rows per day at small scale; thresholds are parameters.
 LINEITEM_HOURS = 4
 EVENT_THRESHOLDS = ts.Thresholds(hour_to_day=1, weekly=2, monthly=2)
-EVENT_SCALES = ["hourly", "daily", "weekly", "monthly"]
 
 
 def _series(df: DataFrame, *columns: str) -> DataFrame:
@@ -38,12 +37,8 @@ def _series(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _metrics(df: DataFrame) -> DataFrame:
-    """Rounded metrics; ratios to a mean that is zero by construction are pure rounding noise."""
-    noise = F.col("scale").isin("anom", "iav")
-    columns = [
-        tidy(F.when(~noise, F.col(m)) if m.startswith("relative") else F.col(m)).alias(m) for m in METRICS
-    ]
-    return df.select("target", "setting", "model", "val_strategy", "scale", "env", "n_samples", *columns)
+    return df.select(
+        "target", "setting", "model", "val_strategy", "scale", "env", "n_samples", *[tidy(F.col(m)).alias(m) for m in METRICS])
 
 
 def lineitem_rows(spark, sf):
@@ -196,7 +191,7 @@ def truth_coverage(spark, sf):
 def truth_join_score(spark, sf):
     metrics = truth.score_against_truth(
         clean_predictions(shapes.scored_events(spark, sf)), shapes.truth_events(spark, sf),
-        scales=EVENT_SCALES, thresholds=EVENT_THRESHOLDS,
+        thresholds=EVENT_THRESHOLDS,
     )
     return _metrics(metrics)
 
@@ -299,12 +294,12 @@ def relative_to_best(spark, sf):
 
 
 def cdf_curve(spark, sf):
-    points = curves.cdf_curve(board_metrics(spark, sf).where(F.col("val_strategy") == "mean"))
+    points = curves.cdf_curve(board_metrics(spark, sf))
     return points.select(*curves.CURVE, "rank", tidy(F.col("value")).alias("value"), tidy(F.col("share")).alias("share"))
 
 
 def quantile_curve(spark, sf):
-    points = curves.quantile_curve(board_metrics(spark, sf).where(F.col("val_strategy") == "mean"), metric="nse")
+    points = curves.quantile_curve(board_metrics(spark, sf), metric="nse")
     return points.select(*curves.CURVE, "rank", tidy(F.col("x")).alias("x"), tidy(F.col("y")).alias("y"))
 
 
@@ -387,7 +382,7 @@ def incremental_score(spark, sf):
     pending = registry.pending(_event_registry(spark, sf)).withColumnRenamed("model_id", "model")
     metrics, _ = incremental.score_submissions(
         pending, clean_predictions(shapes.scored_events(spark, sf)), shapes.truth_events(spark, sf),
-        scales=EVENT_SCALES, thresholds=EVENT_THRESHOLDS)
+        thresholds=EVENT_THRESHOLDS)
     return _metrics(metrics)
 
 
@@ -395,7 +390,7 @@ def incremental_status(spark, sf):
     pending = registry.pending(_event_registry(spark, sf)).withColumnRenamed("model_id", "model")
     _, status = incremental.score_submissions(
         pending, clean_predictions(shapes.scored_events(spark, sf)), shapes.truth_events(spark, sf),
-        scales=EVENT_SCALES, thresholds=EVENT_THRESHOLDS)
+        thresholds=EVENT_THRESHOLDS)
     return status
 
 
@@ -406,7 +401,7 @@ def incremental_stream(spark, sf):
     store = incremental.Store(root)
     incremental.run_stream(
         spark, f"{root}/docs", store, clean_predictions(shapes.scored_events(spark, sf)), shapes.truth_events(spark, sf),
-        scales=EVENT_SCALES, thresholds=EVENT_THRESHOLDS).awaitTermination()
+        thresholds=EVENT_THRESHOLDS).awaitTermination()
     from skillgauge.sources.stores import read_metrics
 
     return _metrics(read_metrics(spark, store.metrics))

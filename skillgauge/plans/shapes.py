@@ -19,17 +19,9 @@ MODEL_FACTORS = [
 ]
 
 
-# Below this size a table makes fewer scan tasks than there are cores.
-ONE_SPLIT_BYTES = 128 * 1024 * 1024
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, *spread_by: str) -> DataFrame:
-    """One driver table. With ``spread_by`` a table of at most one split is spread over the cores
-    before a generator multiplies its rows; a larger one already has a task per split."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if spread_by and int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes())) <= ONE_SPLIT_BYTES:
-        df = df.repartition(spark.sparkContext.defaultParallelism, *spread_by)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pick(values: list[str], index: Column) -> Column:
@@ -41,13 +33,14 @@ def setting_of(index: Column) -> Column:
     return pick(SETTINGS, index)
 
 
+def target_of(index: Column) -> Column:
+    return pick(TARGETS, index)
+
+
 def experiments(*rows: tuple[str, str, float]) -> Column:
-    """Generator of (target, val_strategy, model, factor) per listed (model, val_strategy, factor)."""
+    """Generator of (val_strategy, model, factor) per listed (model, val_strategy, factor)."""
     return F.inline(F.array(*[
-        F.struct(
-            F.lit("GPP").alias("target"), F.lit(strategy).alias("val_strategy"),
-            F.lit(model).alias("model"), F.lit(factor).alias("factor"),
-        )
+        F.struct(F.lit(strategy).alias("val_strategy"), F.lit(model).alias("model"), F.lit(factor).alias("factor"))
         for model, strategy, factor in rows
     ]))
 
@@ -55,18 +48,18 @@ def experiments(*rows: tuple[str, str, float]) -> Column:
 def pred_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event types as sites; one experiment."""
     return table(spark, sf_dir, "events").select("*", experiments(("lr", "mean", 1.0))).select(
-        F.lit("time-split").alias("setting"), "target", "model", "val_strategy",
+        F.lit("time-split").alias("setting"), F.lit("GPP").alias("target"), "model", "val_strategy",
         F.col("event_type").alias("env"), F.col("event_type").alias("site_id"),
         F.col("ts").alias("time"), F.col("value").alias("y_true"),
         (F.col("value") * 0.8 + F.pmod("event_id", F.lit(11))).alias("y_pred"),
     )
 
 
-def _lineitem_series(spark: SparkSession, sf_dir: str, setting: Column, *rows: tuple[str, str, float]) -> DataFrame:
+def _lineitem_series(spark: SparkSession, sf_dir: str, setting: Column, target: Column, *rows: tuple[str, str, float]) -> DataFrame:
     y_true = F.col("l_quantity")
     y_pred = 0.9 * F.col("l_quantity") + 0.5 * F.col("l_linenumber")
-    return table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber").select("*", experiments(*rows)).select(
-        setting.alias("setting"), "target", "model", "val_strategy",
+    return table(spark, sf_dir, "lineitem").select("*", experiments(*rows)).select(
+        setting.alias("setting"), target.alias("target"), "model", "val_strategy",
         F.concat("l_returnflag", F.lit("-"), F.year("l_shipdate")).alias("env"),
         F.col("l_returnflag").alias("site_id"),
         F.col("l_shipdate").alias("time"), y_true.alias("y_true"),
@@ -76,12 +69,12 @@ def _lineitem_series(spark: SparkSession, sf_dir: str, setting: Column, *rows: t
 
 def pred_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Return flags as sites, site-years as reporting groups, seven years of days."""
-    return _lineitem_series(spark, sf_dir, F.lit("time-split"), ("lr", "mean", 1.0))
+    return _lineitem_series(spark, sf_dir, F.lit("time-split"), F.lit("GPP"), ("lr", "mean", 1.0))
 
 
 def pred_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Models in three settings; each model scales the error of the base series."""
-    return _lineitem_series(spark, sf_dir, setting_of(F.col("l_suppkey")), *MODEL_FACTORS)
+    """Models in three settings and targets; each model scales the error of the base series."""
+    return _lineitem_series(spark, sf_dir, setting_of(F.col("l_suppkey")), target_of(F.col("l_partkey")), *MODEL_FACTORS)
 
 
 def pred_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +92,7 @@ def pred_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def truth_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users as sites; (user, ts) is unique."""
     return table(spark, sf_dir, "events").select(
-        setting_of(F.col("event_id")).alias("setting"), F.lit("GPP").alias("target"),
+        setting_of(F.col("event_id")).alias("setting"), target_of(F.floor(F.col("event_id") / 3)).alias("target"),
         F.col("user_id").cast("string").alias("site_id"), F.col("ts").alias("time"),
         F.col("value").alias("y_true"),
     )
@@ -113,11 +106,11 @@ def sub_events(spark: SparkSession, sf_dir: str, outlier: float = 1e12) -> DataF
     eid, kind = F.col("event_id"), F.col("kind")
     # (model, kind of its rows); the last two add rows to a model.
     variants = F.inline(F.array(*[
-        F.struct(F.lit(m).alias("model"), F.lit(k).alias("kind"), F.lit("GPP").alias("target"), F.lit("mean").alias("val_strategy"))
+        F.struct(F.lit(m).alias("model"), F.lit(k).alias("kind"), F.lit("mean").alias("val_strategy"))
         for m, k in [("clean", ""), ("short", "short"), ("late", ""), ("shifted", "shifted"), ("broken", "broken"),
                      ("copied", ""), ("late", "old"), ("copied", "again")]
     ]))
-    rows = table(spark, sf_dir, "events", "event_id").select("*", variants).where(
+    rows = table(spark, sf_dir, "events").select("*", variants).where(
         F.when(kind == "short", eid % 97 != 0).when(kind == "old", eid % 1009 == 0).when(kind == "again", eid % 701 == 0)
         .otherwise(F.lit(True))
     )
@@ -128,7 +121,7 @@ def sub_events(spark: SparkSession, sf_dir: str, outlier: float = 1e12) -> DataF
     )
     site = F.col("user_id").cast("string")
     return rows.select(
-        setting_of(eid).alias("setting"), "target", "model", "val_strategy", site.alias("env"), site.alias("site_id"),
+        setting_of(eid).alias("setting"), target_of(F.floor(eid / 3)).alias("target"), "model", "val_strategy", site.alias("env"), site.alias("site_id"),
         F.when(kind == "old", F.lit("1999-01-01 00:00:00").cast("timestamp_ntz")).otherwise(F.col("ts")).alias("time"),
         F.when((kind == "shifted") & (eid % 89 == 0), F.col("value") + 5).otherwise(F.col("value")).alias("y_true"),
         F.when(kind == "broken", spoiled).otherwise(y_pred).alias("y_pred"),
@@ -236,8 +229,8 @@ def stored_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Display labels of the derived models, named after nations; one holds for every strategy."""
     key = F.col("n_nationkey")
-    return table(spark, sf_dir, "nation").where(key < 3).select(
-        pick(["xgb", "ridge", "lr"], key).alias("model_id"),
+    return table(spark, sf_dir, "nation").select(
+        F.when(key == 0, "xgb").when(key == 1, "ridge").when(key == 2, "lr").otherwise(F.concat(F.lit("m_"), key)).alias("model_id"),
         F.when(key != 2, "mean").alias("val_strategy"),
         F.col("n_name").alias("display_name"),
         F.when(key == 0, "cv-mean").otherwise("").alias("val_strategy_display"),
