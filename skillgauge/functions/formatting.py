@@ -13,10 +13,11 @@ OTHER_DECIMALS = 2
 
 def significant(col: Column, digits: int) -> Column:
     """Text with ``digits`` significant figures, like ``%.{digits}g``: plain notation for
-    exponents from -5 (exclusive) to ``digits``, trailing zeros removed."""
+    exponents from -5 (exclusive) to ``digits``, trailing zeros removed. NULL stays NULL; ``nan``,
+    ``inf`` and ``-inf`` are spelled out."""
     # The scientific text carries the exponent after rounding to the wanted digits.
     sci = F.format_string(f"%.{digits - 1}e", col)
-    exponent = F.regexp_extract(sci, r"e([+-]\d+)$", 1).cast("int")
+    exponent = F.regexp_extract(sci, r"e([+-]\d+)$", 1).try_cast("int")
     mantissa = F.regexp_replace(F.regexp_extract(sci, r"^(.*)e", 1), r"(\.\d*?)0+$", "$1")
     mantissa = F.regexp_replace(mantissa, r"\.$", "")
     plain = F.lit(None).cast("string")
@@ -29,7 +30,11 @@ def significant(col: Column, digits: int) -> Column:
         F.when(exponent < 0, "e-").otherwise("e+"),
         F.lpad(F.abs(exponent).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exponent).cast("string"))), F.lit("0")),
     )
-    return F.when(col == 0, F.lit("0")).otherwise(F.coalesce(plain, scientific))
+    return (
+        F.when(col.isNull(), F.lit(None).cast("string")).when(F.isnan(col), "nan")
+        .when(col == float("inf"), "inf").when(col == float("-inf"), "-inf").when(col == 0, "0")
+        .otherwise(F.coalesce(plain, scientific))
+    )
 
 
 def fixed(col: Column, decimals: int) -> Column:

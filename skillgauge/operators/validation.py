@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skillgauge.functions.formatting import significant
@@ -42,6 +42,12 @@ def _quoted(col: Column) -> Column:
     return F.concat(F.lit("`"), col, F.lit("`"))
 
 
+def told(failed: Column, *parts: Column | str) -> Column:
+    """The text of a failed test. A missing part shows as ``-``, so that a failure never goes untold."""
+    texts = [F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("-")) for p in parts]
+    return F.when(F.coalesce(failed, F.lit(False)), F.concat(*texts))
+
+
 def messages(df: DataFrame, check: str, severity: str = "error", **texts: Column) -> DataFrame:
     """One row per non-NULL text.
 
@@ -76,14 +82,15 @@ def name_files(files: DataFrame) -> DataFrame:
 
 def judge_files(files: DataFrame) -> DataFrame:
     """``name_files`` plus the verdict ``duplicate``: of the files of one (setting, target) the
-    first path counts."""
-    named = name_files(files)
-    combo = [*SUBMISSION, "setting", "target"]
-    # A condition inside the aggregate, not a filter: a filter on the verdict would be pushed below
-    # the name parsing and parse every name again.
-    fit = F.when(F.col("verdict") == "ok", F.struct("path", "filename"))
-    first = named.groupBy(*combo).agg(F.min(fit).alias("first"))
-    return named.join(first, combo, "left").withColumn(
+    first path counts. A missing path or name parses to nothing.
+
+    Names are parsed before the files are shuffled by submission, so that no later use parses them
+    again; the window and all checks by submission find their rows in place.
+    """
+    named = name_files(files).repartition(*SUBMISSION)
+    combo = Window.partitionBy(*SUBMISSION, "setting", "target")
+    first = F.min(F.when(F.col("verdict") == "ok", F.struct("path", "filename"))).over(combo)
+    return named.withColumn("first", first).withColumn(
         "verdict",
         F.when((F.col("verdict") == "ok") & (F.col("path") != F.col("first.path")), "duplicate").otherwise(F.col("verdict")),
     ).withColumn("first_filename", F.col("first.filename")).drop("first")
@@ -107,19 +114,17 @@ def missing_combos(judged: DataFrame) -> DataFrame:
 
 def check_files(judged: DataFrame) -> DataFrame:
     name, verdict = _quoted(F.col("filename")), F.col("verdict")
+    combo = _tag(F.col("setting"), F.col("target"))
     per_file = messages(
         judged, "files",
-        text=F.when(verdict == "unparsed", F.concat(
-            name, F.lit(": filename does not match `{setting}_{target}_{model}_val_{strategy}_predictions.csv`")))
-        .when(verdict == "wrong_model", F.concat(
-            name, F.lit(": model "), _quoted(F.col("named_model")), F.lit(" != claimed "), _quoted(F.col("model_id"))))
-        .when(verdict == "wrong_strategy", F.concat(
-            name, F.lit(": val_strategy "), _quoted(F.col("named_strategy")), F.lit(" != claimed "), _quoted(F.col("val_strategy"))))
-        .when(verdict == "duplicate", F.concat(
-            F.lit("duplicate file for "), _tag(F.col("setting"), F.col("target")), F.lit(": "),
-            _quoted(F.col("first_filename")), F.lit(" and "), name)),
+        text=F.coalesce(
+            told(verdict == "unparsed", name, ": not named {setting}_{target}_{model}_val_{strategy}_predictions.csv"),
+            told(verdict == "wrong_model", name, ": names the model ", _quoted(F.col("named_model")), ", claimed is ", _quoted(F.col("model_id"))),
+            told(verdict == "wrong_strategy", name, ": names the strategy ", _quoted(F.col("named_strategy")), ", claimed is ", _quoted(F.col("val_strategy"))),
+            told(verdict == "duplicate", combo, " has a second file ", name, " beside ", _quoted(F.col("first_filename"))),
+        ),
     )
-    absent = messages(missing_combos(judged), "files", text=F.concat(F.lit("missing files for: "), F.col("missing")))
+    absent = messages(missing_combos(judged), "files", text=F.concat(F.lit("no file for "), F.col("missing")))
     return per_file.unionByName(absent)
 
 
@@ -142,8 +147,14 @@ def key_profile(rows: DataFrame, config: ValidationConfig = ValidationConfig())
     )
 
 
-def file_profile(rows: DataFrame, truth: DataFrame, config: ValidationConfig = ValidationConfig()) -> DataFrame:
-    """All counters of one file in one row: content, index and integrity.
+COUNTERS = ["n_rows", "n_dup", "n_nan", "n_inf", "n_big", "n_match", "n_extra", "n_bad"]
+
+
+def file_profile(
+    rows: DataFrame, truth: DataFrame, config: ValidationConfig = ValidationConfig(), files: DataFrame | None = None
+) -> DataFrame:
+    """All counters of one file in one row: content, index and integrity. With ``files`` (experiment
+    keys) every listed file has its row, also one without any rows.
 
     Missing keys are counted as truth rows minus matched keys, so the truth is shuffled once and
     not once per submission.
@@ -163,6 +174,8 @@ def file_profile(rows: DataFrame, truth: DataFrame, config: ValidationConfig = V
         F.count_if(bad).alias("n_bad"),
         F.max(F.when(bad, F.abs(F.col("y_sub") - F.col("y_ref")))).alias("worst"),
     )
+    if files is not None:
+        per_file = files.select(*EXPERIMENT).join(per_file, EXPERIMENT, "left").na.fill(0, COUNTERS)
     required = truth.groupBy("setting", "target").agg(F.count(F.lit(1)).alias("n_required"))
     sound = (F.col("n_dup") == 0) & (F.col("n_nan") == 0) & (F.col("n_inf") == 0)
     return (
@@ -202,32 +215,45 @@ def _as_submission(df: DataFrame) -> DataFrame:
 
 def check_content(profile: DataFrame, config: ValidationConfig = ValidationConfig()) -> DataFrame:
     tag = _tag(F.col("setting"), F.col("target"))
-    text = lambda n, tail: F.when(F.col(n) > 0, F.concat(tag, F.lit(": "), F.col(n), F.lit(tail)))
+    text = lambda n, tail: told(F.col(n) > 0, tag, ": ", F.col(n), tail)
     return messages(
         _as_submission(profile), "content_caps",
-        dup=text("n_dup", " duplicate (site_id, time) rows"),
-        nan=text("n_nan", " NaN values in y_pred"),
-        inf=text("n_inf", " non-finite (inf) values in y_pred"),
-        big=text("n_big", f" y_pred values exceed magnitude cap {config.max_abs_ypred:g}"),
+        dup=text("n_dup", " rows repeat a (site_id, time)"),
+        nan=text("n_nan", " predictions are NaN"),
+        inf=text("n_inf", " predictions are infinite"),
+        big=text("n_big", f" predictions are larger than {config.max_abs_ypred:g}"),
     )
 
 
 def check_sizes(accepted: DataFrame, config: ValidationConfig = ValidationConfig()) -> DataFrame:
-    """Oversize files; their rows must be left out of the content checks (``readable_rows``)."""
+    """Oversize files; their rows are left out of the content checks (``opened_files``)."""
     return messages(
         accepted, "content_caps",
-        size=F.when(F.col("bytes") > config.max_file_bytes, F.concat(
-            _tag(F.col("setting"), F.col("target")), F.lit(": file is "), F.col("bytes"),
-            F.lit(f" bytes (> cap {config.max_file_bytes})"))),
+        size=told(F.col("bytes") > config.max_file_bytes, _tag(F.col("setting"), F.col("target")), ": has ", F.col("bytes"),
+                  f" bytes, more than {config.max_file_bytes}"),
     )
 
 
-def readable_rows(rows: DataFrame, accepted: DataFrame, config: ValidationConfig = ValidationConfig()) -> DataFrame:
-    """Rows of accepted files within the size cap."""
-    fit = accepted.where(F.col("bytes") <= config.max_file_bytes).select(
-        "setting", "target", F.col("model_id").alias("model"), "val_strategy"
-    )
-    return rows.join(fit, EXPERIMENT, "left_semi")
+def check_readable(accepted: DataFrame, unreadable: DataFrame) -> DataFrame:
+    """Accepted files that cannot be read (``unreadable``: path, problem)."""
+    broken = accepted.join(unreadable.groupBy("path").agg(F.min("problem").alias("problem")), "path")
+    return messages(broken, "content_caps", text=F.concat(
+        _tag(F.col("setting"), F.col("target")), F.lit(": cannot be read: "), F.coalesce("problem", F.lit("-"))))
+
+
+def opened_files(accepted: DataFrame, config: ValidationConfig = ValidationConfig(), unreadable: DataFrame | None = None) -> DataFrame:
+    """(path, experiment keys) of the accepted files whose rows are looked at: within the size cap
+    and readable. The keys are the submission's own."""
+    fit = accepted.where(~F.coalesce(F.col("bytes") > config.max_file_bytes, F.lit(False)))
+    if unreadable is not None:
+        fit = fit.join(unreadable.select("path"), "path", "left_anti")
+    return fit.select("path", "setting", "target", F.col("model_id").alias("model"), "val_strategy")
+
+
+def rows_of_files(rows: DataFrame, opened: DataFrame) -> DataFrame:
+    """Rows of the opened files under the keys of their submission. Rows belong to a file by ``path``,
+    so a second file of a combo or a file named for another model adds nothing."""
+    return rows.select("path", "site_id", "time", "y_true", "y_pred").join(opened, "path")
 
 
 def check_index(profile: DataFrame, examples: DataFrame) -> DataFrame:
@@ -238,11 +264,9 @@ def check_index(profile: DataFrame, examples: DataFrame) -> DataFrame:
     tag = _tag(F.col("setting"), F.col("target"))
     return messages(
         _as_submission(profile.join(sides, EXPERIMENT, "left")), "index_completeness",
-        none=F.when(F.col("n_required") == 0, F.concat(F.lit("truth table has no rows for "), tag)),
-        missing=F.when(F.col("n_missing") > 0, F.concat(
-            tag, F.lit(": "), F.col("n_missing"), F.lit(" required rows missing (e.g. "), F.col("missing_eg"), F.lit(")"))),
-        extra=F.when(F.col("n_extra") > 0, F.concat(
-            tag, F.lit(": "), F.col("n_extra"), F.lit(" rows not in the canonical index (e.g. "), F.col("extra_eg"), F.lit(")"))),
+        none=told(F.col("n_required") == 0, tag, ": the truth has no rows"),
+        missing=told(F.col("n_missing") > 0, tag, ": ", F.col("n_missing"), " required rows are absent (first: ", F.col("missing_eg"), ")"),
+        extra=told(F.col("n_extra") > 0, tag, ": ", F.col("n_extra"), " rows are not in the truth (first: ", F.col("extra_eg"), ")"),
     )
 
 
@@ -251,11 +275,9 @@ def check_integrity(profile: DataFrame, config: ValidationConfig = ValidationCon
     tag, sound = _tag(F.col("setting"), F.col("target")), F.col("sound")
     return messages(
         _as_submission(profile), "ytrue_integrity",
-        none=F.when(sound & (F.col("n_match") == 0), F.concat(tag, F.lit(": no overlap with truth index for integrity check"))),
-        bad=F.when(sound & (F.col("bad_frac") > config.ytrue_max_mismatch_frac), F.concat(
-            tag, F.lit(": submitted y_true disagrees with truth on "), F.col("n_bad"), F.lit("/"), F.col("n_match"),
-            F.lit(" rows ("), F.format_string("%.2f%%", F.col("bad_frac") * 100), F.lit("; max |d|="),
-            significant(F.col("worst"), 3), F.lit(")"))),
+        none=told(sound & (F.col("n_match") == 0), tag, ": shares no row with the truth"),
+        bad=told(sound & (F.col("bad_frac") > config.ytrue_max_mismatch_frac), tag, ": y_true differs from the truth in ", F.col("n_bad"), " of ",
+                 F.col("n_match"), " rows (", F.format_string("%.2f%%", F.col("bad_frac") * 100), ", at most by ", significant(F.col("worst"), 3), ")"),
     )
 
 
@@ -264,10 +286,9 @@ def check_ownership(claims: DataFrame, owners: DataFrame) -> DataFrame:
     joined = claims.join(owners.select("model_id", "recorded_owner"), "model_id", "left")
     owner, recorded = F.nullif(F.col("owner"), F.lit("")), F.col("recorded_owner")
     clash = recorded.isNotNull() & ~F.coalesce(F.col("owner") == recorded, F.lit(False))
-    errors = messages(joined, "ownership", text=F.when(clash, F.concat(
-        F.lit("model_id "), _quoted(F.col("model_id")), F.lit(" is owned by another submitter; re-submit with the email you used originally"))))
-    warnings = messages(joined, "ownership", "warning", text=F.when(recorded.isNull() & owner.isNull(), F.concat(
-        F.lit("new model_id "), _quoted(F.col("model_id")), F.lit(" with no owner recorded"))))
+    errors = messages(joined, "ownership", text=told(clash, "model ", _quoted(F.col("model_id")), " is recorded for another owner"))
+    warnings = messages(joined, "ownership", "warning", text=told(
+        recorded.isNull() & owner.isNull(), "new model ", _quoted(F.col("model_id")), " names no owner"))
     return errors.unionByName(warnings)
 
 
@@ -321,16 +342,22 @@ def validate(
     claims: DataFrame,
     owners: DataFrame,
     config: ValidationConfig = ValidationConfig(),
+    unreadable: DataFrame | None = None,
 ) -> DataFrame:
     """All checks of all submissions: the report of ``report``.
 
-    File verdicts and counters, one row per file each, feed several checks and are staged once.
+    ``rows`` belong to the files by ``path``; ``unreadable`` (path, problem) lists files that could not
+    be parsed, which fail the content check and skip the index and integrity checks. File verdicts and
+    counters, one row per file each, feed several checks and are staged once.
     """
     judged = stage(judge_files(files), "files")
     accepted = accepted_files(judged)
-    fit = readable_rows(rows, accepted, config)
-    profile = stage(file_profile(fit, truth, config), "profile")
+    opened = opened_files(accepted, config, unreadable)
+    fit = rows_of_files(rows, opened)
+    profile = stage(file_profile(fit, truth, config, opened), "profile")
     found = check_files(judged)
+    if unreadable is not None:
+        found = found.unionByName(check_readable(accepted, unreadable))
     for part in (
         check_sizes(accepted, config),
         check_content(profile, config),

@@ -250,11 +250,11 @@ lacking AS (
   WHERE f.combo IS NULL GROUP BY ALL)"""
 FILE_MESSAGES = """
   SELECT model_id, val_strategy, 'files' AS check_name, 'error' AS severity, message FROM (
-    SELECT model_id, val_strategy, '`' || filename || '`: filename does not match `{setting}_{target}_{model}_val_{strategy}_predictions.csv`' AS message FROM named WHERE NOT hit
-    UNION ALL SELECT model_id, val_strategy, '`' || filename || '`: model `' || nmodel || '` != claimed `' || model_id || '`' FROM named WHERE hit AND nmodel <> model_id
-    UNION ALL SELECT model_id, val_strategy, '`' || filename || '`: val_strategy `' || nstrategy || '` != claimed `' || val_strategy || '`' FROM named WHERE hit AND nmodel = model_id AND nstrategy <> val_strategy
-    UNION ALL SELECT model_id, val_strategy, 'duplicate file for ' || setting || ' x ' || target || ': `' || first_filename || '` and `' || filename || '`' FROM fit WHERE rn > 1
-    UNION ALL SELECT model_id, val_strategy, 'missing files for: ' || missing FROM lacking)"""
+    SELECT model_id, val_strategy, '`' || filename || '`: not named {setting}_{target}_{model}_val_{strategy}_predictions.csv' AS message FROM named WHERE NOT hit
+    UNION ALL SELECT model_id, val_strategy, '`' || filename || '`: names the model `' || nmodel || '`, claimed is `' || model_id || '`' FROM named WHERE hit AND nmodel <> model_id
+    UNION ALL SELECT model_id, val_strategy, '`' || filename || '`: names the strategy `' || nstrategy || '`, claimed is `' || val_strategy || '`' FROM named WHERE hit AND nmodel = model_id AND nstrategy <> val_strategy
+    UNION ALL SELECT model_id, val_strategy, setting || ' x ' || target || ' has a second file `' || filename || '` beside `' || first_filename || '`' FROM fit WHERE rn > 1
+    UNION ALL SELECT model_id, val_strategy, 'no file for ' || missing FROM lacking)"""
 
 PROFILE = f"""keyed AS (
   SELECT {EXP}, site_id, "time", count(*) AS copies, count(*) FILTER (isnan(y_pred)) AS n_nan, count(*) FILTER (isinf(y_pred)) AS n_inf,
@@ -266,7 +266,7 @@ counted AS (
   SELECT {EXP}, CAST(sum(copies) AS BIGINT) AS n_rows, CAST(sum(copies - 1) AS BIGINT) AS n_dup, CAST(sum(n_nan) AS BIGINT) AS n_nan,
          CAST(sum(n_inf) AS BIGINT) AS n_inf, CAST(sum(n_big) AS BIGINT) AS n_big, count(*) FILTER (known) AS n_match,
          count(*) FILTER (NOT known) AS n_extra,
-         count(*) FILTER (known AND abs(y_sub - y_ref) > 1e-6 + 1e-5 * abs(y_ref)) AS n_bad,
+         count(*) FILTER (known AND NOT coalesce(abs(y_sub - y_ref) <= 1e-6 + 1e-5 * abs(y_ref), FALSE)) AS n_bad,
          max(CASE WHEN known AND abs(y_sub - y_ref) > 1e-6 + 1e-5 * abs(y_ref) THEN abs(y_sub - y_ref) END) AS worst
   FROM matched GROUP BY ALL),
 profile AS (
@@ -288,22 +288,41 @@ extra_eg AS ({_examples('extra', 'extra')}),
 missing_eg AS ({_examples('missing', 'missing')})"""
 _TAG = "setting || ' x ' || target"
 INDEX_MESSAGES = f"""
-  SELECT model AS model_id, val_strategy, 'index_completeness' AS check_name, 'error' AS severity, {_TAG} || ': ' || n_missing || ' required rows missing (e.g. ' || missing_eg || ')' AS message
+  SELECT model AS model_id, val_strategy, 'index_completeness' AS check_name, 'error' AS severity, {_TAG} || ': ' || n_missing || ' required rows are absent (first: ' || missing_eg || ')' AS message
   FROM profile JOIN missing_eg USING ({EXP}) WHERE n_missing > 0
-  UNION ALL SELECT model, val_strategy, 'index_completeness', 'error', {_TAG} || ': ' || n_extra || ' rows not in the canonical index (e.g. ' || extra_eg || ')'
+  UNION ALL SELECT model, val_strategy, 'index_completeness', 'error', {_TAG} || ': ' || n_extra || ' rows are not in the truth (first: ' || extra_eg || ')'
   FROM profile JOIN extra_eg USING ({EXP}) WHERE n_extra > 0"""
 CONTENT_MESSAGES = "\n UNION ALL ".join(
     f"SELECT model AS model_id, val_strategy, 'content_caps' AS check_name, 'error' AS severity, {_TAG} || ': ' || {n} || '{tail}' AS message FROM profile WHERE {n} > 0"
     for n, tail in (
-        ("n_dup", " duplicate (site_id, time) rows"), ("n_nan", " NaN values in y_pred"),
-        ("n_inf", " non-finite (inf) values in y_pred"), ("n_big", " y_pred values exceed magnitude cap 1e+06")))
+        ("n_dup", " rows repeat a (site_id, time)"), ("n_nan", " predictions are NaN"),
+        ("n_inf", " predictions are infinite"), ("n_big", " predictions are larger than 1e+06")))
 INTEGRITY_MESSAGES = f"""
-  SELECT model AS model_id, val_strategy, 'ytrue_integrity' AS check_name, 'error' AS severity, {_TAG} || ': submitted y_true disagrees with truth on ' || n_bad || '/' || n_match ||
-    ' rows (' || format('{{:.2f}}', n_bad::DOUBLE / n_match * 100) || '%; max |d|=' || format('{{:.3g}}', worst) || ')' AS message
+  SELECT model AS model_id, val_strategy, 'ytrue_integrity' AS check_name, 'error' AS severity, {_TAG} || ': y_true differs from the truth in ' || n_bad || ' of ' || n_match ||
+    ' rows (' || format('{{:.2f}}', n_bad::DOUBLE / n_match * 100) || '%, at most by ' || coalesce(format('{{:.3g}}', worst), '-') || ')' AS message
   FROM profile WHERE sound AND n_bad > 0"""
-EVENT_FILES = """files AS (
-  SELECT DISTINCT model AS model_id, val_strategy, setting || '_' || target || '_' || model || '_val_' || val_strategy || '_predictions.csv' AS path,
-         setting || '_' || target || '_' || model || '_val_' || val_strategy || '_predictions.csv' AS filename FROM sub)"""
+INTEGRITY_MESSAGES += f"""
+  UNION ALL SELECT model, val_strategy, 'ytrue_integrity', 'error', {_TAG} || ': shares no row with the truth' FROM profile WHERE sound AND n_match = 0"""
+# The submissions as files: one file lost its rows, two cannot be read, one model has faulty truth values.
+_UNREAD = "model = 'short' AND setting = 'TA40' AND target <> 'NEE'"
+FILE_ROWS = SUB.replace("sub AS (", "sub_all AS (") + f""",
+sub AS (
+  SELECT * REPLACE (CASE WHEN model = 'shifted' AND setting = 'TA40' THEN CASE target WHEN 'NEE' THEN 'Infinity'::DOUBLE END ELSE y_true END AS y_true)
+  FROM sub_all WHERE NOT (model = 'late' AND setting = 'TA40' AND target = 'GPP') AND NOT ({_UNREAD}))"""
+_COUNTS = ["n_rows", "n_dup", "n_nan", "n_inf", "n_big", "n_match", "n_extra", "n_bad"]
+FILE_PROFILE = PROFILE.replace("counted AS (", "counted_rows AS (").replace("profile AS (", f"""counted AS (
+  SELECT o.*, {", ".join(f"coalesce(c.{n}, 0) AS {n}" for n in _COUNTS)}, c.worst
+  FROM (SELECT DISTINCT {EXP} FROM sub_all WHERE NOT ({_UNREAD})) o LEFT JOIN counted_rows c USING ({EXP})),
+profile AS (""")
+READ_MESSAGES = f"""SELECT DISTINCT model AS model_id, val_strategy, 'content_caps' AS check_name, 'error' AS severity,
+  {_TAG} || ': cannot be read: missing columns time' AS message FROM sub_all WHERE {_UNREAD}"""
+EVENT_FILES = """listed AS (
+  SELECT DISTINCT setting, target, model AS model_id, val_strategy, setting || '_' || target || '_' || model || '_val_' || val_strategy || '_predictions.csv' AS name FROM sub_all),
+files AS (
+  SELECT model_id, val_strategy, name AS path, name AS filename FROM listed
+  UNION ALL SELECT model_id, val_strategy, 'second/' || name, name FROM listed WHERE model_id = 'copied' AND setting = 'TA40' AND target = 'GPP'
+  UNION ALL SELECT model_id, val_strategy, 'strange/' || replace(name, 'copied', 'clean'), replace(name, 'copied', 'clean') FROM listed
+    WHERE model_id = 'copied' AND setting = 'TA40' AND target = 'GPP')"""
 
 # --------------------------------------------------------------------- registry
 
@@ -385,20 +404,20 @@ ORACLE: dict[str, str] = {
   CASE WHEN hit THEN s || '_' || t || '_' || m || '_val_' || v || '.csv' END AS metrics_file FROM n"""),
     "check_files": _with(FILES, JUDGED, body=FILE_MESSAGES),
     "check_sizes": _with(FILES, JUDGED, body=f"""SELECT model_id, val_strategy, 'content_caps' AS check_name, 'error' AS severity,
-  {_TAG} || ': file is ' || bytes || ' bytes (> cap 400000000)' AS message FROM fit WHERE rn = 1 AND bytes > 400000000"""),
+  {_TAG} || ': has ' || bytes || ' bytes, more than 400000000' AS message FROM fit WHERE rn = 1 AND bytes > 400000000"""),
     "check_content": _with(TRUTH, SUB, PROFILE, body=f"SELECT {EXP}, n_rows, n_dup, n_nan, n_inf, n_big, sound FROM profile"),
     "check_index": _with(TRUTH, SUB, PROFILE, EXAMPLES, body=INDEX_MESSAGES),
     "check_integrity": _with(TRUTH, SUB, PROFILE, body=f"SELECT {EXP}, n_match, n_bad, {_r('CASE WHEN sound THEN n_bad::DOUBLE / n_match END', 'bad_frac')}, {_r('worst', 'worst')} FROM profile"),
     "check_ownership": """SELECT model_id, 'mean' AS val_strategy, 'ownership' AS check_name, severity, message FROM (
-  SELECT 'm_' || c_custkey AS model_id, 'error' AS severity, 'model_id `m_' || c_custkey || '` is owned by another submitter; re-submit with the email you used originally' AS message
+  SELECT 'm_' || c_custkey AS model_id, 'error' AS severity, 'model `m_' || c_custkey || '` is recorded for another owner' AS message
     FROM customer WHERE c_custkey % 3 = 1 OR (c_custkey % 3 = 0 AND c_custkey % 5 = 0)
-  UNION ALL SELECT 'm_' || c_custkey, 'warning', 'new model_id `m_' || c_custkey || '` with no owner recorded' FROM customer WHERE c_custkey % 3 = 2 AND c_custkey % 5 = 0)""",
+  UNION ALL SELECT 'm_' || c_custkey, 'warning', 'new model `m_' || c_custkey || '` names no owner' FROM customer WHERE c_custkey % 3 = 2 AND c_custkey % 5 = 0)""",
     "validation_report": _with(
-        TRUTH, SUB, EVENT_FILES, JUDGED, PROFILE, EXAMPLES,
-        f"found AS ({FILE_MESSAGES} UNION ALL {CONTENT_MESSAGES} UNION ALL {INDEX_MESSAGES} UNION ALL {INTEGRITY_MESSAGES})",
-        """own AS (SELECT 'late' AS model_id, 'ownership' AS check_name, 'model_id `late` is owned by another submitter; re-submit with the email you used originally' AS e, '' AS w
-  UNION ALL SELECT 'short', 'ownership', '', 'new model_id `short` with no owner recorded')""",
-        """checks AS (SELECT model_id, val_strategy, check_name FROM (SELECT DISTINCT model AS model_id, val_strategy FROM sub)
+        TRUTH, FILE_ROWS, EVENT_FILES, JUDGED, FILE_PROFILE, EXAMPLES,
+        f"found AS ({FILE_MESSAGES} UNION ALL {READ_MESSAGES} UNION ALL {CONTENT_MESSAGES} UNION ALL {INDEX_MESSAGES} UNION ALL {INTEGRITY_MESSAGES})",
+        """own AS (SELECT 'late' AS model_id, 'ownership' AS check_name, 'model `late` is recorded for another owner' AS e, '' AS w
+  UNION ALL SELECT 'short', 'ownership', '', 'new model `short` names no owner')""",
+        """checks AS (SELECT model_id, val_strategy, check_name FROM (SELECT DISTINCT model AS model_id, val_strategy FROM sub_all)
   CROSS JOIN (VALUES ('files'), ('content_caps'), ('index_completeness'), ('ytrue_integrity'), ('ownership')) v(check_name))""",
         body="""SELECT c.model_id, c.val_strategy, c.check_name, coalesce(f.e, o.e, '') = '' AS passed, coalesce(f.e, o.e, '') AS errors, coalesce(o.w, '') AS warnings
   FROM checks c LEFT JOIN (SELECT model_id, val_strategy, check_name, string_agg(message, chr(10) ORDER BY message) AS e FROM found GROUP BY ALL) f

@@ -244,7 +244,8 @@ def validation_report(spark, sf):
         "model_id", F.when(F.col("model_id") == "clean", F.col("owner")).otherwise("other").alias("recorded_owner"))
     config = validation.ValidationConfig(max_file_bytes=400_000_000)
     checks = validation.validate(
-        shapes.sub_events(spark, sf), shapes.event_files(spark, sf), shapes.truth_events(spark, sf), claims, owners, config)
+        shapes.sub_event_rows(spark, sf), shapes.event_files(spark, sf), shapes.truth_events(spark, sf), claims, owners, config,
+        shapes.unreadable_event_files(spark, sf))
     return checks.select(
         *validation.SUBMISSION, "check_name", "passed", F.array_join("errors", "\n").alias("errors"),
         F.array_join("warnings", "\n").alias("warnings"))

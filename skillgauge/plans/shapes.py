@@ -155,13 +155,43 @@ def order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _event_file_name() -> Column:
+    return F.concat_ws("_", "setting", "target", "model", F.lit("val"), F.concat("val_strategy", F.lit("_predictions.csv")))
+
+
+def sub_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sub_events`` as rows of files. The file of one combo of ``late`` lost all its rows, one of ``copied``
+    has a second file with the same rows, and faulty truth values are spread over ``shifted``."""
+    rows = sub_events(spark, sf_dir).withColumn("path", _event_file_name())
+    combo = (F.col("setting") == "TA40") & (F.col("target") == "GPP")
+    rows = rows.where(~((F.col("model") == "late") & combo))
+    paths = F.when((F.col("model") == "copied") & combo, F.array("path", F.concat(F.lit("second/"), "path"))).otherwise(F.array("path"))
+    faulty = (F.col("model") == "shifted") & (F.col("setting") == "TA40")
+    y_true = (
+        F.when(faulty & (F.col("target") == "GPP"), F.lit(float("nan"))).when(faulty & (F.col("target") == "ET"), F.lit(None))
+        .when(faulty & (F.col("target") == "NEE"), F.lit(float("inf"))).otherwise(F.col("y_true"))
+    )
+    return rows.withColumn("path", F.explode(paths)).withColumn("y_true", y_true)
+
+
 def event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """File catalogue of ``sub_events``: one file per experiment, 100 bytes per row."""
-    return sub_events(spark, sf_dir).groupBy(*EXPERIMENT).agg((F.count(F.lit(1)) * 100).alias("bytes")).select(
-        F.col("model").alias("model_id"), "val_strategy",
-        F.concat_ws("_", "setting", "target", "model", F.lit("val"), F.concat("val_strategy", F.lit("_predictions.csv"))).alias("filename"),
-        "bytes",
-    ).withColumn("path", F.col("filename"))
+    """File catalogue of ``sub_event_rows``: one file per experiment, 100 bytes per row, and two more for
+    ``copied``: a second file of a combo and a file named for ``clean``."""
+    listed = sub_events(spark, sf_dir).groupBy(*EXPERIMENT).agg((F.count(F.lit(1)) * 100).alias("bytes")).withColumn("filename", _event_file_name())
+    more = (F.col("model") == "copied") & (F.col("setting") == "TA40") & (F.col("target") == "GPP")
+    own = F.struct(F.col("filename").alias("path"), F.col("filename").alias("filename"))
+    second = F.struct(F.concat(F.lit("second/"), "filename").alias("path"), F.col("filename").alias("filename"))
+    other = F.replace(F.col("filename"), F.lit("copied"), F.lit("clean"))
+    strange = F.struct(F.concat(F.lit("strange/"), other).alias("path"), other.alias("filename"))
+    files = F.explode(F.when(more, F.array(own, second, strange)).otherwise(F.array(own)))
+    return listed.withColumn("file", files).select(
+        F.col("model").alias("model_id"), "val_strategy", "file.filename", "bytes", "file.path")
+
+
+def unreadable_event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two files of ``short`` that could not be parsed."""
+    listed = sub_events(spark, sf_dir).where("model = 'short' and setting = 'TA40' and target <> 'NEE'").select(*EXPERIMENT).distinct()
+    return listed.select(_event_file_name().alias("path"), F.lit("missing columns time").alias("problem"))
 
 
 def owner_claims(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from skillgauge.operators import truth as tr
 from skillgauge.operators import validation as va
@@ -10,6 +11,7 @@ from skillgauge.schema import PREDICTION_SCHEMA, SETTINGS, TARGETS, TRUTH_SCHEMA
 from skillgauge.sources import stores
 
 SITES, HOURS, MODEL, STRATEGY = ["AR-CCg", "AU-Dry"], 24, "demo", "mean"
+ROWS = StructType([*PREDICTION_SCHEMA.fields, StructField("path", StringType())])
 OFFSET = {"GPP": 10.0, "ET": 3.0, "NEE": -1.0}
 
 
@@ -37,15 +39,24 @@ def submission(edit=None, skip=(), combo=("time-split", "GPP")):
     return files
 
 
+def listed(s, t, named=MODEL, named_strategy=STRATEGY, folder="in"):
+    name = f"{s}_{t}_{named}_val_{named_strategy}_predictions.csv"
+    return f"{folder}/{name}", name
+
+
 def validate(spark, truth, files, model=MODEL, strategy=STRATEGY, named=MODEL, named_strategy=STRATEGY,
-             owner=None, recorded=None, config=va.ValidationConfig(), size=1000):
-    rows = spark.createDataFrame([tuple(r) for f in files.values() for r in f], PREDICTION_SCHEMA)
-    names = [(model, strategy, f"in/{s}_{t}_{named}_val_{named_strategy}_predictions.csv",
-              f"{s}_{t}_{named}_val_{named_strategy}_predictions.csv", size) for s, t in files]
+             owner=None, recorded=None, config=va.ValidationConfig(), size=1000, more=(), unreadable=()):
+    """``more`` are further files of the submission: (path, filename, rows)."""
+    held = {listed(s, t, named, named_strategy): rows for (s, t), rows in files.items()}
+    held.update({(path, name): rows for path, name, rows in more})
+    rows = spark.createDataFrame(
+        [(*r, path) for (path, _), f in held.items() for r in f], ROWS)
+    names = [(model, strategy, path, name, size) for path, name in held]
     listing = spark.createDataFrame(names, "model_id string, val_strategy string, path string, filename string, bytes long")
     claims = spark.createDataFrame([(model, strategy, owner)], "model_id string, val_strategy string, owner string")
     owners = spark.createDataFrame([(model, recorded)] if recorded else [], "model_id string, recorded_owner string")
-    return {r.check_name: r for r in va.validate(rows, listing, truth, claims, owners, config).collect()}
+    broken = spark.createDataFrame([(p, "bad") for p in unreadable], "path string, problem string")
+    return {r.check_name: r for r in va.validate(rows, listing, truth, claims, owners, config, broken).collect()}
 
 
 def failed(report):
@@ -55,12 +66,12 @@ def failed(report):
 def test_clean_passes(spark, truth):
     report = validate(spark, truth, submission())
     assert set(report) == set(va.CHECKS) and failed(report) == set()
-    assert report["ownership"].warnings == ["new model_id `demo` with no owner recorded"]
+    assert report["ownership"].warnings == ["new model `demo` names no owner"]
 
 
 def test_missing_file(spark, truth):
     report = validate(spark, truth, submission(skip={("TA40", "NEE")}))
-    assert failed(report) == {"files"} and report["files"].errors == ["missing files for: TA40 x NEE"]
+    assert failed(report) == {"files"} and report["files"].errors == ["no file for TA40 x NEE"]
 
 
 def test_wrong_model_and_strategy(spark, truth):
@@ -77,13 +88,13 @@ def change(index, value, rows=slice(0, 1)):
 
 
 @pytest.mark.parametrize("edit, check, text", [
-    (change(5, float("nan")), "content_caps", "1 NaN values"),
-    (change(5, float("inf")), "content_caps", "1 non-finite"),
-    (change(5, 1e12), "content_caps", "exceed magnitude cap 1e+06"),
-    (lambda f: f + [list(f[0])], "content_caps", "1 duplicate"),
-    (lambda f: f[:-3], "index_completeness", "3 required rows missing (e.g. (AU-Dry @ 2020-06-01 21:00:00)"),
-    (lambda f: f + [[*f[0][:8], datetime(1999, 1, 1)]], "index_completeness", "1 rows not in the canonical index (e.g. (AR-CCg @ 1999-01-01 00:00:00))"),
-    (change(4, lambda y: y + 5, slice(None)), "ytrue_integrity", "on 48/48 rows (100.00%; max |d|=5)"),
+    (change(5, float("nan")), "content_caps", "1 predictions are NaN"),
+    (change(5, float("inf")), "content_caps", "1 predictions are infinite"),
+    (change(5, 1e12), "content_caps", "1 predictions are larger than 1e+06"),
+    (lambda f: f + [list(f[0])], "content_caps", "1 rows repeat"),
+    (lambda f: f[:-3], "index_completeness", "3 required rows are absent (first: (AU-Dry @ 2020-06-01 21:00:00)"),
+    (lambda f: f + [[*f[0][:8], datetime(1999, 1, 1)]], "index_completeness", "1 rows are not in the truth (first: (AR-CCg @ 1999-01-01 00:00:00))"),
+    (change(4, lambda y: y + 5, slice(None)), "ytrue_integrity", "in 48 of 48 rows (100.00%, at most by 5)"),
 ])
 def test_each_fault_fails_its_check(spark, truth, edit, check, text):
     report = validate(spark, truth, submission(edit))
@@ -106,7 +117,7 @@ def test_cap_does_not_block_integrity_but_nan_does(spark, truth):
 def test_no_overlap_fails_integrity(spark, truth):
     report = validate(spark, truth, submission(change(8, lambda t: t + timedelta(days=400), slice(None))))
     assert failed(report) == {"index_completeness", "ytrue_integrity"}
-    assert "no overlap" in report["ytrue_integrity"].errors[0]
+    assert "shares no row" in report["ytrue_integrity"].errors[0]
 
 
 def test_small_difference_is_tolerated(spark, truth):
@@ -118,6 +129,40 @@ def test_oversize_file_skips_the_other_checks(spark, truth):
     assert failed(report) == {"content_caps"} and len(report["content_caps"].errors) == 9
 
 
+@pytest.mark.parametrize("value, worst", [(float("nan"), "-"), (None, "-"), (float("inf"), "inf"), (float("-inf"), "inf")])
+def test_faulty_truth_values_fail_integrity_only(spark, truth, value, worst):
+    report = validate(spark, truth, submission(change(4, value)))
+    assert failed(report) == {"ytrue_integrity"}
+    assert report["ytrue_integrity"].errors == [f"time-split x GPP: y_true differs from the truth in 1 of 48 rows (2.08%, at most by {worst})"]
+
+
+def test_file_without_rows_fails(spark, truth):
+    report = validate(spark, truth, submission(lambda f: []))
+    assert failed(report) == {"index_completeness", "ytrue_integrity"}
+    assert report["index_completeness"].errors[0].startswith("time-split x GPP: 48 required rows are absent (first: (AR-CCg @")
+
+
+def test_second_file_of_a_combo_adds_no_rows(spark, truth):
+    files = submission()
+    path, name = listed("time-split", "GPP", folder="late")
+    report = validate(spark, truth, files, more=[(path, name, files["time-split", "GPP"])])
+    assert failed(report) == {"files"} and "has a second file" in report["files"].errors[0]
+
+
+def test_file_named_for_another_model_adds_no_rows(spark, truth):
+    files = submission()
+    path, name = listed("time-split", "GPP", named="other")
+    spoiled = [[*r[:4], 999.0, *r[5:]] for r in files["time-split", "GPP"]]
+    assert failed(validate(spark, truth, files, more=[(path, name, spoiled)])) == {"files"}
+
+
+def test_unreadable_file_fails_content_and_skips_the_rest(spark, truth):
+    path, _ = listed("time-split", "GPP")
+    report = validate(spark, truth, submission(lambda f: f[:3]), unreadable=[path])
+    assert failed(report) == {"content_caps"}
+    assert report["content_caps"].errors == ["time-split x GPP: cannot be read: bad"]
+
+
 def test_ownership(spark, truth):
     assert failed(validate(spark, truth, submission(), owner="b", recorded="a")) == {"ownership"}
     assert failed(validate(spark, truth, submission(), owner="a", recorded="a")) == set()
