@@ -16,6 +16,7 @@ from skillgauge import schema as sc
 from skillgauge.functions import formatting as fmt
 from skillgauge.functions.numeric import ratio
 from skillgauge.operators.ranking import exact_quantile, value_ranks
+from skillgauge.sources.stores import stage
 
 ENTRY = ["target", "model", "val_strategy"]
 COLUMN = ["setting", "scale"]
@@ -160,12 +161,15 @@ def entry_scores(skills: DataFrame) -> DataFrame:
 def with_places(skills: DataFrame) -> DataFrame:
     """Attach the entry's ``place`` within its target by ``overall``, best first; ties share one.
 
-    An entry without a score has no place and sorts last.
+    An entry without a score has no place and sorts last. Scores are stored first: the same sum
+    evaluated twice may differ in its last bit, and an entry would lose its place.
     """
-    places = value_ranks(entry_scores(skills), ["target"], "overall", descending=True).select(
+    scores = stage(entry_scores(skills), "entry-scores")
+    places = value_ranks(scores, ["target"], "overall", descending=True).select(
         "target", "overall", (F.col("first_rank") + 1).alias("place")
     )
-    return skills.join(places, ["target", "overall"], "left")
+    placed = scores.join(places, ["target", "overall"], "left").select(*ENTRY, "place")
+    return skills.join(placed, ENTRY, "left")
 
 
 def leaderboard(
@@ -176,11 +180,12 @@ def leaderboard(
     labels: DataFrame | None = None,
     reach: float = 0.2,
     lower_is_better: bool = True,
+    weights: dict[str, float] | None = None,
 ) -> DataFrame:
     """Long leaderboard of every target: cells with skill, texts and colour, and the entry's place."""
     if not lower_is_better:
         raise ValueError("the leaderboard assumes that lower metric values are better")
-    skills = skill_scores(cells(metrics, metric, agg), baseline)
+    skills = skill_scores(cells(metrics, metric, agg), baseline, weights)
     table = relative_to_best(with_places(skills), reach, lower_is_better)
     return with_labels(table, labels).select(
         "target", "place", "model_label", "strategy_label", "model", "val_strategy", "setting", "scale",

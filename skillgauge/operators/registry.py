@@ -25,20 +25,25 @@ def _texts(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
-def _field(name: str) -> Column:
-    return F.get_json_object("doc", f"$.{name}")
+_DOCUMENT = "struct<" + ",".join(f"{k}:string" for k in [*TOP_FIELDS, "val_strategy_display"]) + ",files:array<string>>"
 
 
 def parse_registry(registry: DataFrame) -> DataFrame:
-    """Document fields as columns, ``files`` as an array of JSON texts; unreadable documents drop out."""
-    return registry.where(F.json_object_keys("doc").isNotNull()).select(
-        "path", "doc",
-        *[_field(k).alias(k) for k in TOP_FIELDS], _field("val_strategy_display").alias("val_strategy_display"),
-        F.json_object_keys("doc").alias("present"),
-        F.from_json(_field("files"), "array<string>").alias("files"),
+    """Document fields as columns, ``files`` as an array of JSON texts; unreadable documents drop out
+    (``unreadable_documents`` lists them). Each document is read once for its fields and once for the
+    names of its keys."""
+    read = registry.where(F.json_object_keys("doc").isNotNull()).withColumn("d", F.from_json("doc", _DOCUMENT))
+    return read.select(
+        "path", "doc", *[F.col(f"d.{k}").alias(k) for k in [*TOP_FIELDS, "val_strategy_display"]],
+        F.json_object_keys("doc").alias("present"), F.col("d.files").alias("files"),
     )
 
 
+def unreadable_documents(registry: DataFrame) -> DataFrame:
+    """Paths of documents that are no JSON object."""
+    return registry.where(F.json_object_keys("doc").isNull()).select("path")
+
+
 def schema_problems(parsed: DataFrame) -> DataFrame:
     """Attach ``problems``: texts for missing fields, unknown status, empty files, missing file fields."""
     status = F.col("status")
@@ -50,13 +55,13 @@ def schema_problems(parsed: DataFrame) -> DataFrame:
     no_files = F.coalesce(F.size("files"), F.lit(0)) <= 0
     file_texts = F.flatten(F.transform("files", lambda f: F.transform(
         F.array_except(F.col("required"), F.coalesce(F.json_object_keys(f), _texts([]))),
-        lambda k: F.concat(F.lit("file "), quoted(F.get_json_object(f, "$.filename")), F.lit(" missing field: "), k),
+        lambda k: F.concat(F.lit("file "), quoted(F.get_json_object(f, "$.filename")), F.lit(" lacks the field "), k),
     )))
     return parsed.withColumn("required", required).withColumn("problems", F.concat(
-        F.transform(absent, lambda k: F.concat(F.lit("missing top-level field: "), k)),
+        F.transform(absent, lambda k: F.concat(F.lit("lacks the field "), k)),
         F.when(~F.coalesce(status.isin(list(STAGE_FIELDS)), F.lit(False)),
-               F.array(F.concat(F.lit("invalid status: "), quoted(status)))).otherwise(_texts([])),
-        F.when(no_files, _texts(["`files` must be a non-empty list"])).otherwise(file_texts),
+               F.array(F.concat(F.lit("unknown status "), quoted(status)))).otherwise(_texts([])),
+        F.when(no_files, _texts(["lists no files"])).otherwise(file_texts),
     )).drop("required", "present")
 
 
@@ -80,7 +85,7 @@ def intake_gate(registry: DataFrame, objects: DataFrame) -> DataFrame:
     judged = schema_problems(parse_registry(registry))
     pending = F.coalesce(F.col("status") == "pending", F.lit(False))
     judged = judged.withColumn("problems", F.concat(
-        "problems", F.when(~pending, _texts(["status must be `pending` for a submission"])).otherwise(_texts([]))
+        "problems", F.when(~pending, _texts(["only a `pending` submission can be taken in"])).otherwise(_texts([]))
     ))
     shown = judged.select(
         "path", F.coalesce("model_id", F.lit("?")).alias("model_id"), F.coalesce("val_strategy", F.lit("?")).alias("val_strategy"),
@@ -88,13 +93,17 @@ def intake_gate(registry: DataFrame, objects: DataFrame) -> DataFrame:
     )
     faults = shown.select(*SUBMISSION, F.explode("problems").alias("message"))
     listed = registry_files(shown.where(F.size("problems") == 0))
+    # A key that is null finds no object and is named None.
     absent = (
         listed.join(objects.select(F.col("path").alias("r2_key")), "r2_key", "left_anti")
         .groupBy(*SUBMISSION)
-        .agg(F.min_by("r2_key", "position").alias("r2_key"))
-        .select(*SUBMISSION, F.concat(F.lit("could not fetch `"), "r2_key", F.lit("`")).alias("message"))
+        .agg(F.min_by(F.coalesce("r2_key", F.lit("None")), "position").alias("r2_key"))
+        .select(*SUBMISSION, F.concat(F.lit("no stored object for `"), "r2_key", F.lit("`")).alias("message"))
     )
-    return messages(faults.unionByName(absent), "metadata", text=F.col("message"))
+    broken = unreadable_documents(registry).select(
+        F.lit("?").alias("model_id"), F.lit("?").alias("val_strategy"),
+        F.concat(F.lit("cannot be read: "), F.coalesce("path", F.lit("-"))).alias("message"))
+    return messages(faults.unionByName(absent).unionByName(broken), "metadata", text=F.col("message"))
 
 
 def admitted(registry: DataFrame, gate: DataFrame) -> DataFrame:

@@ -90,13 +90,18 @@ def truth_slice(truth: DataFrame, setting: str, target: str) -> DataFrame:
     return part
 
 
-def join_truth(predictions: DataFrame, truth: DataFrame) -> DataFrame:
-    """Replace the submitted truth by the canonical one; unmatched rows keep a NULL truth.
+def canonical_truth(truth: DataFrame) -> DataFrame:
+    """Truth rows with unique keys; a repeated key raises when its row is read. The check groups by
+    the keys of the join, so it shares the join's shuffle."""
+    repeated = F.raise_error(F.concat(F.lit("truth key repeated: "), F.concat_ws("/", *[F.col(k).cast("string") for k in TRUTH_KEYS])))
+    return truth.groupBy(*TRUTH_KEYS).agg(F.max("y_true").alias("y_max"), F.count(F.lit(1)).alias("copies")).select(
+        *TRUTH_KEYS, F.when(F.col("copies") > 1, repeated.cast("double")).otherwise(F.col("y_max")).alias("y_true"))
 
-    The keys of the truth must be unique (``truth_assertions``), so no row is multiplied.
-    """
-    canonical = truth.select(*TRUTH_KEYS, "y_true")
-    return predictions.drop("y_true").join(canonical, TRUTH_KEYS, "left")
+
+def join_truth(predictions: DataFrame, truth: DataFrame) -> DataFrame:
+    """Replace the submitted truth by the canonical one; unmatched rows keep a NULL truth. A
+    repeated truth key raises, so no row is multiplied."""
+    return predictions.drop("y_true").join(canonical_truth(truth), TRUTH_KEYS, "left")
 
 
 def coverage(joined: DataFrame) -> DataFrame:

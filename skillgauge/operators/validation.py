@@ -16,7 +16,7 @@ from skillgauge.functions.formatting import significant
 from skillgauge.functions.naming import parse_file_name
 from skillgauge.functions.numeric import is_close, is_infinite, ratio
 from skillgauge.operators.ranking import first_rows
-from skillgauge.operators.truth import TRUTH_KEYS
+from skillgauge.operators.truth import TRUTH_KEYS, canonical_truth
 from skillgauge.schema import EXPERIMENT, SETTINGS, TARGETS
 from skillgauge.sources.stores import stage
 
@@ -159,7 +159,7 @@ def file_profile(
     Missing keys are counted as truth rows minus matched keys, so the truth is shuffled once and
     not once per submission.
     """
-    canonical = truth.select(*TRUTH_KEYS, F.col("y_true").alias("y_ref"), F.lit(True).alias("known"))
+    canonical = canonical_truth(truth).select(*TRUTH_KEYS, F.col("y_true").alias("y_ref"), F.lit(True).alias("known"))
     keyed = key_profile(rows, config).join(canonical, TRUTH_KEYS, "left")
     known = F.coalesce(F.col("known"), F.lit(False))
     bad = known & ~is_close(F.col("y_sub"), F.col("y_ref"), config.ytrue_rtol, config.ytrue_atol)

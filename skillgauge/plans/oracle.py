@@ -331,13 +331,13 @@ REGISTRY = """reg AS (
          CASE WHEN c_custkey % 13 = 0 THEN 'scored' WHEN c_custkey % 17 = 0 THEN 'draft' ELSE 'pending' END AS status FROM customer),
 entries AS (SELECT r.*, n FROM reg r CROSS JOIN (VALUES ('0'), ('1')) e(n) WHERE k % 19 <> 0),
 faults AS (
-  SELECT k, 1 AS pos, 0 AS sub, 'missing top-level field: email' AS message FROM reg WHERE k % 7 = 0
-  UNION ALL SELECT k, 2, 0, 'missing top-level field: submitted_at' FROM reg WHERE k % 11 = 0
-  UNION ALL SELECT k, 3, 0, 'invalid status: ''draft''' FROM reg WHERE status = 'draft'
-  UNION ALL SELECT k, 4, 0, '`files` must be a non-empty list' FROM reg WHERE k % 19 = 0
-  UNION ALL SELECT k, 5, CAST(n AS INT) * 10 + 1, 'file ''file_' || n || ''' missing field: target' FROM entries WHERE k % 23 = 0
-  UNION ALL SELECT k, 5, CAST(n AS INT) * 10 + 2, 'file ''file_' || n || ''' missing field: r2_key' FROM entries WHERE k % 29 = 0 AND status = 'pending'
-  UNION ALL SELECT k, 5, CAST(n AS INT) * 10 + 3, 'file ''file_' || n || ''' missing field: sha256' FROM entries WHERE status = 'scored')"""
+  SELECT k, 1 AS pos, 0 AS sub, 'lacks the field email' AS message FROM reg WHERE k % 7 = 0
+  UNION ALL SELECT k, 2, 0, 'lacks the field submitted_at' FROM reg WHERE k % 11 = 0
+  UNION ALL SELECT k, 3, 0, 'unknown status ''draft''' FROM reg WHERE status = 'draft'
+  UNION ALL SELECT k, 4, 0, 'lists no files' FROM reg WHERE k % 19 = 0
+  UNION ALL SELECT k, 5, CAST(n AS INT) * 10 + 1, 'file ''file_' || n || ''' lacks the field target' FROM entries WHERE k % 23 = 0
+  UNION ALL SELECT k, 5, CAST(n AS INT) * 10 + 2, 'file ''file_' || n || ''' lacks the field r2_key' FROM entries WHERE k % 29 = 0 AND status = 'pending'
+  UNION ALL SELECT k, 5, CAST(n AS INT) * 10 + 3, 'file ''file_' || n || ''' lacks the field sha256' FROM entries WHERE status = 'scored')"""
 
 # --------------------------------------------------------------------- incremental
 
@@ -464,8 +464,8 @@ ORACLE: dict[str, str] = {
   WHERE status = 'pending' AND NOT EXISTS (SELECT 1 FROM faults f WHERE f.k = e.k)
     AND ((k % 31 = 0 AND n = '1') OR (k % 31 <> 0 AND k % 37 = 0)))""", body="""SELECT r.model_id, r.val_strategy, 'metadata' AS check_name, 'error' AS severity, m.message FROM reg r JOIN (
     SELECT k, message FROM faults
-    UNION ALL SELECT k, 'status must be `pending` for a submission' FROM reg WHERE status <> 'pending'
-    UNION ALL SELECT k, 'could not fetch `incoming/' || model_id || '_val_' || val_strategy || '/file_' || n || '`' FROM lost WHERE rn = 1) m ON r.k = m.k"""),
+    UNION ALL SELECT k, 'only a `pending` submission can be taken in' FROM reg WHERE status <> 'pending'
+    UNION ALL SELECT k, 'no stored object for `incoming/' || model_id || '_val_' || val_strategy || '/file_' || n || '`' FROM lost WHERE rn = 1) m ON r.k = m.k"""),
     "recorded_owner": _with(REGISTRY, body="SELECT model_id, arg_min(c_name, 'submissions/' || model_id || '_val_' || val_strategy || '/metadata.json') AS recorded_owner FROM reg GROUP BY ALL"),
     "submitter_identity": """SELECT c_custkey, email, regexp_matches(email, '^[^\\s@]+@[^\\s@]+\\.[^\\s@]+$') AS email_ok, sha256(email) AS owner, slug,
   regexp_matches(slug, '^[a-z0-9][a-z0-9_-]{0,48}$') AS slug_ok FROM (
@@ -479,7 +479,8 @@ ORACLE: dict[str, str] = {
   b AS (SELECT call_id, row_number() OVER (PARTITION BY CAST("time" AS DATE) ORDER BY "time", call_id) AS d FROM a WHERE h <= 1)
   SELECT a.call_id, a.client, a."time", CASE WHEN h > 1 THEN 'hourly_limit' WHEN d > 50 THEN 'daily_limit' ELSE 'admitted' END AS decision FROM a LEFT JOIN b ON a.call_id = b.call_id""",
     "incremental_pending": _with(SUB, body="SELECT DISTINCT model, val_strategy FROM sub WHERE model NOT IN ('clean', 'shifted')"),
-    "incremental_score": _with(*EVENT_METRICS, body=METRICS_OUT + " WHERE NOT EXISTS (SELECT 1 FROM uncovered u WHERE u.model = metrics.model AND u.val_strategy = metrics.val_strategy)"),
-    "incremental_status": _with(TRUTH, SUB, JOINED, body="SELECT count(*) AS rows, count(*) FILTER (y_true IS NULL) AS unmatched, CASE WHEN count(*) FILTER (y_true IS NULL) = 0 THEN 'scored' ELSE 'failed' END AS status, model, val_strategy FROM pred GROUP BY ALL"),
+    "incremental_score": _with(*EVENT_METRICS, body=METRICS_OUT + " WHERE NOT EXISTS (SELECT 1 FROM uncovered u WHERE u.model = metrics.model AND u.val_strategy = metrics.val_strategy) AND model <> 'copied'"),
+    "incremental_status": _with(TRUTH, SUB, JOINED, body="""SELECT rows, unmatched, absent, CASE WHEN unmatched = 0 AND absent = 0 THEN 'scored' ELSE 'failed' END AS status, model, val_strategy FROM (
+  SELECT model, val_strategy, count(*) AS rows, count(*) FILTER (y_true IS NULL) AS unmatched, max(CASE model WHEN 'copied' THEN 1 ELSE 0 END)::BIGINT AS absent FROM pred GROUP BY ALL)"""),
 }
 ORACLE["incremental_stream"] = ORACLE["incremental_score"]

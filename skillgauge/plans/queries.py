@@ -365,9 +365,14 @@ def quota_admission(spark, sf):
 
 
 def _event_registry(spark, sf) -> DataFrame:
-    doc = F.to_json(F.struct(F.col("model").alias("model_id"), "val_strategy", F.lit("pending").alias("status")))
-    return shapes.sub_events(spark, sf).select("model", "val_strategy").distinct().select(
-        F.concat("model", F.lit(".json")).alias("path"), doc.alias("doc"))
+    """One document per model with its files; ``copied`` lists one more file than it has."""
+    listed = shapes.sub_events(spark, sf).select(*EXPERIMENT).distinct()
+    lost = F.struct(F.lit("TA40").alias("setting"), F.lit("lost").alias("target"))
+    own = F.array_sort(F.collect_list(F.struct("setting", "target")))  # nine at most
+    docs = listed.groupBy("model", "val_strategy").agg(own.alias("own")).withColumn(
+        "files", F.when(F.col("model") == "copied", F.concat("own", F.array(lost))).otherwise(F.col("own")))
+    doc = F.to_json(F.struct(F.col("model").alias("model_id"), "val_strategy", F.lit("pending").alias("status"), "files"))
+    return docs.select(F.concat("model", F.lit(".json")).alias("path"), doc.alias("doc"))
 
 
 def incremental_pending(spark, sf):
@@ -380,17 +385,19 @@ def incremental_pending(spark, sf):
 
 def incremental_score(spark, sf):
     """Metrics of the pending submissions that can be scored as a whole."""
-    pending = registry.pending(_event_registry(spark, sf)).withColumnRenamed("model_id", "model")
+    docs = _event_registry(spark, sf)
     metrics, _ = incremental.score_submissions(
-        pending, clean_predictions(shapes.scored_events(spark, sf)), shapes.truth_events(spark, sf),
+        registry.pending(docs).withColumnRenamed("model_id", "model"), clean_predictions(shapes.scored_events(spark, sf)),
+        shapes.truth_events(spark, sf), incremental.listed_files(docs),
         thresholds=EVENT_THRESHOLDS)
     return _metrics(metrics)
 
 
 def incremental_status(spark, sf):
-    pending = registry.pending(_event_registry(spark, sf)).withColumnRenamed("model_id", "model")
+    docs = _event_registry(spark, sf)
     _, status = incremental.score_submissions(
-        pending, clean_predictions(shapes.scored_events(spark, sf)), shapes.truth_events(spark, sf),
+        registry.pending(docs).withColumnRenamed("model_id", "model"), clean_predictions(shapes.scored_events(spark, sf)),
+        shapes.truth_events(spark, sf), incremental.listed_files(docs),
         thresholds=EVENT_THRESHOLDS)
     return status
 

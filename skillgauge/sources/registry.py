@@ -15,8 +15,9 @@ def read_registry(spark: SparkSession, folder: str, one_per_file: bool = True) -
     )
 
 
-def stream_registry(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as they arrive, one per line of any new file."""
-    return spark.readStream.schema(REGISTRY_STREAM_SCHEMA).text(folder).select(
+def stream_registry(spark: SparkSession, folder: str, max_files: int = 1000) -> DataFrame:
+    """Documents as they arrive, one per line of any new file; a batch takes ``max_files`` files at most
+    and leaves the others to the next."""
+    return spark.readStream.schema(REGISTRY_STREAM_SCHEMA).option("maxFilesPerTrigger", max_files).text(folder).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("doc")
     )

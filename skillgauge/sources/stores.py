@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,11 +24,12 @@ def _replace_partitions(df: DataFrame, path: str, partitions: list[str]) -> None
 
 def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     """A store nothing was written to yet reads as empty."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(jvm_path):
+    try:
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def write_truth(truth: DataFrame, path: str) -> None:

@@ -1,7 +1,7 @@
 """Score newly arrived submissions once, as a batch or as a stream.
 
-A submission is scored as a whole: one uncovered row in any of its files leaves it pending, to be
-tried again by the next run. Writes replace the partitions of the scored experiments, so a batch
+A submission is scored as a whole: one uncovered row in any of its files, or a file listed in the
+registry without rows, leaves it pending, to be tried again by the next run. Writes replace the partitions of the scored experiments, so a batch
 that is replayed after a failure gives the same tables.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skillgauge.operators.registry import pending
+from skillgauge.operators.registry import parse_registry, pending, registry_files
 from skillgauge.operators.scoring import compute_metrics
 from skillgauge.operators.truth import coverage, join_truth
 from skillgauge.sources import stores
@@ -25,15 +25,19 @@ SCORED, FAILED = "scored", "failed"
 STATUS_SCHEMA = T.StructType([
     T.StructField("rows", T.LongType()),
     T.StructField("unmatched", T.LongType()),
+    T.StructField("absent", T.LongType()),
     T.StructField("status", T.StringType()),
     T.StructField("model", T.StringType()),
     T.StructField("val_strategy", T.StringType()),
 ])
 
 
+FILES_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("setting", "target", *SUBMISSION_KEYS)])
+
+
 @dataclass(frozen=True)
 class Store:
-    """Folders of the metrics and status tables."""
+    """Folders of the metrics, status and listed-files tables."""
 
     root: str
 
@@ -45,6 +49,13 @@ class Store:
     def status(self) -> str:
         return f"{self.root}/status"
 
+    @property
+    def files(self) -> str:
+        return f"{self.root}/files"
+
+    def read_files(self, spark: SparkSession) -> DataFrame:
+        return stores._read_or_empty(spark, self.files, FILES_SCHEMA)
+
     def read_status(self, spark: SparkSession) -> DataFrame:
         return stores._read_or_empty(spark, self.status, STATUS_SCHEMA)
 
@@ -55,38 +66,56 @@ def unscored(submissions: DataFrame, status: DataFrame) -> DataFrame:
     return submissions.join(done, SUBMISSION_KEYS, "left_anti")
 
 
-def score_submissions(submissions: DataFrame, predictions: DataFrame, truth: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
-    """``(metrics, status)`` of the listed submissions (model, val_strategy)."""
+def listed_files(registry: DataFrame) -> DataFrame:
+    """(setting, target, model, val_strategy) of every file the registry's documents list."""
+    entries = registry_files(parse_registry(registry)).withColumnRenamed("model_id", "model")
+    return entries.select(*FILES_SCHEMA.names).distinct()
+
+
+def score_submissions(
+    submissions: DataFrame, predictions: DataFrame, truth: DataFrame, files: DataFrame, **options
+) -> tuple[DataFrame, DataFrame]:
+    """``(metrics, status)`` of the listed submissions (model, val_strategy). ``files`` names the
+    (setting, target) each must cover."""
     wanted = predictions.join(submissions.select(*SUBMISSION_KEYS).distinct(), SUBMISSION_KEYS, "left_semi")
     joined = join_truth(wanted, truth)
-    found = coverage(joined).groupBy(*SUBMISSION_KEYS).agg(
-        F.sum("rows").alias("rows"), F.sum("unmatched").alias("unmatched")
-    )
-    status = submissions.select(*SUBMISSION_KEYS).distinct().join(found, SUBMISSION_KEYS, "left").select(
-        F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("unmatched", F.lit(0)).alias("unmatched"),
-        F.when((F.coalesce("rows", F.lit(0)) > 0) & (F.col("unmatched") == 0), SCORED).otherwise(FAILED).alias("status"),
-        *SUBMISSION_KEYS,
+    covered = coverage(joined)
+    found = covered.groupBy(*SUBMISSION_KEYS).agg(F.sum("rows").alias("rows"), F.sum("unmatched").alias("unmatched"))
+    lacking = files.join(covered.select(*FILES_SCHEMA.names), FILES_SCHEMA.names, "left_anti").groupBy(*SUBMISSION_KEYS).agg(
+        F.count(F.lit(1)).alias("absent"))
+    counts = ["rows", "unmatched", "absent"]
+    status = (
+        submissions.select(*SUBMISSION_KEYS).distinct().join(found, SUBMISSION_KEYS, "left").join(lacking, SUBMISSION_KEYS, "left")
+        .na.fill(0, counts)
+        .select(
+            *counts,
+            F.when((F.col("rows") > 0) & (F.col("unmatched") == 0) & (F.col("absent") == 0), SCORED).otherwise(FAILED).alias("status"),
+            *SUBMISSION_KEYS,
+        )
     )
     good = status.where(F.col("status") == SCORED).select(*SUBMISSION_KEYS)
     metrics = compute_metrics(joined, **options).join(good, SUBMISSION_KEYS, "left_semi")
     return metrics, status
 
 
-def score_into(store: Store, submissions: DataFrame, predictions: DataFrame, truth: DataFrame, **options) -> None:
+def score_into(
+    store: Store, submissions: DataFrame, predictions: DataFrame, truth: DataFrame, files: DataFrame, **options
+) -> None:
     """Score what is not scored yet and record it. Metrics are written before the status, so a
     submission is never marked scored without its metrics."""
     spark = submissions.sparkSession
     todo = unscored(submissions, store.read_status(spark))
     if todo.isEmpty():
         return
-    metrics, status = score_submissions(todo, predictions, truth, **options)
+    metrics, status = score_submissions(todo, predictions, truth, files, **options)
     stores.write_metrics(metrics, store.metrics)
     stores._replace_partitions(status, store.status, SUBMISSION_KEYS)
 
 
 def score_pending(store: Store, registry: DataFrame, predictions: DataFrame, truth: DataFrame, **options) -> None:
     """Batch form: every pending submission of the registry."""
-    score_into(store, pending(registry).withColumnRenamed("model_id", "model"), predictions, truth, **options)
+    submissions = pending(registry).withColumnRenamed("model_id", "model")
+    score_into(store, submissions, predictions, truth, listed_files(registry), **options)
 
 
 def run_stream(
@@ -98,9 +127,11 @@ def run_stream(
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
         arrived = pending(batch).withColumnRenamed("model_id", "model").select(*SUBMISSION_KEYS)
-        retry = store.read_status(batch.sparkSession).where(F.col("status") == FAILED).select(*SUBMISSION_KEYS)
-        score_into(store, arrived.unionByName(retry).distinct(), predictions, truth, **options)
+        retry = store.read_status(session).where(F.col("status") == FAILED).select(*SUBMISSION_KEYS)
+        stores._replace_partitions(listed_files(batch), store.files, SUBMISSION_KEYS)
+        score_into(store, arrived.unionByName(retry).distinct(), predictions, truth, store.read_files(session), **options)
 
     return (
         stream_registry(spark, registry_folder).writeStream.foreachBatch(on_batch)

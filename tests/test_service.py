@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from skillgauge.functions import naming
 from skillgauge.operators import registry as rg
 from skillgauge.operators.scoring import compute_metrics
+from skillgauge.operators.truth import join_truth
 from skillgauge.schema import EXPERIMENT, PREDICTION_SCHEMA
 from skillgauge.sources import catalogue, predictions as pr, stores
 from skillgauge.sources.registry import read_registry
@@ -35,12 +36,12 @@ def problems(spark, doc):
 
 def test_schema(spark):
     assert problems(spark, document()) == []
-    assert problems(spark, document(drop=["email"])) == ["missing top-level field: email"]
-    assert problems(spark, document(status="odd")) == ["invalid status: 'odd'"]
-    assert problems(spark, document(files=[])) == ["`files` must be a non-empty list"]
-    assert problems(spark, document(drop=["files"])) == ["`files` must be a non-empty list"]
-    assert problems(spark, document(status="scored")) == ["file 'f.csv' missing field: sha256"]
-    assert problems(spark, document(files=[{"setting": "TA40", "target": "ET", "r2_key": "k"}])) == ["file None missing field: filename"]
+    assert problems(spark, document(drop=["email"])) == ["lacks the field email"]
+    assert problems(spark, document(status="odd")) == ["unknown status 'odd'"]
+    assert problems(spark, document(files=[])) == ["lists no files"]
+    assert problems(spark, document(drop=["files"])) == ["lists no files"]
+    assert problems(spark, document(status="scored")) == ["file 'f.csv' lacks the field sha256"]
+    assert problems(spark, document(files=[{"setting": "TA40", "target": "ET", "r2_key": "k"}])) == ["file None lacks the field filename"]
     assert rg.parse_registry(table(spark, "not json")).count() == 0
 
 
@@ -51,10 +52,18 @@ def test_intake(spark):
     docs = table(spark, document("a"), scored, lost, document("d", drop=["owner"]))
     gate = rg.intake_gate(docs, objects)
     found = {r.model_id: r.message for r in gate.collect()}
-    assert found == {"b": "status must be `pending` for a submission", "c": "could not fetch `k/z`", "d": "missing top-level field: owner"}
+    assert found == {"b": "only a `pending` submission can be taken in", "c": "no stored object for `k/z`", "d": "lacks the field owner"}
     assert [r.model_id for r in rg.admitted(docs, gate).collect()] == ["a"]
 
 
+def test_intake_reports_null_keys_and_unreadable_documents(spark):
+    objects = spark.createDataFrame([("k/f.csv",), (None,)], "path string")
+    entry = {"filename": "f", "setting": "TA40", "target": "ET", "r2_key": None}
+    gate = rg.intake_gate(table(spark, document("a", files=[entry]), "no json", "[1]"), objects)
+    assert sorted((r.model_id, r.message) for r in gate.collect()) == [
+        ("?", "cannot be read: submissions/1.json"), ("?", "cannot be read: submissions/2.json"), ("a", "no stored object for `None`")]
+
+
 def test_owner_labels(spark):
     docs = table(spark, document("a", owner="first"), document("a", "max", owner="second"), document("", owner="x"))
     owners = {r.model_id: r.recorded_owner for r in rg.recorded_owners(docs).collect()}
@@ -153,6 +162,25 @@ def test_batch_scoring_is_idempotent_and_retries(spark, work, tmp_path):
     assert again.where("model = 'demo'").count() == len(first) and again.where("model = 'stray'").count() == len(first)
 
 
+def test_submission_lacking_a_listed_file_is_not_scored(spark, work, tmp_path):
+    truth, rows = work
+    store = inc.Store(str(tmp_path / "store"))
+    both = [{"filename": f"{t}.csv", "setting": "TA40", "target": t, "r2_key": t} for t in ("ET", "GPP")]
+    part = rows.where("model = 'demo' and not (setting = 'TA40' and target = 'GPP')")
+    inc.score_pending(store, table(spark, document("demo", files=both)), part, truth, scales=["hourly"])
+    assert state(spark, store) == {"demo": "failed"} and stores.read_metrics(spark, store.metrics).count() == 0
+    inc.score_pending(store, table(spark, document("demo", files=both)), rows, truth, scales=["hourly"])
+    assert state(spark, store) == {"demo": "scored"}
+
+
+def test_repeated_truth_key_raises(spark, work):
+    truth, rows = work
+    doubled = truth.unionByName(truth.where("setting = 'TA40' and target = 'ET'").limit(1))
+    with pytest.raises(Exception, match="truth key repeated"):
+        join_truth(rows, doubled).agg(F.sum("y_true")).collect()
+    assert join_truth(rows, truth).count() == rows.count()
+
+
 def test_stream_scores_arrivals_once(spark, work, tmp_path):
     truth, rows = work
     store, inbox = inc.Store(str(tmp_path / "store")), tmp_path / "inbox"
