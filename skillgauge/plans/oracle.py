@@ -484,3 +484,26 @@ ORACLE: dict[str, str] = {
   SELECT model, val_strategy, count(*) AS rows, count(*) FILTER (y_true IS NULL) AS unmatched, max(CASE model WHEN 'copied' THEN 1 ELSE 0 END)::BIGINT AS absent FROM pred GROUP BY ALL)"""),
 }
 ORACLE["incremental_stream"] = ORACLE["incremental_score"]
+
+_REPORT = ORACLE["validation_report"]
+ORACLE["validation_overall"] = f"""SELECT model_id, val_strategy, bool_and(passed) AS passed, count(*) AS n_checks, bool_and(passed) AS report_passed
+FROM ({_REPORT}) GROUP BY ALL"""
+ORACLE["validation_text"] = f"""SELECT model_id, val_strategy, check_name, CASE WHEN passed THEN '- [x] ' ELSE '- [ ] ' END || check_name
+  || CASE WHEN errors <> '' THEN chr(10) || '    - ' || replace(errors, chr(10), chr(10) || '    - ') ELSE '' END
+  || CASE WHEN warnings <> '' THEN chr(10) || '    - warning: ' || replace(warnings, chr(10), chr(10) || '    - warning: ') ELSE '' END AS text
+FROM ({_REPORT})"""
+ORACLE["truth_store"] = _with(TRUTH, body=f"""SELECT setting, target, count(*) AS rows, min(site_id) AS first_site, max("time") AS last_time,
+  {_r('sum(y_true)', 'total', 4)} FROM truth GROUP BY ALL""")
+ORACLE["manifest_store"] = ORACLE["truth_manifest"]
+ORACLE["metric_store"] = _with(
+    *MODEL_METRICS, body=METRICS_OUT + " WHERE val_strategy = 'mean' AND setting IN ('TA40', 'time-split') AND scale IN ('weekly', 'iav')")
+_TEXT = lambda v, d: f"coalesce(format('{{:.{d}f}}', {v}), '-')"
+ORACLE["leaderboard_texts"] = _with(
+    *BOARD, _cells(0.9), *_skills(),
+    f"c AS (SELECT *, {_closeness()} AS s, CASE scale WHEN 'hourly' THEN 2.0 WHEN 'iav' THEN 0.5 ELSE 1.0 END::DOUBLE AS w FROM skills)",
+    """scored AS (SELECT target, model, val_strategy, sum(w * skill) / nullif(sum(w) FILTER (skill IS NOT NULL), 0) AS score FROM c GROUP BY ALL)""",
+    body=f"""SELECT c.target, r.place, c.model, c.val_strategy, c.setting, c.scale, {_r('r.score', 'overall', 4)}, {_r('c.s', 'closeness', 4)},
+  CASE WHEN c.target = 'ET' THEN {_TEXT('c.value', 4)} ELSE {_TEXT('c.value', 2)} END AS value_text, {_TEXT('c.skill', 2)} AS skill_text,
+  {_TEXT('r.score', 2)} AS overall_text,
+  format('{{:02X}}{{:02X}}{{:02X}}', CAST(trunc(255 - s * 156) AS INT), CAST(trunc(255 - s * 65) AS INT), CAST(trunc(255 - s * 132) AS INT)) AS colour
+  FROM c JOIN (SELECT *, rank() OVER (PARTITION BY target ORDER BY score DESC) AS place FROM scored) r USING (target, model, val_strategy)""")

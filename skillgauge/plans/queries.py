@@ -22,6 +22,7 @@ from skillgauge.operators.regression import compare_metrics
 from skillgauge.plans import shapes
 from skillgauge.schema import EXPERIMENT, METRICS, with_required_combos
 from skillgauge.session import shared_folder
+from skillgauge.sources import stores
 from skillgauge.sources.stores import stage
 from skillgauge.streaming import incremental
 
@@ -184,6 +185,31 @@ def manifest_verification(spark, sf):
     return truth.verify_manifest(table, recorded).select("setting", "target", "rows", "rows_now", "sites", "sites_now", "matches")
 
 
+def truth_store(spark, sf):
+    """The truth written by (setting, target), read back."""
+    path = f"{shared_folder(spark)}/truth-{uuid.uuid4().hex}"
+    stores.write_truth(shapes.truth_events(spark, sf), path)
+    return stores.read_truth(spark, path).groupBy("setting", "target").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("site_id").alias("first_site"), F.max("time").alias("last_time"),
+        tidy(F.sum("y_true"), 4).alias("total"))
+
+
+def manifest_store(spark, sf):
+    """The manifest of the truth written as JSON, read back."""
+    path = f"{shared_folder(spark)}/manifest-{uuid.uuid4().hex}"
+    stores.write_manifest(shapes.truth_events(spark, sf), path)
+    return stores.read_manifest(spark, path)
+
+
+def metric_store(spark, sf):
+    """Metrics computed where they are missing from the store, stored by experiment, and read by filter."""
+    path = f"{shared_folder(spark)}/metrics-{uuid.uuid4().hex}"
+    rows, options = clean_predictions(shapes.pred_models(spark, sf)), {"thresholds": ts.Thresholds(hour_to_day=LINEITEM_HOURS)}
+    stores.load_all_metrics(spark, path, rows, models=["xgb"], **options)
+    shown = stores.load_all_metrics(spark, path, rows, settings=["TA40", "time-split"], scales=["weekly", "iav", "monthly"], **options)
+    return _metrics(shown)
+
+
 def truth_coverage(spark, sf):
     return truth.coverage(truth.join_truth(clean_predictions(shapes.sub_events(spark, sf)), shapes.truth_events(spark, sf)))
 
@@ -237,20 +263,35 @@ def check_ownership(spark, sf):
     return validation.check_ownership(shapes.owner_claims(spark, sf), shapes.owner_records(spark, sf))
 
 
-def validation_report(spark, sf):
+def _checked(spark, sf) -> DataFrame:
     claims = shapes.sub_events(spark, sf).select(F.col("model").alias("model_id"), "val_strategy").distinct().withColumn(
         "owner", F.when(F.col("model_id") != "short", F.sha2(F.col("model_id").cast("binary"), 256)))
     owners = claims.where(F.col("model_id").isin("clean", "late")).select(
         "model_id", F.when(F.col("model_id") == "clean", F.col("owner")).otherwise("other").alias("recorded_owner"))
     config = validation.ValidationConfig(max_file_bytes=400_000_000)
-    checks = validation.validate(
+    return validation.validate(
         shapes.sub_event_rows(spark, sf), shapes.event_files(spark, sf), shapes.truth_events(spark, sf), claims, owners, config,
         shapes.unreadable_event_files(spark, sf))
-    return checks.select(
+
+
+def validation_report(spark, sf):
+    return _checked(spark, sf).select(
         *validation.SUBMISSION, "check_name", "passed", F.array_join("errors", "\n").alias("errors"),
         F.array_join("warnings", "\n").alias("warnings"))
 
 
+def validation_overall(spark, sf):
+    """One verdict per submission, and what its JSON report says."""
+    whole = validation.overall(_checked(spark, sf))
+    return whole.select(
+        *validation.SUBMISSION, "passed", F.size("checks").cast("bigint").alias("n_checks"),
+        F.get_json_object("report", "$.passed").cast("boolean").alias("report_passed"))
+
+
+def validation_text(spark, sf):
+    return validation.report_text(_checked(spark, sf))
+
+
 def regression_compare(spark, sf):
     metrics = stage(model_metrics(spark, sf), "metrics")
     recorded = metrics.withColumn("rmse", F.when(F.col("env").startswith("A"), F.col("rmse") * 1.0001).otherwise(F.col("rmse"))).withColumn(
@@ -287,6 +328,14 @@ def leaderboard_ranked(spark, sf):
         *[tidy(F.col(c), 4).alias(c) for c in ("value", "skill", "overall")])
 
 
+def leaderboard_texts(spark, sf):
+    """Texts, closeness and colour of the cells, with given weights."""
+    table = lb.leaderboard(board_metrics(spark, sf), agg="q90", weights={"hourly": 2.0, "iav": 0.5})
+    return table.select(
+        "target", "place", "model", "val_strategy", "setting", "scale", tidy(F.col("overall"), 4).alias("overall"),
+        tidy(F.col("closeness"), 4).alias("closeness"), "value_text", "skill_text", "overall_text", "colour")
+
+
 def relative_to_best(spark, sf):
     table = lb.relative_to_best(lb.with_facts(lb.cells(board_metrics(spark, sf))))
     return table.select(
@@ -425,6 +474,7 @@ QUERIES: dict[str, Query] = {
         masked_weekly_fraction, metrics_hourly, metrics_all_scales, sample_size_summary, custom_metrics, scale_status,
         truth_manifest, truth_assertions, manifest_verification, truth_coverage, truth_join_score, file_names,
         check_files, check_sizes, check_content, check_index, check_integrity, check_ownership, validation_report,
+        validation_overall, validation_text, truth_store, manifest_store, metric_store, leaderboard_texts,
         regression_compare, leaderboard_wide, skill_scores, leaderboard_ranked, relative_to_best, cdf_curve,
         quantile_curve, metric_by_setting, axis_bound, model_order, metadata_schema_check, intake_gate, recorded_owner,
         submitter_identity, missing_experiments, quota_admission, incremental_pending, incremental_score,

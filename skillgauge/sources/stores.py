@@ -12,6 +12,7 @@ from skillgauge.operators.truth import truth_manifest
 from skillgauge.schema import EXPERIMENT, METRICS_SCHEMA, TRUTH_SCHEMA
 from skillgauge.session import shared_folder
 
+_MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # the default drops what is below a millisecond
 METRIC_PARTITIONS = ["target", "setting", "model", "val_strategy"]
 
 
@@ -44,11 +45,11 @@ def read_truth(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_manifest(truth: DataFrame, path: str) -> None:
-    truth_manifest(truth).write.mode("overwrite").json(path)
+    truth_manifest(truth).write.mode("overwrite").option("timestampNTZFormat", _MICROSECONDS).json(path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(
+    return spark.read.option("timestampNTZFormat", _MICROSECONDS).schema(
         "setting string, target string, rows long, sites long, time_min timestamp_ntz, time_max timestamp_ntz"
     ).json(path)
 
