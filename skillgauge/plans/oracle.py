@@ -494,6 +494,7 @@ ORACLE["validation_text"] = f"""SELECT model_id, val_strategy, check_name, CASE
 FROM ({_REPORT})"""
 ORACLE["truth_store"] = _with(TRUTH, body=f"""SELECT setting, target, count(*) AS rows, min(site_id) AS first_site, max("time") AS last_time,
   {_r('sum(y_true)', 'total', 4)} FROM truth GROUP BY ALL""")
+ORACLE["metric_files"] = ORACLE["metrics_hourly"]
 ORACLE["manifest_store"] = ORACLE["truth_manifest"]
 ORACLE["metric_store"] = _with(
     *MODEL_METRICS, body=METRICS_OUT + " WHERE val_strategy = 'mean' AND setting IN ('TA40', 'time-split') AND scale IN ('weekly', 'iav')")

@@ -22,7 +22,7 @@ from skillgauge.operators.regression import compare_metrics
 from skillgauge.plans import shapes
 from skillgauge.schema import EXPERIMENT, METRICS, with_required_combos
 from skillgauge.session import shared_folder
-from skillgauge.sources import stores
+from skillgauge.sources import predictions, stores
 from skillgauge.sources.stores import stage
 from skillgauge.streaming import incremental
 
@@ -210,6 +210,13 @@ def metric_store(spark, sf):
     return _metrics(shown)
 
 
+def metric_files(spark, sf):
+    """Metrics written as CSV by experiment, read back."""
+    path = f"{shared_folder(spark)}/metric-files-{uuid.uuid4().hex}"
+    predictions.write_metric_files(scoring.compute_metrics(event_rows(spark, sf), scales=["hourly"]), path)
+    return _metrics(predictions.read_metric_files(spark, path))
+
+
 def truth_coverage(spark, sf):
     return truth.coverage(truth.join_truth(clean_predictions(shapes.sub_events(spark, sf)), shapes.truth_events(spark, sf)))
 
@@ -474,7 +481,7 @@ QUERIES: dict[str, Query] = {
         masked_weekly_fraction, metrics_hourly, metrics_all_scales, sample_size_summary, custom_metrics, scale_status,
         truth_manifest, truth_assertions, manifest_verification, truth_coverage, truth_join_score, file_names,
         check_files, check_sizes, check_content, check_index, check_integrity, check_ownership, validation_report,
-        validation_overall, validation_text, truth_store, manifest_store, metric_store, leaderboard_texts,
+        validation_overall, validation_text, truth_store, manifest_store, metric_store, metric_files, leaderboard_texts,
         regression_compare, leaderboard_wide, skill_scores, leaderboard_ranked, relative_to_best, cdf_curve,
         quantile_curve, metric_by_setting, axis_bound, model_order, metadata_schema_check, intake_gate, recorded_owner,
         submitter_identity, missing_experiments, quota_admission, incremental_pending, incremental_score,

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillgauge.functions.naming import base_name, parse_file_name
+from skillgauge.functions.naming import base_name, experiment_name, parse_file_name
 from skillgauge.functions.timeparts import parse_time
-from skillgauge.schema import EXPERIMENT, METRICS, PREDICTION_COLUMNS
+from skillgauge.schema import EXPERIMENT, METRICS, METRICS_SCHEMA, PREDICTION_COLUMNS
 
 # Texts that mean a missing number.
 MISSING_TEXTS = ["", "na", "n/a", "nan", "-nan", "null", "none", "<na>", "#n/a", "#na"]
@@ -34,14 +34,14 @@ def _csv(spark: SparkSession, paths: list[str] | str, **options) -> DataFrame:
     return spark.read.options(header=True, enforceSchema=False, **options).csv(paths)
 
 
-def header_groups(spark: SparkSession, paths: list[str] | str) -> dict[str, list[str]]:
+def header_groups(spark: SparkSession, paths: list[str] | str, **options) -> dict[str, list[str]]:
     """Files by header line, for folders whose files order their columns differently.
 
     A file's header is its first line, found by its place in the file. One row per file reaches
     the driver, which holds the file list anyway.
     """
     first = (
-        spark.read.text(paths)
+        spark.read.options(**options).text(paths)
         .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
                 F.monotonically_increasing_id().alias("line"), "value")
         .where(F.col("start") == 0)
@@ -102,20 +102,43 @@ def unreadable_files(spark: SparkSession, paths: list[str] | str, mixed_headers:
     ).alias("problem")).where(F.col("problem") != "")
 
 
+_METRIC_COLUMNS = ["target", "setting", "model", "scale", "env", "n_samples", *METRICS]
+_METRIC_FILES = {"recursiveFileLookup": True, "pathGlobFilter": "*.csv"}
+
+
+def _complete(header: str) -> bool:
+    return set(_METRIC_COLUMNS) <= {c.strip().strip('"') for c in header.split(",")}
+
+
+def _metric_name() -> Column:
+    """Experiment of a metric file: by its own name, or by the folder the sink gives it."""
+    folder = F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), "experiment=([^/]+)/[^/]+$", 1)
+    return F.coalesce(parse_file_name(F.col("_metadata.file_name")), parse_file_name(F.concat(folder, F.lit(".csv"))))
+
+
 def read_metric_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """Metric CSVs of all submissions in one table; the strategy comes from the file name, and
-    files with another name are skipped."""
-    df = _csv(spark, paths, recursiveFileLookup=True, pathGlobFilter="*.csv")
-    named = df.withColumn("named", parse_file_name(F.col("_metadata.file_name"))).where(
-        F.col("named").isNotNull() & ~F.col("named.is_raw")
-    )
-    return named.select(
-        "target", "setting", "model", F.col("named.val_strategy").alias("val_strategy"), "scale", "env",
-        F.col("n_samples").try_cast("bigint").alias("n_samples"),
-        *[parse_number(F.col(m)).alias(m) for m in METRICS],
-    )
+    """Metric CSVs of all submissions in one table; the strategy comes from the name. Files with
+    another name or without one of the columns are skipped (``skipped_metric_files`` lists the latter)."""
+    table = spark.createDataFrame([], METRICS_SCHEMA)
+    for header, files in header_groups(spark, paths, **_METRIC_FILES).items():
+        if not _complete(header):
+            continue
+        named = _csv(spark, files).withColumn("named", _metric_name()).where(F.col("named").isNotNull() & ~F.col("named.is_raw"))
+        table = table.unionByName(named.select(
+            "target", "setting", "model", F.col("named.val_strategy").alias("val_strategy"), "scale", "env",
+            F.col("n_samples").try_cast("bigint").alias("n_samples"),
+            *[parse_number(F.col(m)).alias(m) for m in METRICS],
+        ))
+    return table
+
+
+def skipped_metric_files(spark: SparkSession, paths: list[str] | str) -> list[str]:
+    """Metric files that lack a column."""
+    groups = header_groups(spark, paths, **_METRIC_FILES)
+    return sorted(path for header, files in groups.items() if not _complete(header) for path in files)
 
 
 def write_metric_files(metrics: DataFrame, folder: str) -> None:
-    """Metrics as CSV, one folder per experiment."""
-    metrics.write.mode("overwrite").partitionBy("val_strategy", "model").option("header", True).csv(folder)
+    """Metrics as CSV that ``read_metric_files`` reads back: one folder per experiment, named after it."""
+    name = experiment_name(*[F.col(k) for k in EXPERIMENT])
+    metrics.withColumn("experiment", name).write.mode("overwrite").partitionBy("experiment").option("header", True).csv(folder)

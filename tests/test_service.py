@@ -134,6 +134,17 @@ def test_metric_store(spark, tmp_path):
     assert len(row) == 1 and row[0].val_strategy == "max" and row[0].n_samples == 3 and row[0].nse is None and row[0].bias is None
 
 
+def test_metric_files_round_trip_and_bad_files_are_named(spark, tmp_path):
+    metrics = compute_metrics(series(spark, hours("a", "2020-01-01", 24, 1, 2)), scales=["hourly", "daily"])
+    folder = tmp_path / "out"
+    pr.write_metric_files(metrics, str(folder))
+    write(tmp_path / "out" / "more", "TA40_ET_x_val_max.csv", ["target,setting", "ET,TA40"])
+    back = pr.read_metric_files(spark, str(folder))
+    key = lambda r: (r.scale, r.env)
+    assert sorted(back.select(*metrics.columns).collect(), key=key) == sorted(metrics.collect(), key=key)
+    assert [p.rsplit("/", 1)[1] for p in pr.skipped_metric_files(spark, str(folder))] == ["TA40_ET_x_val_max.csv"]
+
+
 @pytest.fixture()
 def work(spark):
     truth = spark.createDataFrame(truth_rows(), TRUTH_SCHEMA)
