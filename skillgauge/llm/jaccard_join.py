@@ -27,17 +27,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skillgauge.llm import words as W
-from skillgauge.llm.components import components
+from skillgauge.llm.links import bodies_of, link_groups, unpack, with_bodies
 from skillgauge.sources.stores import stage
 
 _CELL_BITS = 22
 _SHARD_BITS = 18
 _FLUSH = 1 << 21
-_ID_BITS = 23
 
 
 def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
@@ -96,7 +95,7 @@ def frequency_levels(body: DataFrame, size: int) -> bytes:
     """One byte per cell: about twice the logarithm of how many documents hold the cell's shingles. 4 MB at any corpus size."""
     levels = bytearray(1 << _CELL_BITS)
     counted = body.mapInArrow(_count_cells(size), "shard int, counts binary").repartition("shard")
-    for row in counted.mapInPandas(_add_cells, "shard int, level binary").toLocalIterator():
+    for row in counted.mapInPandas(_add_cells, "shard int, level binary").collect():
         levels[row["shard"] << _SHARD_BITS : (row["shard"] + 1) << _SHARD_BITS] = row["level"]
     return bytes(levels)
 
@@ -125,39 +124,10 @@ def _signatures(size: int, percent: int, levels):
     return run
 
 
-def _by_id_bits(bits):
-    def run(batches):
-        known = np.frombuffer(bits.value, dtype=np.uint8)
-        for batch in batches:
-            at = np.asarray(batch.column("cell"))
-            keep = (known[at >> 3] >> (at & 7)) & 1 == 1
-            yield batch.filter(pa.array(keep)).select(["doc_id", "body"])
-
-    return run
-
-
-def _id_cell(name: str):
-    return F.shiftrightunsigned(F.xxhash64(name), 64 - _ID_BITS)
-
-
-def texts_of_ids(body: DataFrame, ids: DataFrame) -> DataFrame:
-    """Texts of the documents in ``ids`` (doc_id) without shuffling the others: a bitmap of fixed size
-    (1 MB) drops most others at the scan, a join the rest."""
-    spark = body.sparkSession
-    cells = ids.select(_id_cell("doc_id").alias("c")).groupBy(F.shiftright("c", 3).alias("byte")).agg(
-        F.bit_or(F.expr("shiftleft(1, cast(c & 7 as int))")).alias("bits"))
-    bitmap = np.zeros(1 << (_ID_BITS - 3), dtype=np.uint8)
-    for byte, bits in cells.toLocalIterator():
-        bitmap[byte] = bits
-    known = spark.sparkContext.broadcast(bitmap.tobytes())
-    near = body.where(F.col("doc_id").isNotNull()).withColumn("cell", _id_cell("doc_id"))
-    return near.mapInArrow(_by_id_bits(known), "doc_id long, body binary").join(ids, "doc_id", "left_semi")
-
-
 def _verify(size: int, percent: int):
     def run(batches):
         for batch in batches:
-            left, right = shingle_sets(W.bodies(batch, "body_a"), size), shingle_sets(W.bodies(batch, "body_b"), size)
+            left, right = shingle_sets(unpack(batch, "body_a"), size), shingle_sets(unpack(batch, "body_b"), size)
             keep = []
             for x, y in zip(left, right):
                 both = np.sort(np.concatenate([x, y]))
@@ -168,16 +138,6 @@ def _verify(size: int, percent: int):
     return run
 
 
-def verified(body: DataFrame, pairs: DataFrame, size: int, percent: int, name: str) -> DataFrame:
-    """The pairs (a, b) whose whole shingle sets are similar enough."""
-    pairs = stage(pairs, f"{name}-pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = stage(texts_of_ids(body, ids), f"{name}-texts")
-    with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("body").alias("body_a")), "a")
-    with_b = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("body").alias("body_b")), "b")
-    return stage(with_b.mapInArrow(_verify(size, percent), "a long, b long"), f"{name}-links")
-
-
 def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per document row. Two documents link when the
     Jaccard similarity of their sets of ``size``-word shingles is at least ``percent`` hundredths."""
@@ -190,43 +150,26 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
         signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("s1", "s2", "n")
         .agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"))
         .withColumn("key", F.xxhash64("prefix", "n")), "classes")
-    heads = classes.groupBy("key", "n").agg(F.min("rep").alias("head"), F.first("prefix").alias("prefix"))
-    members = classes.select("rep", "key", "n").join(heads.select("key", "n", "head"), ["key", "n"]).select("rep", "head", "n")
+    heads = stage(classes.groupBy("key", "n").agg(F.min("rep").alias("head"), F.first("prefix").alias("prefix")), "heads")
+    members = classes.select("rep", "key", "n").join(heads.select("key", "n", "head"), ["key", "n"]).select(F.col("rep").alias("node"), "head")
     members = stage(members, "members")
-    tokens = stage(heads.select("head", "n", F.posexplode("prefix").alias("pos", "token")), "prefixes")
-
-    # First looks: a member at its group's head, a group at the least head it shares a shingle with.
+    # Most shingles of a prefix are in one group only and find nothing; the later steps never see them.
+    listed = heads.select("head", "n", F.posexplode("prefix").alias("pos", "token"))
+    shared = listed.groupBy("token").agg(F.min("head").alias("low"), F.max("head").alias("high")).where("low < high").select("token")
+    tokens = stage(listed.join(shared, "token"), "prefixes")
     banded = tokens.withColumn("band", F.floor(F.log("n") / float(-np.log(percent / 100))))
     firsts = banded.groupBy("token", "band").agg(F.min("head").alias("b"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    near = banded.join(firsts, ["token", "band"]).where(F.col("head") != F.col("b")).groupBy("head").agg(F.min("b").alias("b"))
-    looks = members.where("rep != head").select(F.col("rep").alias("a"), F.col("head").alias("b"))
-    links = verified(body, looks.union(near.select(F.col("head").alias("a"), "b")), size, percent, "first")
-    labels = components(links, "a", "b")
-
-    # All remaining pairs of a list: those in different components.
-    labelled = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "rep", "head", "n", F.coalesce("component", "rep").alias("label"))
-    labelled = stage(labelled, "labelled")
-    spread = labelled.groupBy("head").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    tagged = tokens.join(spread, "head")
-    mixed = tagged.groupBy("token").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least < most")
-    left = tagged.join(mixed.select("token"), "token", "left_semi")
-    x, y = left.alias("x"), left.alias("y")
-    fits = (
-        (F.col("x.head") < F.col("y.head"))
-        & ((F.col("x.low") != F.col("y.high")) | (F.col("x.high") != F.col("y.low")))
-        & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-        & ((100 + percent) * F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-           >= percent * (F.col("x.n") + F.col("y.n")))
-    )
-    group_pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & fits).select(F.col("x.head").alias("g"), F.col("y.head").alias("h")).distinct()
-    group_pairs = group_pairs.union(spread.where("low < high").select(F.col("head").alias("g"), F.col("head").alias("h")))
-    one = labelled.select(F.col("head").alias("g"), F.col("rep").alias("a"), F.col("label").alias("la"))
-    two = labelled.select(F.col("head").alias("h"), F.col("rep").alias("b"), F.col("label").alias("lb"))
-    rest = group_pairs.join(one, "g").join(two, "h").where(F.col("la") != F.col("lb"))
-    rest = rest.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    more = verified(body, rest, size, percent, "rest")
-    final = components(links.union(more), "a", "b")
+    near = banded.join(firsts, ["token", "band"]).where(F.col("head") != F.col("b")).groupBy(F.col("head").alias("a")).agg(F.min("b").alias("b"))
+
+    def fits(x: DataFrame, y: DataFrame) -> Column:
+        most = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))  # overlap, if this is the first shared shingle
+        sizes = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
+        return sizes & ((100 + percent) * most >= percent * (F.col("x.n") + F.col("y.n")))
+
+    find = bodies_of(body.withColumnRenamed("doc_id", "id"))
+    verify = lambda pairs, name: stage(
+        with_bodies(find, pairs, name).mapInArrow(_verify(size, percent), "a long, b long"), f"{name}-links")
+    final = link_groups(members, tokens, near, fits, verify)
 
     named = classes.select("s1", "s2", "n", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
         "s1", "s2", "n", F.coalesce("component", "rep").alias("component_id"))
