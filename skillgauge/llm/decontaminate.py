@@ -142,7 +142,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> Da
     cell = marks.select(F.shiftrightunsigned("key", 64 - _BITS).alias("cell"))
     words = cell.groupBy(F.shiftright("cell", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(cell & 63 as int))")).alias("bits"))
     bitmap = np.zeros(1 << (_BITS - 6), dtype=np.int64)
-    for at, bits in words.toLocalIterator():
+    for at, bits in words.collect():
         bitmap[at] = bits
     known = spark.sparkContext.broadcast(bitmap.tobytes())
 

@@ -242,19 +242,19 @@ def _seed(texts: list[np.ndarray], states: int, unigram: np.ndarray) -> Model:
         return np.array([(log[s] * n[:, None]).sum(axis=0) / n.sum() for s, n in bags])
 
     if texts:
-        chosen = [int(np.argmax([n.sum() for _, n in bags]))]
+        sizes = np.array([n.sum() for _, n in bags])
+        chosen = [int(sizes.argmax())]
         while len(chosen) < min(states, len(texts)):
             groups = np.full(len(texts), -1)
             groups[chosen] = range(len(chosen))
-            best = gains(emissions(groups))[:, : len(chosen)].max(axis=1)
-            weight = best - 10.0 / np.array([n.sum() for _, n in bags])  # short texts are noise, not seeds
-            best[chosen] = np.inf
-            chosen.append(int(np.argmin(np.where(np.isinf(best), np.inf, weight + 20.0 / np.sqrt([n.sum() for _, n in bags])))))
+            # The text least like any seed so far; short texts gain by chance and are made less attractive.
+            likeness = gains(emissions(groups))[:, : len(chosen)].max(axis=1) + 20.0 / np.sqrt(sizes)
+            likeness[chosen] = np.inf
+            chosen.append(int(likeness.argmin()))
         groups = np.full(len(texts), -1)
         groups[chosen] = range(len(chosen))
         for _ in range(8):
-            member = gains(emissions(groups)).argmax(axis=1)
-            groups = member
+            member = groups = gains(emissions(groups)).argmax(axis=1)
     emit = emissions(member) if texts else np.repeat(unigram[:, None], states, axis=1)
     emit = 0.8 * emit + 0.2 * unigram[:, None]
     start = (np.bincount(member, minlength=states) + 1.0) if texts else np.ones(states)
@@ -286,6 +286,21 @@ def _score(shared):
     return run
 
 
+def frequent_words(counts: DataFrame, most: int) -> DataFrame:
+    """The words of (word, c) above the least count class that keeps them to ``most`` words. Classes are
+    single counts up to 1024 and 64 per doubling beyond, so some thousand rows decide the cut."""
+    c = F.col("c")
+    kind = F.when(c <= 1024, c).otherwise(1024 + F.floor(64 * F.log2(c / 1024))).cast("long")
+    sizes = sorted(((r[0], r[1]) for r in counts.groupBy(kind.alias("k")).count().collect()), reverse=True)
+    cut, held = None, 0
+    for k, n in sizes:
+        held += n
+        if held > most:
+            break
+        cut = k
+    return counts.where(kind >= F.lit(cut)) if cut is not None else counts.limit(0)
+
+
 def language_model_scores(docs: DataFrame, states: int = 8, passes: int = 2) -> DataFrame:
     """Scores of all rows of ``docs`` (doc_id, text, held_out), learned from those not held out: n_tokens,
     n_known, train_tokens, base_score (add-half unigram) and score (hidden Markov model), in log10."""
@@ -295,19 +310,19 @@ def language_model_scores(docs: DataFrame, states: int = 8, passes: int = 2) ->
     training = body.where(~F.col("held_out"))
     counts = stage(training.select("body").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("c")), "words")
     n_words, total = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
-    listed = counts.orderBy(F.desc("c"), "word").limit(_TABLE_WORDS).toPandas()
+    listed = frequent_words(counts, _TABLE_WORDS).toPandas().sort_values(["c", "word"], ascending=[False, True])
     vocabulary = Vocabulary(listed["word"].to_numpy(np.int64).view(np.uint64), listed["c"].to_numpy(np.int64), training.count(), n_words, int(total))
     known = spark.sparkContext.broadcast(vocabulary)
     texts = stage(body.mapInArrow(_to_symbols(known), _DOC_SQL).withColumn("uid", F.monotonically_increasing_id()), "symbols")
 
     trained = texts.where(~F.col("held_out")).select("doc_id", "symbols")
-    sample = trained.orderBy(F.xxhash64("doc_id"), "symbols").limit(_SEED_DOCS).collect()
+    sample = W.least_rows(trained, F.xxhash64("doc_id", "symbols"), _SEED_DOCS).collect()
     model = _seed([np.frombuffer(bytes(r["symbols"]), dtype="<u2").astype(np.int64) for r in sample], states, vocabulary.unigram)
     for _ in range(passes):
         shared = spark.sparkContext.broadcast(model)
         parts = trained.select("symbols").mapInArrow(_expect(shared), "shard int, sums binary").repartition("shard").mapInPandas(_add, "shard int, sums binary")
         head, emits = np.zeros(states + states * states), np.zeros((_N_SYMBOLS, states))
-        for shard, blob in parts.toLocalIterator():
+        for shard, blob in parts.collect():
             values = np.frombuffer(bytes(blob), dtype=np.float64)
             if shard < 0:
                 head = values

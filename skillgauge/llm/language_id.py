@@ -171,7 +171,7 @@ def train(docs: DataFrame) -> Filters:
         share = rate / F.sum(rate).over(Window.partitionBy("gram"))
         held = counts.join(numbers, "lang").withColumn("share", share).where(F.col("share") >= 1.0 / len(langs)).select("gram", "number")
         cells = held.mapInArrow(_filter_cells, "cell long, byte int, bit int").groupBy("cell", "byte").agg(F.bit_or("bit").alias("bits"))
-        for cell, byte, bits in cells.toLocalIterator():
+        for cell, byte, bits in cells.collect():
             masks[cell, byte] = bits
     return Filters(langs, masks)
 

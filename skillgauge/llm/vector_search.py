@@ -227,7 +227,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
     rows = stage(single.select("vec_id", "embedding").mapInArrow(_quantise(scale), "vec_id long, dim long, norm double, body binary"), "vectors")
     dim, most = rows.agg(F.coalesce(F.max("dim"), F.lit(0)), F.coalesce(F.max("norm"), F.lit(0.0))).first()
 
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(_SAMPLE).collect()
+    sample = W.least_rows(rows, F.xxhash64("vec_id"), _SAMPLE).collect()
     lifted = np.zeros((max(1, len(sample)), dim + 1))
     if sample:
         lifted[:, :-1] = _matrix([bytes(r["body"]) for r in sample], dim)

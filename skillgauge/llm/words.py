@@ -144,6 +144,15 @@ def hash_windows(words: np.ndarray, size: int, which: int = 0) -> np.ndarray:
     return mix(out, size)
 
 
+def hash_runs(words: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """One hash of the whole word sequence of every text."""
+    base = _WINDOW_BASES[1]
+    sums = np.zeros(len(words) + 1, dtype=_U)
+    np.cumsum(words * powers(base, len(words)), out=sums[1:])
+    first, last = begins[:-1], begins[1:]
+    return mix((sums[last] - sums[first]) * powers(inverse(base), len(words) + 1)[first] + (last - first).astype(_U), 5)
+
+
 def window_starts(begins: np.ndarray, size: int) -> np.ndarray:
     """Positions in the joined words at which a run of ``size`` words stays inside its text."""
     total = int(begins[-1])
@@ -163,6 +172,13 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(_ROWS_PER_BATCH))
 
 
+def least_rows(df: DataFrame, key: Column, n: int) -> DataFrame:
+    """The ``n`` rows of least ``key``. Tasks send ``n`` keys each to find the cut, then only rows within it."""
+    keyed = df.withColumn("_key", key)
+    cut = keyed.select("_key").orderBy("_key").limit(n).agg(F.max("_key")).first()[0]
+    return keyed.where(F.col("_key") <= F.lit(cut)).orderBy("_key").limit(n).drop("_key")
+
+
 def bodies(batch, name: str = "body") -> list[bytes]:
     """The texts of an Arrow batch; null reads as empty."""
     return [b or b"" for b in batch.column(name).to_pylist()]
