@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skillgauge.llm import line_dedup, token_rollup, vector_search, warc
+from skillgauge.llm import words as W
 from skillgauge.llm.components import components
 from tests.llm.cases import DOCS, corpus, documents
 
@@ -146,13 +147,13 @@ def levenshtein(a, b):
     return row[-1]
 
 
-def kept_lines(spark, rows, min_chars=20, distance=3, percent=80):
+def kept_lines(rows, min_words=5, distance=3, percent=80):
     """Brute force over all pairs of distinct normalised lines."""
-    texts = sorted({line for _, t in rows if t is not None for line in t.split("\n")})
-    frame = spark.createDataFrame([(t,) for t in texts], "t string")
-    normal = {r.t: r.n for r in frame.select("t", line_dedup.normalised(F.col("t")).alias("n")).collect()} if texts else {}
-    lines = sorted({n for n in normal.values() if len(n) >= min_chars})
-    codes = [int(x) for x in line_dedup.simhashes([n.encode() for n in lines])] if lines else []
+    texts = {line for _, t in rows if t is not None for line in t.split("\n")}
+    normal = {t: line_dedup.normalised(t.encode()).decode() for t in texts}
+    long = lambda n: len(n.split()) >= min_words
+    lines = sorted({n for n in normal.values() if long(n)})
+    codes = [int(x) for x in line_dedup.simhashes(*W.hash_words([n.encode() for n in lines], W.SPACED))] if lines else []
     root = {n: n for n in lines}
 
     def find(x):
@@ -164,8 +165,8 @@ def kept_lines(spark, rows, min_chars=20, distance=3, percent=80):
         for j in range(i):
             b = lines[j]
             if (codes[i] ^ codes[j]).bit_count() <= distance:
-                longer = max(len(a), len(b))
-                if levenshtein(a, b) <= (100 - percent) * longer // 100:
+                x, y = a.split(), b.split()
+                if levenshtein(x, y) <= (100 - percent) * max(len(x), len(y)) // 100:
                     root[find(a)] = find(b)
     seen, out = set(), {}
     for doc_id, text in sorted(rows, key=lambda r: r[0]):
@@ -176,7 +177,7 @@ def kept_lines(spark, rows, min_chars=20, distance=3, percent=80):
         own = text.split("\n")
         for line in own:
             n = normal[line]
-            if len(n) >= min_chars:
+            if long(n):
                 if find(n) in seen:
                     continue
                 seen.add(find(n))
@@ -193,7 +194,7 @@ def test_line_dedup(spark, distance, blocks):
     docs = documents(spark, rows).withColumns({c: F.lit("x") for c in ("line", "body", "pos", "n", "doc", "version", "row", "parts", "whole")})
     got = line_dedup.dedup_lines(docs, distance=distance, blocks=blocks)
     assert got.columns == [*docs.columns, "n_lines", "n_removed"]
-    assert {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in got.collect()} == kept_lines(spark, rows, distance=distance)
+    assert {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in got.collect()} == kept_lines(rows, distance=distance)
 
 
 def test_line_dedup_ids_and_empty_table(spark):
@@ -226,7 +227,7 @@ def test_pipeline_stages(spark, tmp_path):
         if name == "language_id":
             assert set(after) == {d for d, t in before.items() if any(c.isalpha() for c in t or "")}
         elif name == "line_dedup":
-            want = kept_lines(spark, sorted(before.items()))
+            want = kept_lines(sorted(before.items()))
             assert {d: r.text for d, r in after.items()} == {d: t for d, (t, n, gone) in want.items() if gone < n or not gone}
         elif name == "jaccard_join":
             assert set(after) == {d for d, (_, c) in jaccard(sorted(before.items()), 5, 80).items() if c == d}
