@@ -448,7 +448,7 @@ ORACLE: dict[str, str] = {
     "relative_to_best": _with(*BOARD, _cells(), *_skills(), f"c AS (SELECT *, {_closeness()} AS s FROM skills)", body=f"""
   SELECT target, model, val_strategy, setting, scale, {_r('s', 'closeness')},
     format('{{:02X}}{{:02X}}{{:02X}}', CAST(trunc(255 - s * 156) AS INT), CAST(trunc(255 - s * 65) AS INT), CAST(trunc(255 - s * 132) AS INT)) AS colour,
-    format('{{:.2g}}', value) AS text FROM c"""),
+    format('{{:.2g}}', value + 1e-10::DOUBLE) AS text FROM c"""),
     "cdf_curve": _with(*BOARD, body=_curve("rmse", "ASC", "v", _SHARE, ("value", "share"))),
     "quantile_curve": _with(*BOARD, body=_curve("nse", "DESC", _SHARE, "v", ("x", "y"))),
     "metric_by_setting": _with(*BOARD, body=f"""SELECT target, setting, scale, model, val_strategy, {_r('quantile_cont(rmse, 0.5)', 'value')},

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from skillgauge.functions import naming
 from skillgauge.functions.formatting import significant
-from skillgauge.functions.numeric import tidy
+from skillgauge.functions.numeric import TIE_BREAK, tidy
 from skillgauge.operators import curves, leaderboard as lb, quota, registry, scoring, truth, validation
 from skillgauge.operators import temporal as ts
 from skillgauge.operators.cleaning import clean_predictions
@@ -347,7 +347,7 @@ def relative_to_best(spark, sf):
     table = lb.relative_to_best(lb.with_facts(lb.cells(board_metrics(spark, sf))))
     return table.select(
         *lb.ENTRY, *lb.COLUMN, tidy(F.col("closeness")).alias("closeness"), "colour",
-        significant(F.col("value"), 2).alias("text"))
+        significant(F.col("value") + F.lit(TIE_BREAK), 2).alias("text"))
 
 
 def cdf_curve(spark, sf):
