@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from skillgauge.llm import words as W
 
 _SHORT = 48
-_CACHED_WORDS = 400_000
+_CACHED_WORDS = 120_000
 _NONE = np.iinfo(np.int32).max
 
 
@@ -248,7 +248,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(encoder.encode(texts), pa.binary())], names=["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(W.frugal(run), "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -262,7 +262,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.binary()).cast(pa.string())], names=["doc_id", "ids", "decoded"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded string")
+    return encoded.select("doc_id", "ids").mapInArrow(W.frugal(run), "doc_id long, ids binary, decoded string")
 
 
 def default_path() -> str:

@@ -148,7 +148,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> Da
 
     body = W.texts_of(docs).withColumnRenamed("doc_id", "id")
     marked = stage(
-        body.mapInArrow(_fingerprints(window, short, known), _SQL).withColumn("uid", F.monotonically_increasing_id()), "document-marks")
+        body.mapInArrow(W.frugal(_fingerprints(window, short, known)), _SQL).withColumn("uid", F.monotonically_increasing_id()), "document-marks")
     found = marked.select("uid", F.explode("marks").alias("m")).select("uid", "m.key", "m.pos", "m.size", "m.near")
     hits = stage(
         found.join(wanted, "key").select("uid", "pos", "size", "near", "other", "items")

@@ -308,19 +308,19 @@ def language_model_scores(docs: DataFrame, states: int = 8, passes: int = 2) ->
     W.small_batches(spark)
     body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", F.col("text").cast("string").cast("binary").alias("body"))
     training = body.where(~F.col("held_out"))
-    counts = stage(training.select("body").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("c")), "words")
+    counts = stage(training.select("body").mapInArrow(W.frugal(_count_words), "word long, n long").groupBy("word").agg(F.sum("n").alias("c")), "words")
     n_words, total = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
     listed = frequent_words(counts, _TABLE_WORDS).toPandas().sort_values(["c", "word"], ascending=[False, True])
     vocabulary = Vocabulary(listed["word"].to_numpy(np.int64).view(np.uint64), listed["c"].to_numpy(np.int64), training.count(), n_words, int(total))
     known = spark.sparkContext.broadcast(vocabulary)
-    texts = stage(body.mapInArrow(_to_symbols(known), _DOC_SQL).withColumn("uid", F.monotonically_increasing_id()), "symbols")
+    texts = stage(body.mapInArrow(W.frugal(_to_symbols(known)), _DOC_SQL).withColumn("uid", F.monotonically_increasing_id()), "symbols")
 
     trained = texts.where(~F.col("held_out")).select("doc_id", "symbols")
     sample = W.least_rows(trained, F.xxhash64("doc_id", "symbols"), _SEED_DOCS).collect()
     model = _seed([np.frombuffer(bytes(r["symbols"]), dtype="<u2").astype(np.int64) for r in sample], states, vocabulary.unigram)
     for _ in range(passes):
         shared = spark.sparkContext.broadcast(model)
-        parts = trained.select("symbols").mapInArrow(_expect(shared), "shard int, sums binary").repartition("shard").mapInPandas(_add, "shard int, sums binary")
+        parts = trained.select("symbols").mapInArrow(W.frugal(_expect(shared)), "shard int, sums binary").repartition("shard").mapInPandas(_add, "shard int, sums binary")
         head, emits = np.zeros(states + states * states), np.zeros((_N_SYMBOLS, states))
         for shard, blob in parts.collect():
             values = np.frombuffer(bytes(blob), dtype=np.float64)

@@ -94,7 +94,7 @@ def _add_cells(frames):
 def frequency_levels(body: DataFrame, size: int) -> bytes:
     """One byte per cell: about twice the logarithm of how many documents hold the cell's shingles. 4 MB at any corpus size."""
     levels = bytearray(1 << _CELL_BITS)
-    counted = body.mapInArrow(_count_cells(size), "shard int, counts binary").repartition("shard")
+    counted = body.mapInArrow(W.frugal(_count_cells(size)), "shard int, counts binary").repartition("shard")
     for row in counted.mapInPandas(_add_cells, "shard int, level binary").collect():
         levels[row["shard"] << _SHARD_BITS : (row["shard"] + 1) << _SHARD_BITS] = row["level"]
     return bytes(levels)
@@ -145,7 +145,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     W.small_batches(spark)
     body = W.texts_of(docs)
     levels = spark.sparkContext.broadcast(frequency_levels(body, size))
-    signed = stage(body.mapInArrow(_signatures(size, percent, levels), "doc_id long, n long, s1 long, s2 long, prefix array<long>"), "signatures")
+    signed = stage(body.mapInArrow(W.frugal(_signatures(size, percent, levels)), "doc_id long, n long, s1 long, s2 long, prefix array<long>"), "signatures")
     classes = stage(
         signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("s1", "s2", "n")
         .agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"))
@@ -168,7 +168,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
 
     find = bodies_of(body.withColumnRenamed("doc_id", "id"))
     verify = lambda pairs, name: stage(
-        with_bodies(find, pairs, name).mapInArrow(_verify(size, percent), "a long, b long"), f"{name}-links")
+        with_bodies(find, pairs, name).mapInArrow(W.frugal(_verify(size, percent)), "a long, b long"), f"{name}-links")
     final = link_groups(members, tokens, near, fits, verify)
 
     named = classes.select("s1", "s2", "n", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select(

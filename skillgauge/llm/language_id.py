@@ -33,7 +33,7 @@ UNKNOWN = "und"
 _CELL_BITS = 20
 _PROBES = 3
 _PIECE = 1 << 19
-_FLUSH = 1 << 22
+_FLUSH = 1 << 20
 _state: dict[str, np.ndarray] = {}
 
 
@@ -161,7 +161,7 @@ def train(docs: DataFrame) -> Filters:
     W.small_batches(spark)
     counts = stage(
         docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-        .mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "trigrams")
+        .mapInArrow(W.frugal(_count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "trigrams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).collect()
     langs = [r["lang"] for r in sorted(totals, key=lambda r: (-r["total"], r["lang"]))]
     masks = np.zeros((1 << _CELL_BITS, max(1, -(-len(langs) // 8))), dtype=np.uint8)
@@ -215,7 +215,7 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
     W.small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(filters)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _predict(shared), "doc_id long, lang_pred string, score double")
+        W.frugal(_predict(shared)), "doc_id long, lang_pred string, score double")
 
 
 def op2_language_id(spark, sf_dir: str) -> DataFrame:
@@ -236,4 +236,4 @@ def keep_identified(docs: DataFrame, filters: Filters, min_score: float = 0.2) -
             names, score = predict(batch.column("text").cast(pa.string()).to_pylist(), shared.value)
             yield batch.filter(pa.array([n != UNKNOWN and s >= min_score for n, s in zip(names, score)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(W.frugal(run), docs.schema)

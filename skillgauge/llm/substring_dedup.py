@@ -112,7 +112,7 @@ def _merge(frames):
 
 def repeated_cells(docs: DataFrame, size: int, bits: int) -> list[bytes]:
     """One bitmap per sketch line: cells that at least two windows fell into. At most 2**bits / 8 bytes each."""
-    parts = docs.mapInArrow(_sketch(size, bits), SKETCH).repartition("line", "shard")
+    parts = docs.mapInArrow(W.frugal(_sketch(size, bits)), SKETCH).repartition("line", "shard")
     maps = [bytearray((1 << bits) // 8 or 1) for _ in range(_DEPTH)]
     step = _SHARD_CELLS // 8
     for row in parts.mapInPandas(_merge, "line int, shard int, bitmap binary").toLocalIterator():
@@ -256,7 +256,7 @@ def substring_dedup(docs: DataFrame, size: int = 13, max_cells: int = 1 << 29, w
     buckets = max(1, windows // _WORDS_PER_BUCKET)
     keyed = body.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
     sketch = spark.sparkContext.broadcast(repeated_cells(body, size, bits))
-    entries = keyed.mapInArrow(_candidates(size, bits, shard_bits, sketch), ENTRIES)
+    entries = keyed.mapInArrow(W.frugal(_candidates(size, bits, shard_bits, sketch)), ENTRIES)
     answers = stage(entries.groupBy("shard").applyInPandas(_answer, ANSWERS), "substring-answers")
     known = keyed.select("bucket", F.coalesce("doc_id", F.lit(_NO_ID)).alias("known"), "body")
     done = known.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(_apply(size, with_text), RESULT)

@@ -7,7 +7,10 @@ slices cut between words, so memory follows the slice and not the longest text.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -184,6 +187,19 @@ def bodies(batch, name: str = "body") -> list[bytes]:
     return [b or b"" for b in batch.column(name).to_pylist()]
 
 
+def frugal(run):
+    """A task function that hands freed memory back at its end: Python workers live on between tasks, and
+    what their allocators keep counts against the executor."""
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return wrapped
+
+
 def crc_class(modulus: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
 
