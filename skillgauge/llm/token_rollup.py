@@ -4,14 +4,15 @@ A store holds totals of documents and tokens by source, language and tokenizer v
 changes (inserts, deletes, revised counts) becomes signed amounts, summed per key before they are
 written as the batch's delta. Totals are sums of deltas, so batches may arrive in any order, and a
 batch committed twice replaces its own delta and counts once. ``compact`` folds the deltas up to a
-batch into a snapshot; later replays of folded batches change nothing.
+batch into a snapshot and records which batches it folded; later replays of these change nothing, and a
+batch of a lower number that comes later still counts.
 
 Sums are combined per task, so a source with a third of all rows is no hot key. Nothing is
 collected; a store's files live in the shared folder.
 
 Defined cases: null sources and languages are keys of their own. A null or empty text has no tokens
 but is a document. Null counts are zero. Rows that repeat are separate changes. A key whose
-documents and tokens are both back to zero is not listed. An empty batch is a delta without rows.
+documents and tokens are both back to zero is not listed. An empty batch is a delta that adds nothing.
 Columns other than the named ones are ignored.
 """
 
@@ -28,6 +29,7 @@ from skillgauge.sources.stores import stage
 KEYS = ["source", "lang", "version"]
 _AMOUNTS = "source string, lang string, version string, docs long, tokens long"
 _DELTA = f"{_AMOUNTS}, batch long"
+_FOLD = "batch long, mark long"
 
 # Tokenizer versions of the registered query: name and the pattern of one token.
 VERSIONS = {"spaced-1": r"[^\x20\x09-\x0D]+", "alnum-1": r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"}
@@ -54,7 +56,12 @@ class Rollup:
         # Folders and the mark "nothing folded" exist from the start; writing them again changes nothing.
         for name in ("deltas", "snapshots"):
             self._write(spark.createDataFrame([], _AMOUNTS), name, -1)
-        self._write(spark.createDataFrame([(None, None, None, 0, 0)], _AMOUNTS), "marks", -1)
+        spark.createDataFrame([], _FOLD).write.mode("overwrite").parquet(f"{self.path}/folds/n=-1")
+        self._write(self._zero(), "marks", -1)
+
+    def _zero(self) -> DataFrame:
+        """One row that adds nothing: a batch or mark is there even without amounts."""
+        return self.spark.createDataFrame([(None, None, None, 0, 0)], _AMOUNTS)
 
     def _write(self, amounts: DataFrame, name: str, batch: int) -> None:
         """Replace one batch; the folder is named after it, so a retry replaces its own files only."""
@@ -64,30 +71,40 @@ class Rollup:
         return self.spark.read.schema(_DELTA).option("recursiveFileLookup", "true").parquet(f"{self.path}/{name}")
 
     def _folded(self) -> int:
-        """The last batch in a snapshot, -1 before the first."""
+        """The last batch compacted up to, -1 before the first."""
         return self._read("marks").agg(F.max("batch")).first()[0]
 
+    def _read_folds(self) -> DataFrame:
+        return self.spark.read.schema(_FOLD).option("recursiveFileLookup", "true").parquet(f"{self.path}/folds")
+
+    def _folds(self) -> DataFrame:
+        """(batch, mark) of each batch in a snapshot that counts: those folded under a mark that was written."""
+        return self._read_folds().where(F.col("mark") <= self._folded())
+
     def commit(self, batch: int, changes: DataFrame) -> None:
-        """Apply a batch; committing it again replaces its amounts."""
-        if batch > self._folded():
-            self._write(_summed(signed(changes)), "deltas", batch)
+        """Apply a batch; committing it again replaces its amounts, or changes nothing once it is folded."""
+        if self._folds().where(F.col("batch") == batch).isEmpty():
+            self._write(_summed(signed(changes).unionByName(self._zero())), "deltas", batch)
 
     def compact(self, batch: int) -> None:
         """Fold all deltas up to ``batch`` into a snapshot; the mark written last makes it count."""
         if batch <= self._folded():
             return
-        self._write(self._current(upto=batch), "snapshots", batch)
-        self._write(self.spark.createDataFrame([(None, None, None, 0, 0)], _AMOUNTS), "marks", batch)
+        fresh = self._fresh().where(F.col("batch") <= batch)
+        fresh.select("batch", F.lit(batch).cast("long").alias("mark")).distinct().write.mode("overwrite").parquet(f"{self.path}/folds/n={batch}")
+        listed = self._read_folds().where(F.col("mark") == batch).select("batch")
+        self._write(self._current(fresh.join(listed, "batch", "left_semi")), "snapshots", batch)
+        self._write(self._zero(), "marks", batch)
+
+    def _fresh(self) -> DataFrame:
+        """Deltas in no snapshot yet, whatever their number."""
+        return self._read("deltas").join(self._folds().select("batch"), "batch", "left_anti")
 
-    def _current(self, upto: int | None = None) -> DataFrame:
-        folded = self._folded()
-        fresh = self._read("deltas").where(F.col("batch") > folded)
-        if upto is not None:
-            fresh = fresh.where(F.col("batch") <= upto)
-        return _summed(self._read("snapshots").where(F.col("batch") == folded).unionByName(fresh))
+    def _current(self, fresh: DataFrame) -> DataFrame:
+        return _summed(self._read("snapshots").where(F.col("batch") == self._folded()).unionByName(fresh))
 
     def totals(self) -> DataFrame:
-        return self._current().where("docs != 0 or tokens != 0")
+        return self._current(self._fresh()).where("docs != 0 or tokens != 0")
 
 
 def n_tokens(text: Column, pattern: str) -> Column:
