@@ -1,4 +1,4 @@
-"""Exact order statistics that never gather one group in one task.
+"""Exact order statistics that split a group over tasks by ranges of value.
 
 A cell of the leaderboard may hold any number of values, and one cell may hold a large share of
 all of them. Instead of sorting a cell in one place, values are
@@ -10,7 +10,8 @@ all of them. Instead of sorting a cell in one place, values are
 3. ranked inside their bucket and offset by the counts of the buckets before it.
 
 Only bucket counts are ever brought together per cell, and their number is bounded by the
-number range of a double.
+number range of a double. A bucket is a fixed 1/64 of a doubling, and its distinct values are sorted in
+one task: a group whose values all lie in one bucket, as in [0.99, 1), is not split.
 """
 
 from __future__ import annotations
