@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from skillgauge.llm.bpe import op8_bpe
+from skillgauge.llm.burst_trie import ORACLE as BURST_TRIE
+from skillgauge.llm.burst_trie import op13_burst_trie
 from skillgauge.llm.decontaminate import op6_decontaminate
 from skillgauge.llm.hmm import op10_hmm
 from skillgauge.llm.jaccard_join import op4_jaccard_join
 from skillgauge.llm.language_id import op2_language_id
 from skillgauge.llm.line_dedup import op9_line_dedup
+from skillgauge.llm.periodic_runs import ORACLE as PERIODIC_RUNS
+from skillgauge.llm.periodic_runs import op11_periodic_runs
 from skillgauge.llm.substring_dedup import op7_substring_dedup
+from skillgauge.llm.tiled_simhash import op12_tiled_simhash
 from skillgauge.llm.token_rollup import ORACLE as TOKEN_COUNTS
 from skillgauge.llm.token_rollup import op5_token_counts
 from skillgauge.llm.vector_search import op1_vector_search
@@ -25,6 +30,9 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_line_dedup": op9_line_dedup,
     "op10_hmm": op10_hmm,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_tiled_simhash": op12_tiled_simhash,
+    "op13_burst_trie": op13_burst_trie,
 }
 
 _VECTORS = """
@@ -82,4 +90,6 @@ ORACLE: dict[str, str] = {
     "op5_token_counts": TOKEN_COUNTS,
     "op6_decontaminate": _CONTAMINATED,
     "op7_substring_dedup": _SUBSTRINGS,
+    "op11_periodic_runs": PERIODIC_RUNS,
+    "op13_burst_trie": BURST_TRIE,
 }
