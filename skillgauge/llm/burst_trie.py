@@ -28,7 +28,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from skillgauge.llm import words as W
 from skillgauge.sources.stores import stage
@@ -182,7 +181,7 @@ def _burst(active: DataFrame, depth: int, limit: int) -> tuple[DataFrame, DataFr
     heads = stage(heads.withColumn("depth", F.lit(depth).cast("long")), "head-nodes")
     settled = active.join(large, "head", "left_anti")
     below = inside.where(F.size("turns") > depth).select(
-        "turns", "n", "least", "ends", _id("head", f"turns[{depth}].a", f"turns[{depth}].b").alias("head"),
+        "turns", "n", "least", "ends", _id("head", F.expr(f"turns[{depth}].a"), F.expr(f"turns[{depth}].b")).alias("head"),
         F.concat("path", F.array("head")).alias("path"), F.lit(depth + 1).cast("long").alias("depth"))
     return heads, settled, stage(below, "burst")
 

@@ -19,18 +19,18 @@ from pyspark.sql import functions as F
 from skillgauge.llm.components import components
 from skillgauge.sources.stores import stage
 
-_ID_BITS = 23
+ID_BITS = 23
 
 
 def id_cell(name: str) -> Column:
     """The bitmap cell of an id."""
-    return F.shiftrightunsigned(F.xxhash64(name), 64 - _ID_BITS)
+    return F.shiftrightunsigned(F.xxhash64(name), 64 - ID_BITS)
 
 
 def id_bitmap(cells: DataFrame):
     """Broadcast bitmap (1 MB at any size) of the values of a column of cells."""
     words = cells.toDF("c").groupBy(F.shiftright("c", 3).alias("byte")).agg(F.bit_or(F.expr("shiftleft(1, cast(c & 7 as int))")).alias("bits"))
-    bitmap = np.zeros(1 << (_ID_BITS - 3), dtype=np.uint8)
+    bitmap = np.zeros(1 << (ID_BITS - 3), dtype=np.uint8)
     for byte, bits in words.collect():  # at most 2**20 rows, as the bitmap is
         bitmap[byte] = bits
     return cells.sparkSession.sparkContext.broadcast(bitmap.tobytes())

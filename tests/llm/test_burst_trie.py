@@ -1,6 +1,7 @@
 """Nodes of the conversation trie against a dictionary of prefixes."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import defaultdict
@@ -22,7 +23,7 @@ def own_turns(rows):
 
 def replanted(own):
     h = lambda c: zlib.crc32(str(c).encode()) % 6
-    return {c: own.get(c - c % 100, [])[: h(c)] + t[h(c) :] for c, t in own.items()}
+    return {c: own.get(c - int(math.fmod(c, 100)), [])[: h(c)] + t[h(c) :] for c, t in own.items()}
 
 
 def nodes(conversations):
@@ -54,7 +55,8 @@ def talk(seed, n=260):
     for c in range(300, 420):  # the same conversation, and the same first turns
         rows += [(c, 0, "user", "hello"), (c, 1, "assistant", "yes"), *[(c, 2, "user", f"q{c}")][: c % 3]]
     rows += [(500, None, "a", "late"), (500, None, "a", "early"), (500, -1, None, None), (500, 2, "b", "x"), (500, 2, "b", "x"), (500, 2, "a", "x")]
-    rows += [(None, 0, "user", "nobody's"), (-7, 0, "user", "below"), (100, 3, "user", "𝒳 astral")]
+    rows += [(None, 0, "user", "nobody's"), (-7, 0, "user", "below"), (100, 3, "user", "𝒳 astral"),
+             *[(c, 0, "user", "whose first turns are another's, who has none") for c in range(1201, 1205)]]
     rng.shuffle(rows)
     return rows
 

@@ -67,7 +67,7 @@ def test_query_equals_brute_force(spark, tmp_path):
     documents(spark, rows).withColumnsRenamed({"lang": "row", "source": "Runs"}).write.parquet(f"{folder}/documents.parquet")
     got = sorted(map(tuple, P.op11_periodic_runs(spark, folder).collect()), key=str)
     assert got == sorted((row(d, t) for d, t in rows), key=str)
-    assert sum(r[1] for r in got) > 100
+    assert sum(r[1] for r in got) > 80
 
 
 def test_other_columns_stay(spark):
