@@ -22,7 +22,7 @@ def _error(yt: Column, yp: Column) -> Column:
     return nan_to_null(yp - yt)
 
 
-def _finite_pair(yt: Column, yp: Column) -> tuple[Column, Column]:
+def finite_pair(yt: Column, yp: Column) -> tuple[Column, Column]:
     both = is_finite(yt) & is_finite(yp)
     return F.when(both, yt), F.when(both, yp)
 
@@ -45,34 +45,34 @@ def bias(yt: Column, yp: Column) -> Column:
 
 
 # A mean this small beside the mean size of its values is zero but for rounding, as that of anomalies is.
-_ZERO_MEAN = 1e-9
+ZERO_MEAN = 1e-9
 
 
 def _relative(error: Column, obs: Column) -> Column:
     """``error`` over the signed mean of the observations; NULL where that mean is zero."""
     mean = F.avg(obs)
-    return F.when(F.abs(mean) > F.lit(_ZERO_MEAN) * F.avg(F.abs(obs)), ratio(error, mean))
+    return F.when(F.abs(mean) > F.lit(ZERO_MEAN) * F.avg(F.abs(obs)), ratio(error, mean))
 
 
 def relative_mae(yt: Column, yp: Column) -> Column:
-    obs, pred = _finite_pair(yt, yp)
+    obs, pred = finite_pair(yt, yp)
     return _relative(F.avg(F.abs(pred - obs)), obs)
 
 
 def relative_bias(yt: Column, yp: Column) -> Column:
-    obs, pred = _finite_pair(yt, yp)
+    obs, pred = finite_pair(yt, yp)
     return _relative(F.avg(-(pred - obs)), obs)
 
 
 def nse(yt: Column, yp: Column) -> Column:
     """One minus residual over total variance; NULL when the observations do not vary."""
-    obs, pred = _finite_pair(yt, yp)
+    obs, pred = finite_pair(yt, yp)
     return 1 - ratio(F.avg((pred - obs) * (pred - obs)), F.var_pop(obs))
 
 
 def r2_score(yt: Column, yp: Column) -> Column:
     """Squared Pearson correlation; NULL when either side does not vary."""
-    obs, pred = _finite_pair(yt, yp)
+    obs, pred = finite_pair(yt, yp)
     r = ratio(F.covar_pop(obs, pred), F.stddev_pop(obs) * F.stddev_pop(pred))
     return r * r
 

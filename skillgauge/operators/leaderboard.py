@@ -58,6 +58,14 @@ def pivot_columns(
     return [(s, c) for s in settings for c in [*scales, *extra]]
 
 
+def living_columns(cells_: DataFrame, columns: Sequence[tuple[str, str]] | None = None, value: str = "value") -> list[tuple[str, str]]:
+    """The pairs (setting, scale) in which some entry has a value, in column order: listed pairs first, then others by name.
+    There is one row per pair to fetch, however many entries and targets there are."""
+    some = {tuple(r) for r in cells_.where(F.col(value).isNotNull()).select("setting", "scale").distinct().toLocalIterator()}
+    listed = [p for p in columns or pivot_columns() if p in some]
+    return listed + sorted(some - set(listed))
+
+
 def wide(cells_: DataFrame, columns: Sequence[tuple[str, str]] | None = None, value: str = "value") -> DataFrame:
     """One row per entry with a column ``setting_scale`` per listed pair."""
     pairs = columns or pivot_columns()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from skillgauge.functions import timeparts as tp
 from skillgauge.functions.metrics import DEFAULT_METRICS, Metric, metric_columns
+from skillgauge.operators import moments
 from skillgauge.operators import temporal as ts
 from skillgauge.schema import EXPERIMENT, SCALES
 
@@ -23,10 +24,12 @@ class SeriesFrames:
     rows: DataFrame
     keys: Sequence[str] = field(default_factory=lambda: list(EXPERIMENT))
     thresholds: ts.Thresholds = field(default_factory=ts.Thresholds)
+    totals: DataFrame | None = None
 
     def __post_init__(self) -> None:
         by_share = self.thresholds.hour_to_day < 1
-        self.totals = ts.day_totals(self.rows, self.keys, by_share=by_share)
+        if self.totals is None:
+            self.totals = ts.day_totals(self.rows, self.keys, by_share=by_share)
         self._daily: dict[tuple[str, bool], DataFrame] = {}
 
     def daily(self, unit: str = "env", complete: bool = True) -> DataFrame:
@@ -165,16 +168,18 @@ def compute_metrics(
     thresholds: ts.Thresholds | None = None,
     keys: Sequence[str] = EXPERIMENT,
     registry: dict[str, Scale] | None = None,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Metrics of all experiments at all scales in one plan.
 
     ``predictions`` is a cleaned table (see ``clean_predictions``) that already carries the truth
     to score against. Each scale is reduced to metric buffers inside its own partitions before
-    the closing shuffle, which therefore moves one row per (experiment, scale, unit).
+    the closing shuffle, which therefore moves one row per (experiment, scale, unit). ``totals`` are the
+    day totals of the predictions where these are known already.
     """
     registry = registry or DEFAULT_SCALES
     names = list(scales or (SCALES if registry is DEFAULT_SCALES else registry))
-    frames = SeriesFrames(predictions, list(keys), thresholds or ts.Thresholds())
+    frames = SeriesFrames(predictions, list(keys), thresholds or ts.Thresholds(), totals)
     stacked = None
     limits = frames.thresholds
     counts_only = min(limits.weekly, limits.monthly, limits.seasonal, limits.anom, limits.iav, limits.spatial) >= 1
@@ -197,6 +202,32 @@ def compute_metrics(
     return scored.select(*leading, *[c for c in scored.columns if c not in leading])
 
 
+def metrics_and_coverage(
+    joined: DataFrame, scales: Sequence[str] | None = None, metrics: dict[str, Metric] | None = None,
+    thresholds: ts.Thresholds | None = None, registry: dict[str, Scale] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """``(metrics, coverage)`` of rows joined with the truth, which are evaluated once.
+
+    With built-in scales and metrics and thresholds by count, rows are reduced to site-days (``moments``), which
+    are stored and serve all scales and the coverage. Otherwise the rows themselves are stored.
+    """
+    from skillgauge.operators.truth import coverage
+    from skillgauge.sources.stores import stage
+
+    limits, own = thresholds or ts.Thresholds(), metrics or DEFAULT_METRICS
+    names = list(scales or SCALES)
+    by_count = min(limits.hour_to_day, limits.weekly, limits.monthly, limits.seasonal, limits.anom, limits.iav, limits.spatial) >= 1
+    if registry is not None or not by_count or any(DEFAULT_METRICS.get(m) is not f for m, f in own.items()) or not set(names) <= set(SCALES):
+        rows = stage(joined, "scored-rows")
+        return compute_metrics(rows, scales, metrics, thresholds, registry=registry), coverage(rows)
+    days = stage(moments.site_days(joined), "site-days")
+    parts = [moments.hourly_metrics(days, EXPERIMENT, list(own))] if "hourly" in names else []
+    if rest := [s for s in names if s != "hourly"]:
+        parts.append(compute_metrics(joined, rest, metrics, thresholds, totals=days))
+    found = parts[-1] if len(parts) == 1 else parts[1].unionByName(parts[0])
+    return found, moments.coverage_of(days)
+
+
 def sample_sizes(metrics: DataFrame, keys: Sequence[str] = EXPERIMENT) -> DataFrame:
     """Groups per scale and the spread of their sizes."""
     return metrics.groupBy(*keys, "scale").agg(

@@ -114,8 +114,10 @@ def day_totals(
     units: Sequence[str] = ("env", "site_id"),
     mask: Column | None = None,
     by_share: bool = False,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
-    """One row per (experiment, units, day) with sums that can be merged further."""
+    """One row per (experiment, units, day) with sums that can be merged further, and ``extra`` aggregates
+    of y_true and y_pred."""
     rows = df.select(
         *keys, *units, "time", "y_true", "y_pred",
         tp.day_of(F.col("time")).alias("day"),
@@ -134,7 +136,7 @@ def day_totals(
         F.count("y_true").alias("true_n"),
         F.sum("y_pred").alias("pred_sum"),
         F.count("y_pred").alias("pred_n"),
-        *share_columns,
+        *share_columns, *extra,
     )
 
 

@@ -33,6 +33,20 @@ def truth_manifest(truth: DataFrame) -> DataFrame:
     )
 
 
+def truth_fingerprint(truth: DataFrame) -> DataFrame:
+    """Per (setting, target) a text that any changed, added or lost row changes, whatever the order of rows: the sums of
+    two 64-bit hashes of each row. Sums of parts add up, so it needs no second pass and no sorting."""
+    hashes = [F.xxhash64(F.lit(k), *TRUTH_KEYS, "y_true").cast("decimal(20,0)") for k in (1, 2)]
+    return truth.groupBy(*COMBO).agg(F.concat_ws(":", *[F.sum(h).cast("string") for h in hashes]).alias("fingerprint"))
+
+
+def full_manifest(truth: DataFrame, model: str = "lr", val_strategy: str = "mean") -> DataFrame:
+    """``truth_manifest`` with the fingerprint, the rows of the whole table and what the truth was taken from."""
+    combos = truth_manifest(truth).join(truth_fingerprint(truth), COMBO)
+    whole = truth.agg(F.count(F.lit(1)).alias("total_rows"))
+    return combos.crossJoin(whole).select(*combos.columns, "total_rows", F.lit(model).alias("truth_model"), F.lit(val_strategy).alias("val_strategy"))
+
+
 def truth_assertions(truth: DataFrame) -> DataFrame:
     """Per required (setting, target): rows, repeated keys, non-finite values, and whether it is fit.
 
@@ -70,13 +84,17 @@ def assert_truth(truth: DataFrame) -> None:
 
 def verify_manifest(truth: DataFrame, manifest: DataFrame) -> DataFrame:
     """Recorded against recomputed statistics per combo; a combo on one side only fails."""
-    columns = ["rows", "sites", "time_min", "time_max"]
-    now = truth_manifest(truth).select(*COMBO, *[F.col(c).alias(f"{c}_now") for c in columns])
+    columns = ["rows", "sites", "time_min", "time_max", "fingerprint"]
     recorded = [c for c in columns if c in manifest.columns]
+    now = truth_manifest(truth)
+    if "fingerprint" in recorded:
+        now = now.join(truth_fingerprint(truth), COMBO)
+    now = now.select(*COMBO, *[F.col(c).alias(f"{c}_now") for c in columns if c in now.columns])
     joined = manifest.select(*COMBO, *recorded).join(now, COMBO, "full_outer")
     same = F.lit(True)
     for c in recorded:
-        same = same & F.col(c).eqNullSafe(F.col(f"{c}_now"))
+        equal = F.col(c).eqNullSafe(F.col(f"{c}_now"))
+        same = same & (equal | (F.col(c).isNull() & F.col("rows").isNotNull()) if c == "fingerprint" and "rows" in recorded else equal)
     return joined.withColumn("matches", same)
 
 
@@ -114,12 +132,7 @@ def coverage(joined: DataFrame) -> DataFrame:
 
 def score_against_truth(predictions: DataFrame, truth: DataFrame, require_full_coverage: bool = True, **options) -> DataFrame:
     """Metrics of every experiment on canonical truth; experiments with uncovered rows are left out."""
-    from skillgauge.operators.scoring import compute_metrics
-
-    joined = join_truth(predictions, truth)
-    metrics = compute_metrics(joined, **options)
-    if not require_full_coverage:
-        return metrics
-    covered = coverage(joined).where("covered").select(*EXPERIMENT)
-    # Filtering the finished metrics keeps the big join free of a second pass.
-    return metrics.join(covered, EXPERIMENT, "left_semi")
+    from skillgauge.operators.scoring import metrics_and_coverage
+
+    metrics, found = metrics_and_coverage(join_truth(predictions, truth), **options)
+    return metrics.join(found.where("covered").select(*EXPERIMENT), EXPERIMENT, "left_semi") if require_full_coverage else metrics

@@ -150,20 +150,13 @@ def key_profile(rows: DataFrame, config: ValidationConfig = ValidationConfig())
 COUNTERS = ["n_rows", "n_dup", "n_nan", "n_inf", "n_big", "n_match", "n_extra", "n_bad"]
 
 
-def file_profile(
-    rows: DataFrame, truth: DataFrame, config: ValidationConfig = ValidationConfig(), files: DataFrame | None = None
-) -> DataFrame:
-    """All counters of one file in one row: content, index and integrity. With ``files`` (experiment
-    keys) every listed file has its row, also one without any rows.
-
-    Missing keys are counted as truth rows minus matched keys, so the truth is shuffled once and
-    not once per submission.
-    """
+def site_profile(rows: DataFrame, truth: DataFrame, config: ValidationConfig = ValidationConfig()) -> DataFrame:
+    """The counters of every site of a file, which add up to those of the file."""
     canonical = canonical_truth(truth).select(*TRUTH_KEYS, F.col("y_true").alias("y_ref"), F.lit(True).alias("known"))
     keyed = key_profile(rows, config).join(canonical, TRUTH_KEYS, "left")
     known = F.coalesce(F.col("known"), F.lit(False))
     bad = known & ~is_close(F.col("y_sub"), F.col("y_ref"), config.ytrue_rtol, config.ytrue_atol)
-    per_file = keyed.groupBy(*EXPERIMENT).agg(
+    return keyed.groupBy(*EXPERIMENT, "site_id").agg(
         F.sum("copies").alias("n_rows"),
         F.sum(F.col("copies") - 1).alias("n_dup"),
         F.sum("n_nan").alias("n_nan"),
@@ -174,6 +167,16 @@ def file_profile(
         F.count_if(bad).alias("n_bad"),
         F.max(F.when(bad, F.abs(F.col("y_sub") - F.col("y_ref")))).alias("worst"),
     )
+
+
+def file_profile(sites: DataFrame, truth: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """All counters of one file in one row, from those of its sites: content, index and integrity. With ``files``
+    (experiment keys) every listed file has its row, also one without any rows.
+
+    Missing keys are counted as truth rows minus matched keys, so the truth is shuffled once and
+    not once per submission.
+    """
+    per_file = sites.groupBy(*EXPERIMENT).agg(*[F.sum(c).alias(c) for c in COUNTERS], F.max("worst").alias("worst"))
     if files is not None:
         per_file = files.select(*EXPERIMENT).join(per_file, EXPERIMENT, "left").na.fill(0, COUNTERS)
     required = truth.groupBy("setting", "target").agg(F.count(F.lit(1)).alias("n_required"))
@@ -187,20 +190,30 @@ def file_profile(
     )
 
 
-def index_examples(rows: DataFrame, truth: DataFrame, profile: DataFrame, n: int = EXAMPLES) -> DataFrame:
+def index_examples(rows: DataFrame, truth: DataFrame, sites: DataFrame, profile: DataFrame, n: int = EXAMPLES) -> DataFrame:
     """The first ``n`` missing and extra keys of every file that has any.
 
-    Only files known to have missing or extra keys are compared key by key.
+    Counts by site tell where they are: keys come in order of site, so those of the first ``n`` sites with a
+    gap (or a surplus) hold them. Only the rows of these sites are compared key by key, at most ``n`` sites a file
+    whatever the truth holds; of the others one count a site is looked at.
     """
-    keys = ["site_id", "time"]
-    submitted = rows.select(*EXPERIMENT, *keys)
-    surplus = profile.where(F.col("n_extra") > 0).select(*EXPERIMENT)
-    extra = submitted.join(surplus, EXPERIMENT, "left_semi").join(
-        truth.select(*TRUTH_KEYS), TRUTH_KEYS, "left_anti").distinct()
+    keys, place = ["site_id", "time"], [*EXPERIMENT, "site_id"]
+    known = truth.groupBy("setting", "target", "site_id").agg(F.count(F.lit(1)).alias("n_known"))
     incomplete = profile.where(F.col("n_missing") > 0).select(*EXPERIMENT)
-    missing = truth.select(*TRUTH_KEYS).join(incomplete, ["setting", "target"]).join(
-        submitted.join(incomplete, EXPERIMENT, "left_semi"), [*EXPERIMENT, *keys], "left_anti"
-    )
+    counted = known.join(incomplete, ["setting", "target"]).join(sites.select(*place, "n_match"), place, "left")
+    gaps = counted.where(F.col("n_known") > F.coalesce("n_match", F.lit(0))).select(*place, F.lit("missing").alias("side"))
+    more = sites.where(F.col("n_extra") > 0).select(*place, F.lit("extra").alias("side"))
+    named = first_rows(gaps.unionByName(more).where(F.col("site_id").isNotNull()), [*EXPERIMENT, "side"], [F.col("site_id")], n, "site_id")
+    nameless = more.where(F.col("site_id").isNull())  # its rows come before all others
+    wanted = stage(named.select(*place, "side").unionByName(nameless), "example-sites")
+    at = wanted.select("setting", "target", F.col("model").alias("m"), F.col("val_strategy").alias("v"), F.col("site_id").alias("s"), "side")
+    submitted = rows.select(*place, "time")
+    near = submitted.join(at, (submitted["setting"] == at["setting"]) & (submitted["target"] == at["target"]) & (submitted["model"] == at["m"])
+                          & (submitted["val_strategy"] == at["v"]) & submitted["site_id"].eqNullSafe(at["s"]))
+    near = near.select(*[submitted[c] for c in (*place, "time")], "side")
+    extra = near.where("side = 'extra'").select(*place, "time").join(truth.select(*TRUTH_KEYS), TRUTH_KEYS, "left_anti").distinct()
+    required = truth.select(*TRUTH_KEYS).join(wanted.where("side = 'missing'").drop("side"), ["setting", "target", "site_id"])
+    missing = required.join(near.where("side = 'missing'").select(*place, "time"), [*EXPERIMENT, *keys], "left_anti").select(*place, "time")
     sides = extra.withColumn("side", F.lit("extra")).unionByName(missing.withColumn("side", F.lit("missing")))
     picked = first_rows(sides, [*EXPERIMENT, "side"], [F.col("site_id"), F.col("time")], n, "time")
     shown = F.concat(F.lit("("), F.col("site_id"), F.lit(" @ "), F.date_format("time", "yyyy-MM-dd HH:mm:ss"), F.lit(")"))
@@ -354,14 +367,15 @@ def validate(
     accepted = accepted_files(judged)
     opened = opened_files(accepted, config, unreadable)
     fit = rows_of_files(rows, opened)
-    profile = stage(file_profile(fit, truth, config, opened), "profile")
+    sites = stage(site_profile(fit, truth, config), "site-profile")
+    profile = stage(file_profile(sites, truth, opened), "profile")
     found = check_files(judged)
     if unreadable is not None:
         found = found.unionByName(check_readable(accepted, unreadable))
     for part in (
         check_sizes(accepted, config),
         check_content(profile, config),
-        check_index(profile, index_examples(fit, truth, profile)),
+        check_index(profile, index_examples(fit, truth, sites, profile)),
         check_integrity(profile, config),
         check_ownership(claims, owners),
     ):

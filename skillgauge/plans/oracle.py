@@ -494,8 +494,21 @@ ORACLE["validation_text"] = f"""SELECT model_id, val_strategy, check_name, CASE
 FROM ({_REPORT})"""
 ORACLE["truth_store"] = _with(TRUTH, body=f"""SELECT setting, target, count(*) AS rows, min(site_id) AS first_site, max("time") AS last_time,
   {_r('sum(y_true)', 'total', 4)} FROM truth GROUP BY ALL""")
-ORACLE["metric_files"] = ORACLE["metrics_hourly"]
-ORACLE["manifest_store"] = ORACLE["truth_manifest"]
+ORACLE["metric_files"] = _with(
+    PRED_EVENTS, _daily("env", 1, "daily_env"), _daily("site_id", 1, "daily_site"), _stack(ALL_SCALES, 2, 2), _metrics("stacked"), body=METRICS_OUT)
+ORACLE["manifest_store"] = _with(TRUTH, body="""SELECT setting, target, count(*) AS rows, count(DISTINCT site_id) AS sites, min("time") AS time_min, max("time") AS time_max,
+  (SELECT count(*) FROM truth) AS total_rows, 'lr' AS truth_model, 'mean' AS val_strategy, TRUE AS matches FROM truth GROUP BY setting, target""")
+ORACLE["manifest_fingerprint"] = _with(TRUTH, body="""SELECT setting, target, count(*) AS rows, NOT bool_or(CAST(site_id AS BIGINT) % 97 = 0) AS matches, TRUE AS statistics_match
+  FROM truth GROUP BY setting, target""")
+_GATE = [
+    ("clean", ""), ("short", ""), ("broken", ""), ("late", "lacks the field email"),
+    ("copied", "only a `pending` submission can be taken in@unknown status ~draft~"),
+    ("shifted", "no stored object for `incoming/TA40_NEE_shifted_val_mean_predictions.csv`"),
+]
+ORACLE["intake_report"] = f"""SELECT model_id, val_strategy, CAST(list_position(['metadata', 'files', 'content_caps', 'index_completeness', 'ytrue_integrity', 'ownership'], check_name) AS BIGINT) AS stage,
+  check_name, passed, errors, warnings FROM (
+  SELECT * FROM ({_REPORT}) WHERE model_id IN ('clean', 'short', 'broken')
+  UNION ALL SELECT m, 'mean', 'metadata', e = '', replace(replace(e, '@', chr(10)), '~', chr(39)), '' FROM (VALUES {", ".join(f"('{m}', '{e}')" for m, e in _GATE)}) v(m, e))"""
 ORACLE["metric_store"] = _with(
     *MODEL_METRICS, body=METRICS_OUT + " WHERE val_strategy = 'mean' AND setting IN ('TA40', 'time-split') AND scale IN ('weekly', 'iav')")
 _TEXT = lambda v, d: f"coalesce(format('{{:.{d}f}}', {v}), '-')"

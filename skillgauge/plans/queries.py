@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from skillgauge.functions import naming
 from skillgauge.functions.formatting import significant
 from skillgauge.functions.numeric import TIE_BREAK, tidy
-from skillgauge.operators import curves, leaderboard as lb, quota, registry, scoring, truth, validation
+from skillgauge.operators import curves, intake, leaderboard as lb, quota, registry, scoring, truth, validation
 from skillgauge.operators import temporal as ts
 from skillgauge.operators.cleaning import clean_predictions
 from skillgauge.operators.regression import compare_metrics
@@ -185,6 +185,17 @@ def manifest_verification(spark, sf):
     return truth.verify_manifest(table, recorded).select("setting", "target", "rows", "rows_now", "sites", "sites_now", "matches")
 
 
+def manifest_fingerprint(spark, sf):
+    """A recorded manifest against a truth in which values were changed by a billionth: statistics agree, the fingerprint does not."""
+    table, path = shapes.truth_events(spark, sf), f"{shared_folder(spark)}/manifest-{uuid.uuid4().hex}"
+    stores.write_manifest(table, path)
+    recorded = stores.read_manifest(spark, path)
+    changed = table.withColumn("y_true", F.when(F.col("site_id").cast("bigint") % 97 == 0, F.col("y_true") + 1e-9).otherwise(F.col("y_true")))
+    statistics = truth.verify_manifest(changed, recorded.drop("fingerprint")).select("setting", "target", F.col("matches").alias("statistics_match"))
+    whole = truth.verify_manifest(changed, recorded).select("setting", "target", "rows", "matches")
+    return whole.join(statistics, ["setting", "target"])
+
+
 def truth_store(spark, sf):
     """The truth written by (setting, target), read back."""
     path = f"{shared_folder(spark)}/truth-{uuid.uuid4().hex}"
@@ -195,10 +206,13 @@ def truth_store(spark, sf):
 
 
 def manifest_store(spark, sf):
-    """The manifest of the truth written as JSON, read back."""
+    """The manifest of the truth written as JSON, read back and verified."""
     path = f"{shared_folder(spark)}/manifest-{uuid.uuid4().hex}"
-    stores.write_manifest(shapes.truth_events(spark, sf), path)
-    return stores.read_manifest(spark, path)
+    table = shapes.truth_events(spark, sf)
+    stores.write_manifest(table, path)
+    recorded = stores.read_manifest(spark, path)
+    verdict = truth.verify_manifest(table, recorded).select("setting", "target", "matches")
+    return recorded.drop("fingerprint").join(verdict, ["setting", "target"])
 
 
 def metric_store(spark, sf):
@@ -213,7 +227,7 @@ def metric_store(spark, sf):
 def metric_files(spark, sf):
     """Metrics written as CSV by experiment, read back."""
     path = f"{shared_folder(spark)}/metric-files-{uuid.uuid4().hex}"
-    predictions.write_metric_files(scoring.compute_metrics(event_rows(spark, sf), scales=["hourly"]), path)
+    predictions.write_metric_files(scoring.compute_metrics(event_rows(spark, sf), thresholds=EVENT_THRESHOLDS), path)
     return _metrics(predictions.read_metric_files(spark, path))
 
 
@@ -248,7 +262,8 @@ def check_sizes(spark, sf):
 
 
 def _profile(spark, sf):
-    return validation.file_profile(shapes.sub_events(spark, sf), shapes.truth_events(spark, sf))
+    ref = shapes.truth_events(spark, sf)
+    return validation.file_profile(validation.site_profile(shapes.sub_events(spark, sf), ref), ref)
 
 
 def check_content(spark, sf):
@@ -257,8 +272,9 @@ def check_content(spark, sf):
 
 def check_index(spark, sf):
     rows, ref = shapes.sub_events(spark, sf), shapes.truth_events(spark, sf)
-    profile = stage(validation.file_profile(rows, ref), "profile")
-    return validation.check_index(profile, validation.index_examples(rows, ref, profile))
+    sites = stage(validation.site_profile(rows, ref), "site-profile")
+    profile = stage(validation.file_profile(sites, ref), "profile")
+    return validation.check_index(profile, validation.index_examples(rows, ref, sites, profile))
 
 
 def check_integrity(spark, sf):
@@ -392,6 +408,17 @@ def intake_gate(spark, sf):
     return registry.intake_gate(shapes.registry_docs(spark, sf), shapes.stored_objects(spark, sf))
 
 
+def intake_report(spark, sf):
+    """Documents at the gate, and the checks of the submissions that it lets through."""
+    owners = shapes.sub_events(spark, sf).where(F.col("model").isin("clean", "late")).select(F.col("model").alias("model_id")).distinct().select(
+        "model_id", F.when(F.col("model_id") == "clean", F.sha2(F.col("model_id").cast("binary"), 256)).otherwise("other").alias("recorded_owner"))
+    found = intake.intake_report(
+        shapes.event_registry_docs(spark, sf), shapes.event_objects(spark, sf), shapes.sub_event_rows(spark, sf), shapes.event_files(spark, sf),
+        shapes.truth_events(spark, sf), owners, unreadable=shapes.unreadable_event_files(spark, sf))
+    return found.select(*validation.SUBMISSION, "stage", "check_name", "passed", F.array_join("errors", "\n").alias("errors"),
+                        F.array_join("warnings", "\n").alias("warnings"))
+
+
 def recorded_owner(spark, sf):
     return registry.recorded_owners(shapes.registry_docs(spark, sf))
 
@@ -479,11 +506,11 @@ QUERIES: dict[str, Query] = {
         hourly_masked, daily_mean_threshold, daily_passthrough, weekly_mean, monthly_mean, yearly_mean, seasonal_cycle,
         seasonal_cycle_median, anomaly, interannual_variability, site_mean, weighted_fraction_threshold,
         masked_weekly_fraction, metrics_hourly, metrics_all_scales, sample_size_summary, custom_metrics, scale_status,
-        truth_manifest, truth_assertions, manifest_verification, truth_coverage, truth_join_score, file_names,
+        truth_manifest, truth_assertions, manifest_verification, manifest_fingerprint, truth_coverage, truth_join_score, file_names,
         check_files, check_sizes, check_content, check_index, check_integrity, check_ownership, validation_report,
         validation_overall, validation_text, truth_store, manifest_store, metric_store, metric_files, leaderboard_texts,
         regression_compare, leaderboard_wide, skill_scores, leaderboard_ranked, relative_to_best, cdf_curve,
-        quantile_curve, metric_by_setting, axis_bound, model_order, metadata_schema_check, intake_gate, recorded_owner,
+        quantile_curve, metric_by_setting, axis_bound, model_order, metadata_schema_check, intake_gate, intake_report, recorded_owner,
         submitter_identity, missing_experiments, quota_admission, incremental_pending, incremental_score,
         incremental_status, incremental_stream,
     )},

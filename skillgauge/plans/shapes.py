@@ -243,6 +243,30 @@ def registry_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_registry_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One whole document per model of ``sub_events``, with its files. ``late`` lacks a field, ``copied`` is a draft and
+    one object of ``shifted`` was never stored (``event_objects``)."""
+    model, files = F.col("model"), F.array_sort(F.collect_list(F.struct(
+        _event_file_name().alias("filename"), "setting", "target", F.concat(F.lit("incoming/"), _event_file_name()).alias("r2_key"))))
+    listed = sub_events(spark, sf_dir).select(*EXPERIMENT).distinct().groupBy("model", "val_strategy").agg(files.alias("files"))  # nine files at most
+    owner = F.when(model != "short", F.sha2(model.cast("binary"), 256))
+    nothing = F.lit(None).cast("string")
+    fields = [
+        model.alias("model_id"), model.alias("display_name"), *[nothing.alias(c) for c in ("description", "code_url", "paper_url")],
+        owner.alias("owner"), "val_strategy", F.lit("2024-01-01").alias("submitted_at"), F.lit(False).alias("is_baseline"),
+        F.when(model == "copied", "draft").otherwise("pending").alias("status"), "files",
+    ]
+    whole = lambda *more: F.to_json(F.struct(*more, *fields), {"ignoreNullFields": "false"})
+    doc = F.when(model == "late", whole()).otherwise(whole(nothing.alias("email")))
+    return listed.select(F.concat(F.lit("submissions/"), model, F.lit("/metadata.json")).alias("path"), doc.alias("doc"))
+
+
+def event_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = sub_events(spark, sf_dir).select(*EXPERIMENT).distinct()
+    lost = (F.col("model") == "shifted") & (F.col("setting") == "TA40") & (F.col("target") == "NEE")
+    return listed.where(~lost).select(F.concat(F.lit("incoming/"), _event_file_name()).alias("path"))
+
+
 def stored_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Object keys present in storage: both files of a submission, unless lost."""
     key = F.col("c_custkey")

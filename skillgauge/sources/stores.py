@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillgauge.operators.truth import truth_manifest
+from skillgauge.operators.truth import full_manifest
 from skillgauge.schema import EXPERIMENT, METRICS_SCHEMA, TRUTH_SCHEMA
 from skillgauge.session import shared_folder
 
@@ -44,13 +44,14 @@ def read_truth(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TRUTH_SCHEMA).parquet(path).select(*TRUTH_SCHEMA.names)
 
 
-def write_manifest(truth: DataFrame, path: str) -> None:
-    truth_manifest(truth).write.mode("overwrite").option("timestampNTZFormat", _MICROSECONDS).json(path)
+def write_manifest(truth: DataFrame, path: str, model: str = "lr", val_strategy: str = "mean") -> None:
+    full_manifest(truth, model, val_strategy).write.mode("overwrite").option("timestampNTZFormat", _MICROSECONDS).json(path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("timestampNTZFormat", _MICROSECONDS).schema(
-        "setting string, target string, rows long, sites long, time_min timestamp_ntz, time_max timestamp_ntz"
+        "setting string, target string, rows long, sites long, time_min timestamp_ntz, time_max timestamp_ntz, "
+        "fingerprint string, total_rows long, truth_model string, val_strategy string"
     ).json(path)
 
 

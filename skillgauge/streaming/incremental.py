@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skillgauge.operators.registry import parse_registry, pending, registry_files
-from skillgauge.operators.scoring import compute_metrics
-from skillgauge.operators.truth import coverage, join_truth
+from skillgauge.operators.scoring import metrics_and_coverage
+from skillgauge.operators.truth import join_truth
 from skillgauge.sources import stores
 from skillgauge.sources.registry import stream_registry
 
@@ -78,8 +78,7 @@ def score_submissions(
     """``(metrics, status)`` of the listed submissions (model, val_strategy). ``files`` names the
     (setting, target) each must cover."""
     wanted = predictions.join(submissions.select(*SUBMISSION_KEYS).distinct(), SUBMISSION_KEYS, "left_semi")
-    joined = join_truth(wanted, truth)
-    covered = coverage(joined)
+    metrics, covered = metrics_and_coverage(join_truth(wanted, truth), **options)
     found = covered.groupBy(*SUBMISSION_KEYS).agg(F.sum("rows").alias("rows"), F.sum("unmatched").alias("unmatched"))
     lacking = files.join(covered.select(*FILES_SCHEMA.names), FILES_SCHEMA.names, "left_anti").groupBy(*SUBMISSION_KEYS).agg(
         F.count(F.lit(1)).alias("absent"))
@@ -94,8 +93,7 @@ def score_submissions(
         )
     )
     good = status.where(F.col("status") == SCORED).select(*SUBMISSION_KEYS)
-    metrics = compute_metrics(joined, **options).join(good, SUBMISSION_KEYS, "left_semi")
-    return metrics, status
+    return metrics.join(good, SUBMISSION_KEYS, "left_semi"), status
 
 
 def score_into(
