@@ -204,12 +204,13 @@ def compute_metrics(
 
 def metrics_and_coverage(
     joined: DataFrame, scales: Sequence[str] | None = None, metrics: dict[str, Metric] | None = None,
-    thresholds: ts.Thresholds | None = None, registry: dict[str, Scale] | None = None,
+    thresholds: ts.Thresholds | None = None, registry: dict[str, Scale] | None = None, by_day: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(metrics, coverage)`` of rows joined with the truth, which are evaluated once.
+    """``(metrics, coverage)`` of rows joined with the truth. The join is evaluated once and stored, and serves all
+    scales and the coverage.
 
-    With built-in scales and metrics and thresholds by count, rows are reduced to site-days (``moments``), which
-    are stored and serve all scales and the coverage. Otherwise the rows themselves are stored.
+    With ``by_day``, what is stored are site-days with their error moments (``moments``) instead of rows: for series with
+    many rows a day, built-in scales and metrics, and thresholds by count. Otherwise it is without effect.
     """
     from skillgauge.operators.truth import coverage
     from skillgauge.sources.stores import stage
@@ -217,7 +218,7 @@ def metrics_and_coverage(
     limits, own = thresholds or ts.Thresholds(), metrics or DEFAULT_METRICS
     names = list(scales or SCALES)
     by_count = min(limits.hour_to_day, limits.weekly, limits.monthly, limits.seasonal, limits.anom, limits.iav, limits.spatial) >= 1
-    if registry is not None or not by_count or any(DEFAULT_METRICS.get(m) is not f for m, f in own.items()) or not set(names) <= set(SCALES):
+    if not by_day or registry is not None or not by_count or any(DEFAULT_METRICS.get(m) is not f for m, f in own.items()) or not set(names) <= set(SCALES):
         rows = stage(joined, "scored-rows")
         return compute_metrics(rows, scales, metrics, thresholds, registry=registry), coverage(rows)
     days = stage(moments.site_days(joined), "site-days")

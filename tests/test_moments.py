@@ -30,28 +30,40 @@ def table(df):
     return {tuple(r[k] for k in (*EXPERIMENT, "scale", "env")): (r.n_samples, *[r[m] for m in METRICS]) for r in df.collect()}
 
 
-def test_metrics_of_days_are_those_of_rows(spark):
-    joined = rows(spark)
-    got, found = scoring.metrics_and_coverage(joined, thresholds=LIMITS)
-    got, want = table(got), table(scoring.compute_metrics(joined, thresholds=LIMITS))
-    assert got.keys() == want.keys() and len({k[4] for k in got}) == 8
+def assert_close(got, want):
+    assert got.keys() == want.keys()
     for key, values in want.items():
         for x, y in zip(got[key], values):
             assert (x is None) == (y is None) and (y is None or math.isclose(x, y, rel_tol=1e-6, abs_tol=1e-9)), (key, got[key], values)
+
+
+def test_metrics_of_days_are_those_of_rows(spark):
+    joined = rows(spark)
+    got, found = scoring.metrics_and_coverage(joined, thresholds=LIMITS, by_day=True)
+    got, want = table(got), table(scoring.compute_metrics(joined, thresholds=LIMITS))
+    assert len({k[4] for k in got}) == 8
+    assert_close(got, want)
     assert found.drop("covered").collect() == tr.coverage(joined).drop("covered").collect()
     assert got[("time-split", "GPP", "demo", "mean", "hourly", "b")][4] is None  # flat truth: no NSE
 
 
+def test_stored_rows_give_the_same(spark):
+    joined = rows(spark)
+    got, found = scoring.metrics_and_coverage(joined, thresholds=LIMITS)
+    assert_close(table(got), table(scoring.compute_metrics(joined, thresholds=LIMITS)))
+    assert found.collect() == tr.coverage(joined).collect()
+
+
 def test_choice_of_scales_and_metrics(spark):
-    only, _ = scoring.metrics_and_coverage(rows(spark), scales=["hourly"], metrics={"nse": scoring.DEFAULT_METRICS["nse"]}, thresholds=LIMITS)
+    only, _ = scoring.metrics_and_coverage(rows(spark), scales=["hourly"], metrics={"nse": scoring.DEFAULT_METRICS["nse"]}, thresholds=LIMITS, by_day=True)
     assert only.columns[-2:] == ["n_samples", "nse"] and {r.scale for r in only.collect()} == {"hourly"}
-    none, _ = scoring.metrics_and_coverage(rows(spark), scales=["weekly"], thresholds=LIMITS)
+    none, _ = scoring.metrics_and_coverage(rows(spark), scales=["weekly"], thresholds=LIMITS, by_day=True)
     assert {r.scale for r in none.collect()} == {"weekly"}
 
 
 def test_other_metrics_are_taken_from_rows(spark):
     worst = {"worst": lambda yt, yp: F.max(F.abs(yp - yt))}
-    got, found = scoring.metrics_and_coverage(rows(spark), scales=["hourly"], metrics=worst, thresholds=LIMITS)
+    got, found = scoring.metrics_and_coverage(rows(spark), scales=["hourly"], metrics=worst, thresholds=LIMITS, by_day=True)
     assert "worst" in got.columns and found.count() == 1
 
 
