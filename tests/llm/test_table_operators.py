@@ -240,5 +240,5 @@ def test_all_queries_are_registered():
     import __spark_entry__
 
     names = list(__spark_entry__.queries())
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= set(names)
