@@ -1,7 +1,8 @@
 """Leaderboard tables: cells, wide pivot, skill scores, ranking, labels and colours.
 
 Everything stays long, ``(target, model, val_strategy, setting, scale, value)``, for all targets
-at once; the wide form is the last step.
+at once; the wide form is the last step. ``keys`` of a step are further columns that tell boards apart,
+such as ``aggregate``: all boards go through one plan.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from skillgauge import schema as sc
 from skillgauge.functions import formatting as fmt
 from skillgauge.functions.numeric import ratio
-from skillgauge.operators.ranking import exact_quantile, value_ranks
+from skillgauge.operators.ranking import exact_quantile, exact_quantiles, value_ranks
 from skillgauge.sources.stores import stage
 
 ENTRY = ["target", "model", "val_strategy"]
@@ -50,6 +51,11 @@ def cells(metrics: DataFrame, metric: str = "rmse", agg: str | Callable[[Column]
     return shown.groupBy(*by).agg(build(F.col(metric)).cast("double").alias("value")).where(F.col("value").isNotNull())
 
 
+def quantile_cells(metrics: DataFrame, metric: str = "rmse", shares: dict[str, float] = QUANTILES) -> DataFrame:
+    """The cells of several quantiles from one ranking, told apart by ``aggregate``."""
+    return exact_quantiles(metrics.where(F.col("scale") != "spatial"), [*ENTRY, *COLUMN], metric, shares)
+
+
 def pivot_columns(
     settings: Sequence[str] = tuple(sc.SETTINGS), scales: Sequence[str] = tuple(sc.LEADERBOARD_SCALES),
     extra: Sequence[str] = ("site-mean",),
@@ -75,7 +81,7 @@ def wide(cells_: DataFrame, columns: Sequence[tuple[str, str]] | None = None, va
     ])
 
 
-def column_facts(cells_: DataFrame, baseline: str = "lr", lower_is_better: bool = True) -> DataFrame:
+def column_facts(cells_: DataFrame, baseline: str = "lr", lower_is_better: bool = True, keys: Sequence[str] = ()) -> DataFrame:
     """Per (target, setting, scale): the best value and the baseline's value.
 
     The baseline row of a target is its alphabetically first strategy of the baseline model; a
@@ -84,18 +90,18 @@ def column_facts(cells_: DataFrame, baseline: str = "lr", lower_is_better: bool
     """
     best = F.min if lower_is_better else F.max
     own = F.when(F.col("model") == baseline, F.col("val_strategy"))
-    facts = cells_.groupBy("target", *COLUMN).agg(
+    facts = cells_.groupBy(*keys, "target", *COLUMN).agg(
         best("value").alias("best"), F.min(own).alias("strategy"), F.min_by("value", own).alias("own_value"),
     )
-    first = F.min("strategy").over(W.partitionBy("target"))
+    first = F.min("strategy").over(W.partitionBy(*keys, "target"))
     return facts.select(
-        "target", *COLUMN, "best", F.when(F.col("strategy") == first, F.col("own_value")).alias("baseline_value")
+        *keys, "target", *COLUMN, "best", F.when(F.col("strategy") == first, F.col("own_value")).alias("baseline_value")
     )
 
 
-def with_facts(cells_: DataFrame, baseline: str = "lr", lower_is_better: bool = True) -> DataFrame:
+def with_facts(cells_: DataFrame, baseline: str = "lr", lower_is_better: bool = True, keys: Sequence[str] = ()) -> DataFrame:
     """Cells with the best and the baseline value of their column."""
-    return cells_.join(column_facts(cells_, baseline, lower_is_better), ["target", *COLUMN])
+    return cells_.join(column_facts(cells_, baseline, lower_is_better, keys), [*keys, "target", *COLUMN])
 
 
 def skill_of(value: Column, base: Column) -> Column:
@@ -113,21 +119,22 @@ def _weight(weights: dict[str, float]) -> Column:
     return F.coalesce(F.try_element_at(known, F.col("scale")), F.lit(1.0))
 
 
-def overall_of(weights: dict[str, float] | None = None) -> Column:
+def overall_of(weights: dict[str, float] | None = None, keys: Sequence[str] = ()) -> Column:
     """Weighted mean skill over the cells an entry has. The window holds one row per column."""
     w = F.when(F.col("skill").isNotNull(), _weight(weights or sc.SCALE_WEIGHTS))
-    entry = W.partitionBy(*ENTRY)
+    entry = W.partitionBy(*keys, *ENTRY)
     # Adding 0.0 turns a negative zero into zero, as the ranking does.
     return ratio(F.sum(w * F.col("skill")).over(entry), F.sum(w).over(entry)) + F.lit(0.0)
 
 
 def skill_scores(
-    cells_: DataFrame, baseline: str = "lr", weights: dict[str, float] | None = None, lower_is_better: bool = True
+    cells_: DataFrame, baseline: str = "lr", weights: dict[str, float] | None = None, lower_is_better: bool = True,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Per cell: value, best, baseline, skill and the entry's overall score."""
-    facts = with_facts(cells_, baseline, lower_is_better)
+    facts = with_facts(cells_, baseline, lower_is_better, keys)
     return facts.withColumn("skill", skill_of(F.col("value"), F.col("baseline_value"))).withColumn(
-        "overall", overall_of(weights)
+        "overall", overall_of(weights, keys)
     )
 
 
@@ -161,23 +168,23 @@ def with_labels(df: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     )
 
 
-def entry_scores(skills: DataFrame) -> DataFrame:
+def entry_scores(skills: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """One row per entry with its overall score."""
-    return skills.groupBy(*ENTRY).agg(F.max("overall").alias("overall"))
+    return skills.groupBy(*keys, *ENTRY).agg(F.max("overall").alias("overall"))
 
 
-def with_places(skills: DataFrame) -> DataFrame:
+def with_places(skills: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Attach the entry's ``place`` within its target by ``overall``, best first; ties share one.
 
     An entry without a score has no place and sorts last. Scores are stored first: the same sum
     evaluated twice may differ in its last bit, and an entry would lose its place.
     """
-    scores = stage(entry_scores(skills), "entry-scores")
-    places = value_ranks(scores, ["target"], "overall", descending=True).select(
-        "target", "overall", (F.col("first_rank") + 1).alias("place")
+    scores = stage(entry_scores(skills, keys), "entry-scores")
+    places = value_ranks(scores, [*keys, "target"], "overall", descending=True).select(
+        *keys, "target", "overall", (F.col("first_rank") + 1).alias("place")
     )
-    placed = scores.join(places, ["target", "overall"], "left").select(*ENTRY, "place")
-    return skills.join(placed, ENTRY, "left")
+    placed = scores.join(places, [*keys, "target", "overall"], "left").select(*keys, *ENTRY, "place")
+    return skills.join(placed, [*keys, *ENTRY], "left")
 
 
 def leaderboard(
@@ -193,24 +200,29 @@ def leaderboard(
     """Long leaderboard of every target: cells with skill, texts and colour, and the entry's place."""
     if not lower_is_better:
         raise ValueError("the leaderboard assumes that lower metric values are better")
-    skills = skill_scores(cells(metrics, metric, agg), baseline, weights)
-    table = relative_to_best(with_places(skills), reach, lower_is_better)
+    return _board(cells(metrics, metric, agg), baseline, labels, reach, weights)
+
+
+def _board(
+    cells_: DataFrame, baseline: str, labels: DataFrame | None, reach: float = 0.2, weights: dict[str, float] | None = None,
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """The board of cells that are stored first: one row per entry and column, read by every later step."""
+    skills = skill_scores(stage(cells_, "leaderboard-cells"), baseline, weights, keys=keys)
+    table = relative_to_best(with_places(skills, keys), reach)
     return with_labels(table, labels).select(
         "target", "place", "model_label", "strategy_label", "model", "val_strategy", "setting", "scale",
         "value", "skill", "overall", "closeness",
         fmt.cell_text(F.col("value"), F.col("target")).alias("value_text"),
         fmt.fixed(F.col("skill"), 2).alias("skill_text"),
         fmt.fixed(F.col("overall"), 2).alias("overall_text"),
-        "colour",
+        "colour", *keys,
     )
 
 
 def leaderboard_pages(metrics: DataFrame, metric: str = "rmse", labels: DataFrame | None = None, baseline: str = "lr") -> DataFrame:
-    """Median and 90 % leaderboards of every target in one table."""
-    pages = [
-        leaderboard(metrics, metric, agg, baseline, labels).withColumn("aggregate", F.lit(agg)) for agg in QUANTILES
-    ]
-    return pages[0].unionByName(pages[1])
+    """Median and 90 % leaderboards of every target in one table, from one ranking of the values."""
+    return _board(quantile_cells(metrics, metric), baseline, labels, keys=["aggregate"])
 
 
 def in_model_order(entries: DataFrame, models: Sequence[str]) -> DataFrame:

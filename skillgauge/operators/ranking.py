@@ -5,35 +5,33 @@ all of them. Instead of sorting a cell in one place, values are
 
 1. collapsed to distinct values with counts (combined before the shuffle, so repeated values
    cost nothing),
-2. placed in order-preserving buckets by a fixed function of the value alone, which gives the
-   same bucket on every evaluation and after every retry,
-3. ranked inside their bucket and offset by the counts of the buckets before it.
+2. dealt out in ranges of (group, value) whose bounds Spark samples from the values themselves, so that a
+   group gets as many ranges as its share of the rows, however close its values lie,
+3. ranked inside their range and offset by the counts of the group's ranges before it.
 
-Only bucket counts are ever brought together per cell, and their number is bounded by the
-number range of a double. A bucket is a fixed 1/64 of a doubling, and its distinct values are sorted in
-one task: a group whose values all lie in one bucket, as in [0.99, 1), is not split.
+The ranges are written once with their number, so that every later step, and every retry, sees the same
+ones. Only counts of ranges are ever brought together per group: one row for each range a group lies in.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Buckets per doubling of the magnitude.
-BUCKETS_PER_OCTAVE = 64
-_SHIFT = 1080  # lifts log2 of the smallest double above zero
+from skillgauge.sources.stores import stage
 
 
-def value_bucket(value: Column) -> Column:
-    """Bucket number that grows with ``value``."""
-    size = F.abs(value)
-    step = F.floor((F.log2(size) + _SHIFT) * BUCKETS_PER_OCTAVE).cast("long")
-    top = F.lit(3 * _SHIFT * BUCKETS_PER_OCTAVE).cast("long")
-    step = F.when(size == F.lit(float("inf")), top).otherwise(step)
-    return F.when(value == 0, F.lit(0).cast("long")).when(value > 0, step + 1).otherwise(-step - 1)
+def value_ranges(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Distinct values per group with their ``copies`` and the number of their ``range``, which grows with group and value."""
+    distinct = (
+        df.where(F.col(value).isNotNull())
+        .groupBy(*by, (F.col(value) + F.lit(0.0)).alias(value))
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    return stage(distinct.repartitionByRange(*by, value).withColumn("range", F.spark_partition_id()), "value-ranges")
 
 
 def value_ranks(df: DataFrame, by: Sequence[str], value: str, descending: bool = False) -> DataFrame:
@@ -41,52 +39,58 @@ def value_ranks(df: DataFrame, by: Sequence[str], value: str, descending: bool =
 
     The copies of a value take ranks ``first_rank .. first_rank + copies - 1``. NULLs are left out.
     """
-    bucket = value_bucket(F.col(value))
-    distinct = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, bucket.alias("bucket"), (F.col(value) + F.lit(0.0)).alias(value))
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
+    ranges = value_ranges(df, by, value)
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    whole, before = W.partitionBy(*by), W.partitionBy(*by).orderBy(direction("bucket"))
+    whole, before = W.partitionBy(*by), W.partitionBy(*by).orderBy(direction("range"))
     offsets = (
-        distinct.groupBy(*by, "bucket")
-        .agg(F.sum("copies").alias("in_bucket"))
+        ranges.groupBy(*by, "range")
+        .agg(F.sum("copies").alias("in_range"))
         .select(
-            *by, "bucket",
-            (F.sum("in_bucket").over(before) - F.col("in_bucket")).alias("offset"),
-            F.sum("in_bucket").over(whole).alias("total"),
+            *by, "range",
+            (F.sum("in_range").over(before) - F.col("in_range")).alias("offset"),
+            F.sum("in_range").over(whole).alias("total"),
         )
     )
-    inside = W.partitionBy(*by, "bucket").orderBy(direction(value))
-    ranked = distinct.withColumn(
+    inside = W.partitionBy(*by, "range").orderBy(direction(value))
+    ranked = ranges.withColumn(
         "inside", F.sum("copies").over(inside.rowsBetween(W.unboundedPreceding, 0)) - F.col("copies")
     )
-    return ranked.join(offsets, [*by, "bucket"]).select(
+    return ranked.join(offsets, [*by, "range"]).select(
         *by, value, "copies", (F.col("offset") + F.col("inside")).alias("first_rank"), "total"
     )
 
 
-def exact_quantile(
-    df: DataFrame, by: Sequence[str], value: str, share: float, name: str | None = None
-) -> DataFrame:
-    """Linearly interpolated quantile per group; groups without a value do not appear."""
-    position = (F.col("total") - 1) * F.lit(float(share))
-    low, high = F.floor(position), F.ceil(position)
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, shares: Mapping[str, float]) -> DataFrame:
+    """Linearly interpolated quantiles per group from one ranking: ``(by, aggregate, value)``, a row for each
+    name in ``shares``; groups without a value do not appear."""
+    places = F.array(*[
+        F.struct(F.lit(name).alias("aggregate"), ((F.col("total") - 1) * F.lit(float(share))).alias("position"))
+        for name, share in shares.items()
+    ])
     holds = lambda r: (F.col("first_rank") <= r) & (r < F.col("first_rank") + F.col("copies"))
-    picked = value_ranks(df, by, value).where(holds(low) | holds(high))
-    lower = F.max(F.when(holds(low), F.col(value)))
-    upper = F.max(F.when(holds(high), F.col(value)))
-    part = F.max(position - low)
-    return picked.groupBy(*by).agg(lower.alias("lower"), upper.alias("upper"), part.alias("part")).select(
-        *by,
+    # The value's own places among the wanted ones; nearly all values have none and are not spread.
+    wanted = F.filter(places, lambda p: holds(F.floor(p.position)) | holds(F.ceil(p.position)))
+    picked = value_ranks(df, by, value).select(*by, F.col(value).alias("own"), "first_rank", "copies", F.inline(wanted))
+    low, high = F.floor("position"), F.ceil("position")
+    return picked.groupBy(*by, "aggregate").agg(
+        F.max(F.when(holds(low), F.col("own"))).alias("lower"), F.max(F.when(holds(high), F.col("own"))).alias("upper"),
+        F.max(F.col("position") - low).alias("part"),
+    ).select(
+        *by, "aggregate",
         # Equal ends also keep two infinities from becoming NaN.
         F.when(F.col("lower") == F.col("upper"), F.col("lower"))
         .otherwise(F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("part"))
-        .alias(name or value),
+        .alias("value"),
     )
 
 
+def exact_quantile(
+    df: DataFrame, by: Sequence[str], value: str, share: float, name: str | None = None
+) -> DataFrame:
+    """One linearly interpolated quantile per group; groups without a value do not appear."""
+    return exact_quantiles(df, by, value, {"one": share}).select(*by, F.col("value").alias(name or value))
+
+
 def first_rows(
     df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, spread_by: str, slots: int = 64
 ) -> DataFrame:

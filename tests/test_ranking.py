@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skillgauge.operators.quota import admit
-from skillgauge.operators.ranking import exact_quantile, first_rows, value_bucket, value_ranks
+from skillgauge.operators.ranking import exact_quantile, exact_quantiles, first_rows, value_ranges, value_ranks
 from datetime import datetime, timedelta
 
 
@@ -39,13 +39,37 @@ def test_ranks_follow_sorted_order(values):
                 assert own[r.first_rank] == r.v and own[r.first_rank + r.copies - 1] == r.v and r.total == len(own)
 
 
-def test_buckets_keep_the_order(spark):
+def test_several_quantiles_from_one_ranking(values):
+    data, df = values
+    shares = {"low": 0.1, "median": 0.5, "q90": 0.9, "last": 1.0}
+    got = {(r.g, r.aggregate): r.value for r in exact_quantiles(df, ["g"], "v", shares).collect()}
+    groups = {g for g, v in data if v is not None}
+    assert set(got) == {(g, name) for g in groups for name in shares}
+    for (g, name), value in got.items():
+        assert value == pytest.approx(np.quantile([v for k, v in data if k == g and v is not None], shares[name]), rel=1e-9)
+
+
+def test_close_values_of_one_group_are_split_over_tasks(spark):
     rng = random.Random(3)
-    numbers = sorted([rng.choice([-1, 1]) * 10 ** rng.uniform(-320, 308) for _ in range(2000)]
-                     + [0.0, 5e-324, -5e-324, float("inf"), float("-inf"), 1.0, 1.0000000000000002])
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(numbers)], "i long, v double")
-    buckets = [r.b for r in df.select("i", value_bucket(F.col("v")).alias("b")).orderBy("i").collect()]
-    assert buckets == sorted(buckets)
+    numbers = sorted({0.99 + rng.random() / 100 for _ in range(100_000)} | {float("inf"), float("-inf"), 5e-324, -5e-324, 0.0})
+    rows = spark.createDataFrame([("hot", v) for v in numbers] + [("other", 0.995)], "g string, v double").repartition(4)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    for k, v in zip(before, ("false", "8")):  # small partitions stay apart, as those of a large table do
+        spark.conf.set(k, v)
+    try:
+        ranges = value_ranges(rows, ["g"], "v").where("g = 'hot'").groupBy("range").agg(
+            F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("range").collect()
+        assert len(ranges) > 3 and max(r.n for r in ranges) < len(numbers) / 2
+        assert all(a.high < b.low for a, b in zip(ranges, ranges[1:]))
+        for q in (0.25, 0.5, 0.9):
+            got = {r.g: r.v for r in exact_quantile(rows, ["g"], "v", q).collect()}
+            want = {r.g: r.p for r in rows.groupBy("g").agg(F.percentile("v", q).alias("p")).collect()}
+            assert got == pytest.approx(want, rel=1e-12)
+        ranks = {r.v: r.first_rank for r in value_ranks(rows, ["g"], "v").where("g = 'hot'").collect()}
+        assert ranks == {v: k for k, v in enumerate(numbers)}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_first_rows_of_a_hot_group(spark):
