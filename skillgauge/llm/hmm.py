@@ -6,12 +6,13 @@
    counts of frequent words are taken from a broadcast table of fixed size; rarer words meet
    their counts in a join.
 3. Baum-Welch: every pass goes over all training texts; each task runs the scaled forward and
-   backward recursions on its segments and emits expected counts, which are summed by symbol range.
+   backward recursions over whole texts and emits expected counts, which are summed by symbol range.
+   On the way back forward states are found again span by span, so a long text takes little memory.
 4. The scaled forward recursion over the whole text gives its likelihood exactly. A word under the
    shared symbol is worth its add-half share among these words.
 
-The start of training (which states there are) comes from at most ``_SEED_DOCS`` whole documents
-clustered by likelihood; all counts and all model parameters come from passes over all documents.
+Training starts from states that are counted over all training documents: each document counts for the one of
+several centres that it is most like. Only these centres come from a sample, of at most ``_SEED_DOCS`` whole documents.
 
 Defined cases: null, empty and blank texts are one end token. A null ``doc_id`` has no remainder:
 such a row is not held out and trains. Rows that repeat a ``doc_id`` count and are scored one by
@@ -37,7 +38,7 @@ _SYMBOLS = (1 << 16) - 2
 _END, _OTHER = _SYMBOLS, _SYMBOLS + 1
 _N_SYMBOLS = _SYMBOLS + 2
 _SEED_DOCS = 256
-_SEGMENT = 256
+_SPAN = 64
 _FLUSH = 1 << 21
 _SHARD = 1 << 11
 _PRIOR = 2000.0
@@ -143,76 +144,118 @@ class Model:
         out[order] = total
         return out
 
-    def expected(self, segments: list[np.ndarray], opening: np.ndarray):
-        """Expected counts (start, move, emit) of segments; ``opening`` marks those that open a text."""
-        order = np.argsort([-len(s) for s in segments], kind="stable")
-        lengths = np.array([len(segments[i]) for i in order])
-        flat = np.concatenate([segments[i] for i in order]).astype(np.int64)
+    def expected(self, texts: list[np.ndarray]):
+        """Expected counts (start, move, emit) of whole texts, in lockstep. Forward states are kept before every
+        ``_SPAN``-th word only, and made again span by span on the way back."""
+        order = np.argsort([-len(s) for s in texts], kind="stable")
+        lengths = np.array([len(texts[i]) for i in order])
+        flat = np.concatenate([texts[i] for i in order]).astype(np.int64)
         at = np.concatenate([[0], np.cumsum(lengths)[:-1]])
         active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
-        states = len(self.start)
-        alphas, scales, alpha = [], [], np.repeat(self.start[None, :], len(lengths), axis=0)
-        for t, n in enumerate(active):
-            if t:
-                alpha = alpha[:n] @ self.move
-            alpha = alpha * self.emit[flat[at[:n] + t]]
-            scales.append(alpha.sum(axis=1))
-            alpha = alpha / scales[-1][:, None]
-            alphas.append(alpha)
-        gamma, moves = np.empty((len(flat), states)), np.zeros((states, states))
+        states, steps = len(self.start), len(active)
+
+        def forward(t: int, alpha: np.ndarray):
+            alpha = (alpha[: active[t]] @ self.move if t else alpha) * self.emit[flat[at[: active[t]] + t]]
+            scale = alpha.sum(axis=1)
+            return alpha / scale[:, None], scale
+
+        kept, alpha = [], np.repeat(self.start[None, :], len(lengths), axis=0)
+        for t in range(steps):
+            if t % _SPAN == 0:
+                kept.append(alpha)
+            alpha, _ = forward(t, alpha)
+
+        emits, moves = np.zeros((_N_SYMBOLS, states)), np.zeros((states, states))
+        symbols, weights, held = [], [], 0
         beta = np.ones((active[-1], states))
-        for t in range(len(active) - 1, -1, -1):
-            n = active[t]
-            if len(beta) < n:
-                beta = np.concatenate([beta, np.ones((n - len(beta), states))])
-            gamma[at[:n] + t] = alphas[t] * beta
-            if t:
-                ahead = self.emit[flat[at[:n] + t]] * beta / scales[t][:, None]
-                moves += alphas[t - 1][:n].T @ ahead
-                beta = ahead @ self.move.T
-        emits = np.stack([np.bincount(flat, weights=gamma[:, s], minlength=_N_SYMBOLS) for s in range(states)], axis=1)
-        return gamma[at[opening[order]]].sum(axis=0), moves * self.move, emits
+        for begin in range((steps - 1) // _SPAN * _SPAN, -1, -_SPAN):
+            alphas, scales = [kept.pop()], []
+            for t in range(begin, min(begin + _SPAN, steps)):
+                alpha, scale = forward(t, alphas[-1])
+                alphas.append(alpha)
+                scales.append(scale)
+            for t in range(begin + len(scales) - 1, begin - 1, -1):
+                n = active[t]
+                if len(beta) < n:
+                    beta = np.concatenate([beta, np.ones((n - len(beta), states))])
+                own = flat[at[:n] + t]
+                gamma = alphas[t - begin + 1] * beta
+                symbols.append(own)
+                weights.append(gamma)
+                held += n
+                if held >= _FLUSH // 8 or not t:
+                    every, weight = np.concatenate(symbols), np.concatenate(weights)
+                    for s in range(states):
+                        emits[:, s] += np.bincount(every, weights=weight[:, s], minlength=_N_SYMBOLS)
+                    symbols, weights, held = [], [], 0
+                if t:
+                    ahead = self.emit[own] * beta / scales[t - begin][:, None]
+                    moves += alphas[t - begin][:n].T @ ahead
+                    beta = ahead @ self.move.T
+        return gamma.sum(axis=0), moves * self.move, emits
 
 
 def _texts_as_symbols(batch) -> list[np.ndarray]:
     return [np.frombuffer(b, dtype="<u2") for b in batch.column("symbols").to_pylist()]
 
 
-def _expect(shared):
-    """Expected counts of a task: emissions by symbol range; start and moves as range -1."""
+def _in_shards(start: np.ndarray, moves: np.ndarray, emits: np.ndarray):
+    """Counts of a task: emissions by symbol range; start and moves as range -1."""
+    shards = [emits[k : k + _SHARD].astype(np.float64).tobytes() for k in range(0, _N_SYMBOLS, _SHARD)]
+    return pa.RecordBatch.from_pydict({
+        "shard": pa.array([-1, *range(len(shards))], pa.int32()),
+        "sums": [np.concatenate([start, moves.ravel()]).astype(np.float64).tobytes(), *shards]})
+
+
+def _count_in_groups(count):
+    """The sums of ``count``, a function from a list of texts to (start, moves, emits), over the texts of a task."""
     def run(batches):
-        model: Model = shared.value
-        sums, segments, opening, held = None, [], [], 0
+        sums, texts, held = None, [], 0
 
         def settle():
-            new = model.expected(segments, np.array(opening))
+            new = count(texts)
             return new if sums is None else tuple(a + b for a, b in zip(sums, new))
 
         for batch in batches:
             for text in _texts_as_symbols(batch):
-                for k in range(0, len(text), _SEGMENT):
-                    segments.append(text[k : k + _SEGMENT])
-                    opening.append(k == 0)
+                texts.append(text)
                 held += len(text)
-                if held >= _FLUSH // 4:
-                    sums, segments, opening, held = settle(), [], [], 0
-        if segments:
+                if held >= _FLUSH // 2:
+                    sums, texts, held = settle(), [], 0
+        if texts:
             sums = settle()
         if sums is not None:
-            start, moves, emits = sums
-            shards = [emits[k : k + _SHARD].astype(np.float32).tobytes() for k in range(0, _N_SYMBOLS, _SHARD)]
-            yield pa.RecordBatch.from_pydict({
-                "shard": pa.array([-1, *range(len(shards))], pa.int32()),
-                "sums": [np.concatenate([start, moves.ravel()]).astype(np.float32).tobytes(), *shards]})
+            yield _in_shards(*sums)
 
     return run
 
 
+def _expect(shared):
+    """Expected counts of a task under a model."""
+    return _count_in_groups(lambda texts: shared.value.expected(texts))
+
+
+def _assign(shared):
+    """Counts of a task where each text belongs to the one centre that it is most like; no moves."""
+    def count(texts: list[np.ndarray]):
+        log = shared.value
+        states = log.shape[1]
+        emits, groups = np.zeros(_N_SYMBOLS * states), np.zeros(states)
+        for text in texts:
+            symbols, n = np.unique(text.astype(np.int64), return_counts=True)
+            best = int((log[symbols] * n[:, None]).sum(axis=0).argmax())
+            groups[best] += 1
+            emits[symbols * states + best] += n
+        return groups, np.zeros((states, states)), emits.reshape(_N_SYMBOLS, states)
+
+    return _count_in_groups(count)
+
+
 def _add(frames):
     sums: dict[int, np.ndarray] = {}
     for frame in frames:
         for shard, blob in zip(frame["shard"], frame["sums"]):
-            sums[shard] = sums.get(shard, 0.0) + np.frombuffer(blob, dtype=np.float32).astype(np.float64)
+            sums[shard] = sums.get(shard, 0.0) + np.frombuffer(blob, dtype=np.float64)
     for shard, values in sums.items():
         yield pd.DataFrame({"shard": [shard], "sums": [values.tobytes()]})
 
@@ -225,8 +268,13 @@ def _model_of(start, moves, emits, unigram) -> Model:
     return Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit)
 
 
-def _seed(texts: list[np.ndarray], states: int, unigram: np.ndarray) -> Model:
-    """States from a few whole documents: far-apart seeds, then a few rounds of hard assignment."""
+def _likeness(emit: np.ndarray, unigram: np.ndarray) -> np.ndarray:
+    """What a symbol adds to the likeness of a text to each centre; for unused symbols any number."""
+    return np.log(np.maximum(emit, 1e-300) / np.maximum(unigram, 1e-300)[:, None])
+
+
+def _centres(texts: list[np.ndarray], states: int, unigram: np.ndarray) -> np.ndarray:
+    """Emissions of ``states`` centres of a few whole documents: far-apart seeds, then a few rounds of hard assignment."""
     bags = [np.unique(t, return_counts=True) for t in texts]
     member = np.zeros(len(texts), dtype=int)
 
@@ -238,28 +286,34 @@ def _seed(texts: list[np.ndarray], states: int, unigram: np.ndarray) -> Model:
         return (counts + 50.0 * unigram[:, None]) / (counts.sum(axis=0) + 50.0)
 
     def gains(emit):
-        log = np.log(np.maximum(emit, 1e-300) / np.maximum(unigram, 1e-300)[:, None])  # unused symbols: any number
+        log = _likeness(emit, unigram)
         return np.array([(log[s] * n[:, None]).sum(axis=0) / n.sum() for s, n in bags])
 
-    if texts:
-        sizes = np.array([n.sum() for _, n in bags])
-        chosen = [int(sizes.argmax())]
-        while len(chosen) < min(states, len(texts)):
-            groups = np.full(len(texts), -1)
-            groups[chosen] = range(len(chosen))
-            # The text least like any seed so far; short texts gain by chance and are made less attractive.
-            likeness = gains(emissions(groups))[:, : len(chosen)].max(axis=1) + 20.0 / np.sqrt(sizes)
-            likeness[chosen] = np.inf
-            chosen.append(int(likeness.argmin()))
+    if not texts:
+        return np.repeat(unigram[:, None], states, axis=1)
+    sizes = np.array([n.sum() for _, n in bags])
+    chosen = [int(sizes.argmax())]
+    while len(chosen) < min(states, len(texts)):
         groups = np.full(len(texts), -1)
         groups[chosen] = range(len(chosen))
-        for _ in range(8):
-            member = groups = gains(emissions(groups)).argmax(axis=1)
-    emit = emissions(member) if texts else np.repeat(unigram[:, None], states, axis=1)
-    emit = 0.8 * emit + 0.2 * unigram[:, None]
-    start = (np.bincount(member, minlength=states) + 1.0) if texts else np.ones(states)
+        # The text least like any seed so far; short texts gain by chance and are made less attractive.
+        likeness = gains(emissions(groups))[:, : len(chosen)].max(axis=1) + 20.0 / np.sqrt(sizes)
+        likeness[chosen] = np.inf
+        chosen.append(int(likeness.argmin()))
+    groups = np.full(len(texts), -1)
+    groups[chosen] = range(len(chosen))
+    for _ in range(8):
+        member = groups = gains(emissions(groups)).argmax(axis=1)
+    return emissions(member)
+
+
+def _first_model(groups: np.ndarray, emits: np.ndarray, unigram: np.ndarray) -> Model:
+    """The model that training starts from, of documents counted by centre."""
+    states = len(groups)
+    emit = (emits + 50.0 * unigram[:, None]) / (emits.sum(axis=0) + 50.0)
+    start = groups + 1.0
     move = np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
-    return Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit)
+    return Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), 0.8 * emit + 0.2 * unigram[:, None])
 
 
 def _score(shared):
@@ -287,18 +341,19 @@ def _score(shared):
 
 
 def frequent_words(counts: DataFrame, most: int) -> DataFrame:
-    """The words of (word, c) above the least count class that keeps them to ``most`` words. Classes are
-    single counts up to 1024 and 64 per doubling beyond, so some thousand rows decide the cut."""
+    """The words of (word, c) above a count class, to about ``most`` words; of the class that would exceed it a share by hash.
+    Classes are single counts up to 1024 and 64 per doubling beyond, so some thousand rows decide the cut."""
     c = F.col("c")
     kind = F.when(c <= 1024, c).otherwise(1024 + F.floor(64 * F.log2(c / 1024))).cast("long")
     sizes = sorted(((r[0], r[1]) for r in counts.groupBy(kind.alias("k")).count().collect()), reverse=True)
-    cut, held = None, 0
+    held = 0
     for k, n in sizes:
+        if held + n > most:
+            room = most - held
+            share = max(0.0, room - 4.0 * room**0.5) / n  # a hash gives out more than the room about once in 30,000 times
+            return counts.where((kind > F.lit(k)) | ((kind == F.lit(k)) & (F.shiftrightunsigned(F.xxhash64("word"), 32) < F.lit(int(share * 2**32)))))
         held += n
-        if held > most:
-            break
-        cut = k
-    return counts.where(kind >= F.lit(cut)) if cut is not None else counts.limit(0)
+    return counts
 
 
 def language_model_scores(docs: DataFrame, states: int = 8, passes: int = 2) -> DataFrame:
@@ -317,10 +372,11 @@ def language_model_scores(docs: DataFrame, states: int = 8, passes: int = 2) ->
 
     trained = texts.where(~F.col("held_out")).select("doc_id", "symbols")
     sample = W.least_rows(trained, F.xxhash64("doc_id", "symbols"), _SEED_DOCS).collect()
-    model = _seed([np.frombuffer(bytes(r["symbols"]), dtype="<u2").astype(np.int64) for r in sample], states, vocabulary.unigram)
-    for _ in range(passes):
-        shared = spark.sparkContext.broadcast(model)
-        parts = trained.select("symbols").mapInArrow(W.frugal(_expect(shared)), "shard int, sums binary").repartition("shard").mapInPandas(_add, "shard int, sums binary")
+    unigram = vocabulary.unigram
+
+    def summed(count, shared):
+        """(start, moves, emits) over all training texts."""
+        parts = trained.select("symbols").mapInArrow(W.frugal(count(shared)), "shard int, sums binary").repartition("shard").mapInPandas(_add, "shard int, sums binary")
         head, emits = np.zeros(states + states * states), np.zeros((_N_SYMBOLS, states))
         for shard, blob in parts.collect():
             values = np.frombuffer(bytes(blob), dtype=np.float64)
@@ -328,7 +384,14 @@ def language_model_scores(docs: DataFrame, states: int = 8, passes: int = 2) ->
                 head = values
             else:
                 emits[shard * _SHARD : (shard + 1) * _SHARD] = values.reshape(-1, states)
-        model = _model_of(head[:states], head[states:].reshape(states, states), emits, vocabulary.unigram)
+        shared.unpersist()
+        return head[:states], head[states:].reshape(states, states), emits
+
+    centres = _centres([np.frombuffer(bytes(r["symbols"]), dtype="<u2").astype(np.int64) for r in sample], states, unigram)
+    groups, _, emits = summed(_assign, spark.sparkContext.broadcast(_likeness(centres, unigram)))
+    model = _first_model(groups, emits, unigram)
+    for _ in range(passes):
+        model = _model_of(*summed(_expect, spark.sparkContext.broadcast(model)), unigram)
 
     rare = texts.select("uid", F.inline("rare")).join(counts, "word", "left").groupBy("uid").agg(
         F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare_log"),

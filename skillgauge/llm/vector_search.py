@@ -15,14 +15,19 @@ Queries travel in packs; packs and blocks meet by an equi-join on the ring, and
 whole pack against a whole block. Each task keeps only the k best per query. Pivots are fitted on at
 most ``_SAMPLE`` vectors; all vectors are indexed. Pivots, rings and their bounds have a fixed size.
 
-Defined cases: a vector that is null or holds a null or non-finite component takes no part, nor does
-a row without ``vec_id``. Rows sharing a ``vec_id`` are one vector, the smallest in array order.
+Distances are taken of vectors made smaller by a power of two where their components are so large that squares would
+leave the range of a double; scores are exact whole numbers at any size.
+
+Defined cases: a vector that is null or holds a null or non-finite component takes no part (a component that
+overflows once scaled is not finite), nor does a row without ``vec_id``. Rows sharing a ``vec_id`` are one vector, the smallest in array order.
 Vectors of unequal length compare as if padded with zeros; an empty vector scores 0. Ties go to the
-smaller id. Scores beyond 64 bits are cut to the range of a long. Other columns are ignored.
+smaller id. Scores beyond 64 bits are cut to the range of a long, so all of them tie. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -37,21 +42,27 @@ _SAMPLE = 4096
 _BLOCK = 1024
 _PACK = 256
 _EXACT = 2.0**53
+_HUGE = 2.0**400
 
 
 def _quantise(scale: float):
-    schema = pa.schema([("vec_id", pa.int64()), ("dim", pa.int64()), ("norm", pa.float64()), ("body", pa.binary())])
+    schema = pa.schema([("vec_id", pa.int64()), ("dim", pa.int64()), ("norm", pa.float64()), ("peak", pa.float64()), ("body", pa.binary())])
 
     def run(batches):
         for batch in batches:
             vectors = [np.floor(scale * np.array(v, dtype=np.float64)) for v in batch.column("embedding").to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                batch.column("vec_id"), pa.array([len(v) for v in vectors], pa.int64()), pa.array([float(v @ v) for v in vectors], pa.float64()),
-                pa.array([v.tobytes() for v in vectors], pa.binary())], schema=schema)
+                batch.column("vec_id"), pa.array([len(v) for v in vectors], pa.int64()), pa.array([_norm(v) for v in vectors], pa.float64()),
+                pa.array([float(np.abs(v).max(initial=0.0)) for v in vectors], pa.float64()), pa.array([v.tobytes() for v in vectors], pa.binary())], schema=schema)
 
     return run
 
 
+def _norm(v: np.ndarray) -> float:
+    with np.errstate(over="ignore"):
+        return float(v @ v)
+
+
 def _matrix(blobs, dim: int) -> np.ndarray:
     out = np.zeros((len(blobs), dim))
     for row, blob in zip(out, blobs):
@@ -63,11 +74,12 @@ def _matrix(blobs, dim: int) -> np.ndarray:
 class Index:
     """Pivots with their ring bounds; rings are equal parts of a pivot's range of distances."""
 
-    def __init__(self, pivots: np.ndarray, dim: int, most: float):
-        self.pivots, self.dim, self.most = pivots, dim, most
+    def __init__(self, pivots: np.ndarray, dim: int, most: float, shrink: float = 1.0):
+        self.pivots, self.dim, self.most, self.shrink = pivots, dim, most, shrink  # pivots and most are of shrunk vectors
         self.low = self.step = self.inner = self.outer = self.held = None
 
     def distances(self, vectors: np.ndarray, query: bool) -> np.ndarray:
+        vectors = vectors * self.shrink
         extra = np.zeros(len(vectors)) if query else np.sqrt(np.maximum(0.0, self.most - (vectors**2).sum(axis=1)))
         return np.sqrt(np.maximum(0.0, ((vectors[:, None, :] - self.pivots[None, :, :-1]) ** 2).sum(axis=2) + (extra[:, None] - self.pivots[None, :, -1]) ** 2))
 
@@ -156,8 +168,10 @@ def _visits(shared, k: int, later: bool):
                 np.put_along_axis(first, order, before <= 4 * k, axis=1)  # the query itself may be among them
                 wanted = first & np.isfinite(bounds)
                 if later:
+                    # A score at the lower end of a long may be a cut one and limits nothing.
                     reach = np.array([
-                        np.inf if x is None else np.sqrt(max(0.0, float(q @ q) + index.most - 2.0 * x)) for x, q in zip(limits[a : a + _PACK], queries)])
+                        np.inf if x is None or x <= -(2.0**63) else np.sqrt(max(0.0, float(q @ q) + index.most - 2.0 * x * index.shrink * index.shrink))
+                        for x, q in zip(limits[a : a + _PACK], queries * index.shrink)])
                     wanted = ~first & np.isfinite(bounds) & (bounds <= reach[:, None] * (1 + 1e-7) + 1e-7)
                 for ring in np.flatnonzero(wanted.any(axis=0)):
                     own = wanted[:, ring]
@@ -168,7 +182,9 @@ def _visits(shared, k: int, later: bool):
 
 
 def _products(queries: np.ndarray, vectors: np.ndarray, dim: int) -> np.ndarray:
-    if dim * np.abs(queries).max(initial=0) * np.abs(vectors).max(initial=0) < _EXACT:
+    with np.errstate(over="ignore"):
+        exact = dim * np.abs(queries).max(initial=0) * np.abs(vectors).max(initial=0) < _EXACT
+    if exact:
         return (queries @ vectors.T).astype(np.int64)
     whole = [[int(x) for x in row] for row in queries], [[int(x) for x in row] for row in vectors]
     top = np.iinfo(np.int64)
@@ -176,7 +192,7 @@ def _products(queries: np.ndarray, vectors: np.ndarray, dim: int) -> np.ndarray:
 
 
 def _best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int):
-    order = np.lexsort((vec, -score, query))
+    order = np.lexsort((vec, ~score, query))  # ~score falls as the score grows, and does not overflow
     query, vec, score = query[order], vec[order], score[order]
     first = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]])) if len(query) else np.empty(0, dtype=int)
     place = np.arange(len(query)) - np.repeat(first, np.diff(np.append(first, len(query))))
@@ -219,20 +235,23 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
     other rows of (vec_id, embedding), components taken as floor(scale * x)."""
     spark = vectors.sparkSession
     W.small_batches(spark)
-    whole = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    whole = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x * F.lit(float(scale))) == float("inf")))
     clean = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), is_query.alias("asks")).where(
         F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(whole)
     single = clean.groupBy("vec_id").agg(F.min("embedding").alias("embedding"), F.bool_or("asks").alias("asks"))
     asking = single.where("asks").select("vec_id")
-    rows = stage(single.select("vec_id", "embedding").mapInArrow(_quantise(scale), "vec_id long, dim long, norm double, body binary"), "vectors")
-    dim, most = rows.agg(F.coalesce(F.max("dim"), F.lit(0)), F.coalesce(F.max("norm"), F.lit(0.0))).first()
+    rows = stage(single.select("vec_id", "embedding").mapInArrow(_quantise(scale), "vec_id long, dim long, norm double, peak double, body binary"), "vectors")
+    dim, most, peak = rows.agg(F.coalesce(F.max("dim"), F.lit(0)), F.coalesce(F.max("norm"), F.lit(0.0)), F.coalesce(F.max("peak"), F.lit(0.0))).first()
+    shrink = 1.0
+    if peak > _HUGE:  # components of at most 1, so squared norms are at most dim
+        shrink, most = 2.0 ** -math.frexp(peak)[1], float(dim)
 
     sample = W.least_rows(rows, F.xxhash64("vec_id"), _SAMPLE).collect()
     lifted = np.zeros((max(1, len(sample)), dim + 1))
     if sample:
-        lifted[:, :-1] = _matrix([bytes(r["body"]) for r in sample], dim)
+        lifted[:, :-1] = shrink * _matrix([bytes(r["body"]) for r in sample], dim)
         lifted[:, -1] = np.sqrt(np.maximum(0.0, most - (lifted[:, :-1] ** 2).sum(axis=1)))
-    index = Index(_pivots(lifted, _PIVOTS), dim, most)
+    index = Index(_pivots(lifted, _PIVOTS), dim, most, shrink)
     keyed = stage(rows.mapInArrow(_key(spark.sparkContext.broadcast(index)), "vec_id long, pivot int, distance double, body binary"), "keyed")
 
     count = len(index.pivots)

@@ -49,6 +49,21 @@ def test_vector_search_with_clusters_ties_and_bad_vectors(spark):
     assert search(spark, rows) == brute_top(rows)
 
 
+def test_vector_search_with_huge_components(spark):
+    """One huge vector must not spoil the others' results; scores beyond a long are cut and tie."""
+    rng = np.random.default_rng(8)
+    rows = [(k, rng.normal(size=6).tolist()) for k in range(300)]
+    rows += [(300, [1e200] + [0.0] * 5), (301, [-1e200] + [1.0] * 5), (302, [0.0, 1e305] + [0.0] * 4), (303, [1e308] * 6), (304, [0.0, 0.0, 1e19, 0.0, 0.0, 0.0])]
+    top = np.iinfo(np.int64)
+    small = [(i, v) for i, v in rows if i != 303]  # overflows once scaled
+    whole = {i: [int(math.floor(256.0 * x)) for x in v] for i, v in small}
+    wanted = []
+    for q in (i for i in whole if i % 50 == 0):
+        score = {c: min(max(sum(a * b for a, b in zip(whole[q], whole[c])), top.min), top.max) for c in whole if c != q}
+        wanted += [(q, rank, c, score[c]) for rank, c in enumerate(sorted(score, key=lambda c: (-score[c], c))[:5], 1)]
+    assert search(spark, rows) == sorted(wanted)
+
+
 def test_vector_search_on_few_rows(spark):
     assert search(spark, []) == []
     assert search(spark, [(50, [1.0])]) == []

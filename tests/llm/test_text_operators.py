@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -244,12 +245,14 @@ def test_forward_recursion_sums_over_all_paths():
         assert got == pytest.approx(math.log(total))
 
 
-def test_expected_counts_agree_with_all_paths():
+@pytest.mark.parametrize("span", [1, 2, 64])
+def test_expected_counts_agree_with_all_paths(monkeypatch, span):
+    monkeypatch.setattr(hmm, "_SPAN", span)
     rng = np.random.default_rng(4)
     emit = np.full((hmm._N_SYMBOLS, 2), 1e-9)
     emit[:3] = rng.random((3, 2))
     move, start = rng.random((2, 2)), rng.random(2)
-    texts = [np.array(t) for t in ([0, 1, 2], [2, 1], [1])]
+    texts = [np.array(t) for t in ([0, 1, 2], [2, 1], [1], [2, 0, 0, 1, 2, 1, 0])]
     first, moves, emits = np.zeros(2), np.zeros((2, 2)), np.zeros((3, 2))
     for text in texts:
         paths = {}
@@ -265,10 +268,37 @@ def test_expected_counts_agree_with_all_paths():
                 emits[text[t], s] += p / whole
                 if t:
                     moves[path[t - 1], s] += p / whole
-    got = hmm.Model(start, move, emit).expected(texts, np.array([True] * 3))
+    got = hmm.Model(start, move, emit).expected(texts)
     assert np.allclose(got[0], first) and np.allclose(got[1], moves) and np.allclose(got[2][:3], emits)
 
 
+def test_counts_by_centre_cover_all_texts():
+    rng = np.random.default_rng(5)
+    log = rng.normal(size=(hmm._N_SYMBOLS, 3))
+    texts = [rng.integers(0, 6, n).astype("<u2") for n in (1, 4, 9, 30, 2)]
+
+    class Shared:
+        value = log
+
+    batch = pa.RecordBatch.from_pydict({"symbols": pa.array([t.tobytes() for t in texts], pa.binary())})
+    (out,) = hmm._assign(Shared)([batch])
+    sums = dict(zip(out.column("shard").to_pylist(), out.column("sums").to_pylist()))
+    best = [int(np.argmax([sum(log[w, s] for w in t) for s in range(3)])) for t in texts]
+    wanted = np.zeros((6, 3))
+    for t, s in zip(texts, best):
+        for w in t:
+            wanted[w, s] += 1
+    assert np.frombuffer(sums[0]).reshape(-1, 3)[:6].tolist() == wanted.tolist()
+    assert np.frombuffer(sums[-1])[:3].tolist() == [best.count(s) for s in range(3)]
+
+
+def test_frequent_words_fill_the_table_where_one_count_alone_exceeds_it(spark):
+    counts = spark.range(20_000).select(F.xxhash64("id").alias("word"), F.when(F.col("id") < 100, 5).otherwise(1).cast("long").alias("c"))
+    got = hmm.frequent_words(counts, 5000).agg(F.count(F.lit(1)), F.sum((F.col("c") == 5).cast("int"))).first()
+    assert 4000 < got[0] <= 5000 and got[1] == 100
+    assert hmm.frequent_words(counts, 20_000).count() == 20_000 and hmm.frequent_words(counts.limit(0), 10).count() == 0
+
+
 def test_language_model_beats_the_base_on_held_out_texts(spark):
     from skillgauge.llm.queries import QUERIES
 
