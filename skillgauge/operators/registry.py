@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skillgauge.operators.validation import SUBMISSION, messages
+from skillgauge.sources.stores import stage
 
 # --- fixed values ---------------------------------------------------------------------
 TOP_FIELDS = [
@@ -32,8 +33,12 @@ def parse_registry(registry: DataFrame) -> DataFrame:
     """Document fields as columns, ``files`` as an array of JSON texts; unreadable documents drop out
     (``unreadable_documents`` lists them). Each document is read once for its fields and once for the
     names of its keys."""
-    read = registry.where(F.json_object_keys("doc").isNotNull()).withColumn("d", F.from_json("doc", _DOCUMENT))
-    return read.select(
+    return _documents(registry.where(F.json_object_keys("doc").isNotNull()))
+
+
+def _documents(registry: DataFrame) -> DataFrame:
+    """``parse_registry`` with the unreadable documents, which have no ``present``."""
+    return registry.withColumn("d", F.from_json("doc", _DOCUMENT)).select(
         "path", "doc", *[F.col(f"d.{k}").alias(k) for k in [*TOP_FIELDS, "val_strategy_display"]],
         F.json_object_keys("doc").alias("present"), F.col("d.files").alias("files"),
     )
@@ -80,17 +85,19 @@ def intake_gate(registry: DataFrame, objects: DataFrame) -> DataFrame:
     on to the file checks. ``objects`` lists stored files by ``path``.
 
     Objects are looked up only for documents without schema problems, and the first absent one in
-    file order is named.
+    file order is named. What is read from the documents is staged: filters on it would be pushed below the
+    reading and would read each document again, once for every field they look at.
     """
-    judged = schema_problems(parse_registry(registry))
+    judged = schema_problems(_documents(registry).withColumn("readable", F.col("present").isNotNull()))
     pending = F.coalesce(F.col("status") == "pending", F.lit(False))
     judged = judged.withColumn("problems", F.concat(
         "problems", F.when(~pending, _texts(["only a `pending` submission can be taken in"])).otherwise(_texts([]))
     ))
-    shown = judged.select(
+    whole = stage(judged.select(
         "path", F.coalesce("model_id", F.lit("?")).alias("model_id"), F.coalesce("val_strategy", F.lit("?")).alias("val_strategy"),
-        "problems", "files", "owner",
-    )
+        "problems", "files", "owner", "readable",
+    ), "documents")
+    shown = whole.where("readable")
     faults = shown.select(*SUBMISSION, F.explode("problems").alias("message"))
     listed = registry_files(shown.where(F.size("problems") == 0))
     # A key that is null finds no object and is named None.
@@ -100,7 +107,7 @@ def intake_gate(registry: DataFrame, objects: DataFrame) -> DataFrame:
         .agg(F.min_by(F.coalesce("r2_key", F.lit("None")), "position").alias("r2_key"))
         .select(*SUBMISSION, F.concat(F.lit("no stored object for `"), "r2_key", F.lit("`")).alias("message"))
     )
-    broken = unreadable_documents(registry).select(
+    broken = whole.where("not readable").select(
         F.lit("?").alias("model_id"), F.lit("?").alias("val_strategy"),
         F.concat(F.lit("cannot be read: "), F.coalesce("path", F.lit("-"))).alias("message"))
     return messages(faults.unionByName(absent).unionByName(broken), "metadata", text=F.col("message"))

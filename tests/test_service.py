@@ -64,6 +64,12 @@ def test_intake_reports_null_keys_and_unreadable_documents(spark):
         ("?", "cannot be read: submissions/1.json"), ("?", "cannot be read: submissions/2.json"), ("a", "no stored object for `None`")]
 
 
+def test_gate_reads_each_document_once(spark):
+    gate = rg.intake_gate(table(spark, document("a"), "no json"), spark.createDataFrame([], "path string"))
+    assert "from_json" not in gate._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.model_id for r in gate.collect()) == ["?", "a"]
+
+
 def test_owner_labels(spark):
     docs = table(spark, document("a", owner="first"), document("a", "max", owner="second"), document("", owner="x"))
     owners = {r.model_id: r.recorded_owner for r in rg.recorded_owners(docs).collect()}
