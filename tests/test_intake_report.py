@@ -65,6 +65,15 @@ def test_intake_stops_at_the_metadata(spark):
     assert [report[m, "metadata"][1] for m in ("bad", "draft", "lost", "?")] == [True, False, False, False]
 
 
+def test_rows_are_matched_with_files_once(spark, monkeypatch):
+    """Rows meet the few files of admitted submissions in one join, of files whose number is known, and no shuffle by path goes before."""
+    seen = []
+    monkeypatch.setattr(intake, "validate", lambda rows, files, truth, claims, *more: seen.append(rows) or validate(rows, files, truth, claims, *more))
+    validate = v.validate
+    test_intake_stops_at_the_metadata(spark)
+    assert "Join" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_intake_of_nothing(spark):
     empty = lambda schema: spark.createDataFrame([], schema)
     got = intake.intake_report(
