@@ -76,15 +76,19 @@ def score_submissions(
     submissions: DataFrame, predictions: DataFrame, truth: DataFrame, files: DataFrame, **options
 ) -> tuple[DataFrame, DataFrame]:
     """``(metrics, status)`` of the listed submissions (model, val_strategy). ``files`` names the
-    (setting, target) each must cover."""
-    wanted = predictions.join(submissions.select(*SUBMISSION_KEYS).distinct(), SUBMISSION_KEYS, "left_semi")
+    (setting, target) each must cover.
+
+    Submissions and their status, one row each, are staged: their true size is known to the joins, which then need not
+    shuffle the rows by the few submissions there are."""
+    submissions = stores.stage(submissions.select(*SUBMISSION_KEYS).distinct(), "submissions")
+    wanted = predictions.join(submissions, SUBMISSION_KEYS, "left_semi")
     metrics, covered = metrics_and_coverage(join_truth(wanted, truth), **options)
     found = covered.groupBy(*SUBMISSION_KEYS).agg(F.sum("rows").alias("rows"), F.sum("unmatched").alias("unmatched"))
     lacking = files.join(covered.select(*FILES_SCHEMA.names), FILES_SCHEMA.names, "left_anti").groupBy(*SUBMISSION_KEYS).agg(
         F.count(F.lit(1)).alias("absent"))
     counts = ["rows", "unmatched", "absent"]
     status = (
-        submissions.select(*SUBMISSION_KEYS).distinct().join(found, SUBMISSION_KEYS, "left").join(lacking, SUBMISSION_KEYS, "left")
+        submissions.join(found, SUBMISSION_KEYS, "left").join(lacking, SUBMISSION_KEYS, "left")
         .na.fill(0, counts)
         .select(
             *counts,
@@ -92,6 +96,7 @@ def score_submissions(
             *SUBMISSION_KEYS,
         )
     )
+    status = stores.stage(status, "status")
     good = status.where(F.col("status") == SCORED).select(*SUBMISSION_KEYS)
     return metrics.join(good, SUBMISSION_KEYS, "left_semi"), status
 

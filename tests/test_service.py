@@ -179,6 +179,19 @@ def test_batch_scoring_is_idempotent_and_retries(spark, work, tmp_path):
     assert again.where("model = 'demo'").count() == len(first) and again.where("model = 'stray'").count() == len(first)
 
 
+def test_rows_are_not_shuffled_by_submission(spark, work, monkeypatch):
+    """The submissions come from a table of unknown, seemingly large size: its few rows are still known as few to the join."""
+    truth, rows = work
+    docs = table(spark, document("demo"))
+    one = spark.range(100_000_000).select((F.col("id") % 2).alias("odd")).distinct().where("odd = 0")
+    pending = rg.pending(docs).withColumnRenamed("model_id", "model").crossJoin(one)
+    seen, plain = [], inc.metrics_and_coverage
+    monkeypatch.setattr(inc, "metrics_and_coverage", lambda joined, **options: seen.append(joined) or plain(joined, **options))
+    inc.score_submissions(pending, rows, truth, inc.listed_files(docs))
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [model" in plan and "hashpartitioning(model" not in plan
+
+
 def test_submission_lacking_a_listed_file_is_not_scored(spark, work, tmp_path):
     truth, rows = work
     store = inc.Store(str(tmp_path / "store"))
