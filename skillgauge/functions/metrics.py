@@ -2,8 +2,8 @@
 
 Every builder takes ``(yt, yp)`` and returns one aggregate Column, so any number of metrics is
 computed in a single partial + final aggregation and a hot group is combined before it is
-shuffled. Missing pairs drop out through NULL semantics. Zero spread is read from the exact
-zero of the running variance, so a constant series gives NULL and never divides by zero.
+shuffled. Missing pairs drop out through NULL semantics. A spread that is zero but for rounding
+(``ZERO_SPREAD``) is zero, so a constant series gives NULL also when its values are sums or means.
 """
 
 from __future__ import annotations
@@ -64,16 +64,25 @@ def relative_bias(yt: Column, yp: Column) -> Column:
     return _relative(F.avg(-(pred - obs)), obs)
 
 
+# Equal values that were added up in different orders differ by a few 1e-16 of their size.
+ZERO_SPREAD = 1e-12
+
+
+def _variance(col: Column) -> Column:
+    """The variance of a column, NULL where it does not vary."""
+    return F.when(F.sqrt(F.var_pop(col)) > F.lit(ZERO_SPREAD) * F.avg(F.abs(col)), F.var_pop(col))
+
+
 def nse(yt: Column, yp: Column) -> Column:
     """One minus residual over total variance; NULL when the observations do not vary."""
     obs, pred = finite_pair(yt, yp)
-    return 1 - ratio(F.avg((pred - obs) * (pred - obs)), F.var_pop(obs))
+    return 1 - ratio(F.avg((pred - obs) * (pred - obs)), _variance(obs))
 
 
 def r2_score(yt: Column, yp: Column) -> Column:
     """Squared Pearson correlation; NULL when either side does not vary."""
     obs, pred = finite_pair(yt, yp)
-    r = ratio(F.covar_pop(obs, pred), F.stddev_pop(obs) * F.stddev_pop(pred))
+    r = ratio(F.covar_pop(obs, pred), F.sqrt(_variance(obs)) * F.sqrt(_variance(pred)))
     return r * r
 
 

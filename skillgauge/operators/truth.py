@@ -133,6 +133,10 @@ def coverage(joined: DataFrame) -> DataFrame:
 def score_against_truth(predictions: DataFrame, truth: DataFrame, require_full_coverage: bool = True, **options) -> DataFrame:
     """Metrics of every experiment on canonical truth; experiments with uncovered rows are left out."""
     from skillgauge.operators.scoring import metrics_and_coverage
+    from skillgauge.sources.stores import stage
 
     metrics, found = metrics_and_coverage(join_truth(predictions, truth), **options)
-    return metrics.join(found.where("covered").select(*EXPERIMENT), EXPERIMENT, "left_semi") if require_full_coverage else metrics
+    if not require_full_coverage:
+        return metrics
+    covered = stage(found.where("covered").select(*EXPERIMENT), "covered")  # of known size: the metrics are not shuffled by experiment
+    return metrics.join(covered, EXPERIMENT, "left_semi")

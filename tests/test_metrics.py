@@ -65,3 +65,14 @@ def test_custom_metric_and_sizes(spark):
     rows = [("a", "a", datetime(2020, 1, 1), 1, 2), ("b", "b", datetime(2020, 1, 1), 1, 2), ("b", "b", datetime(2020, 1, 2), 1, 2)]
     s = sample_sizes(compute_metrics(series(spark, rows), scales=["hourly"])).collect()[0]
     assert (s.groups, s.min_samples, s.mean_samples, s.max_samples) == (2, 1, 1.5, 2)
+
+
+def test_spread_of_rounding_is_none(spark):
+    """Means that are equal but for the order in which they were added up: the series does not vary."""
+    level = [0.1 + 0.2, 0.3, 0.3]
+    m = score(spark, list(zip([1, 2, 4], level)))
+    assert m.r2_score is None and m.nse is not None
+    m = score(spark, list(zip(level, [1, 2, 4])))
+    assert m.r2_score is None and m.nse is None
+    m = score(spark, [(1e6 + 1e-5, 1), (1e6, 2), (1e6, 4)])  # small, but a spread
+    assert m.nse is not None and 0 < m.r2_score <= 1
