@@ -211,7 +211,8 @@ def index_examples(rows: DataFrame, truth: DataFrame, sites: DataFrame, profile:
     near = submitted.join(at, (submitted["setting"] == at["setting"]) & (submitted["target"] == at["target"]) & (submitted["model"] == at["m"])
                           & (submitted["val_strategy"] == at["v"]) & submitted["site_id"].eqNullSafe(at["s"]))
     near = near.select(*[submitted[c] for c in (*place, "time")], "side")
-    extra = near.where("side = 'extra'").select(*place, "time").join(truth.select(*TRUTH_KEYS), TRUTH_KEYS, "left_anti").distinct()
+    there = truth.select(*TRUTH_KEYS).join(wanted.where("side = 'extra'"), ["setting", "target", "site_id"], "left_semi")
+    extra = near.where("side = 'extra'").select(*place, "time").join(there, TRUTH_KEYS, "left_anti").distinct()
     required = truth.select(*TRUTH_KEYS).join(wanted.where("side = 'missing'").drop("side"), ["setting", "target", "site_id"])
     missing = required.join(near.where("side = 'missing'").select(*place, "time"), [*EXPERIMENT, *keys], "left_anti").select(*place, "time")
     sides = extra.withColumn("side", F.lit("extra")).unionByName(missing.withColumn("side", F.lit("missing")))

@@ -38,6 +38,14 @@ def test_first_examples_come_from_the_first_sites(spark):
     }
 
 
+def test_truth_of_other_sites_is_left_out(spark):
+    truth = spark.createDataFrame([("TA40", "ET", "a", START, 1.0)], TRUTH_SCHEMA)
+    rows = spark.createDataFrame([("TA40", "ET", "m", "mean", s, START, 1.0, 1.0) for s in ("a", "b")], ROWS)
+    sites = v.site_profile(rows, truth)
+    found = v.index_examples(rows, truth, sites, v.file_profile(sites, truth))
+    assert "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def document(model, **changes):
     files = [{"filename": f"{s}_{t}_{model}_val_mean_predictions.csv", "setting": s, "target": t, "r2_key": f"in/{model}/{s}{t}"} for s in SETTINGS for t in TARGETS]
     doc = dict.fromkeys(registry.TOP_FIELDS) | {"model_id": model, "val_strategy": "mean", "status": "pending", "is_baseline": False, "owner": model, "files": files} | changes
