@@ -5,6 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -69,13 +70,15 @@ PERIOD_OF: dict[str, tuple[Callable[[], Column], bool]] = {
 }
 
 
-def standard_series(frames: SeriesFrames, scales: Sequence[str]) -> DataFrame:
-    """``(keys, scale, env, y_true, y_pred)`` of the standard scales with count thresholds.
+def standard_series(frames: SeriesFrames, scales: Sequence[str]) -> list[tuple[DataFrame, list[str]]]:
+    """``(keys, scale, env, y_true, y_pred)`` of the standard scales with count thresholds, in parts, each with the columns
+    besides keys, scale and unit by which its rows are spread.
 
     The same results as the single scale operators with fewer passes: both reporting units travel
     through one daily frame (the unit kind is one more experiment key), the day-level scales are
     one projection of it, and all period-level scales are one group. Everything after the daily
-    frame stays in its partitions.
+    frame stays in its partitions, the metrics too: a scale has one kind and a unit one slot, so groups that name these as
+    well are the same, and need no shuffle.
     """
     keys, limits = [*frames.keys, "kind"], frames.thresholds
     kinds = sorted({UNIT_OF[s] for s in scales if s in UNIT_OF})
@@ -88,7 +91,7 @@ def standard_series(frames: SeriesFrames, scales: Sequence[str]) -> DataFrame:
         totals = frames.totals.withColumn("u", by_unit).select("*", "u.kind", "u.unit").drop("u", "env", "site_id")
         daily = ts.daily_frame(totals, keys, "unit", limits.hour_to_day, complete=False)
         complete = F.col("state") != ts.NULL_PREDICTION
-    out = [*frames.keys, "scale", F.col("unit").alias("env"), "y_true", "y_pred"]
+    out = [*keys, "slot", "scale", F.col("unit").alias("env"), "y_true", "y_pred"]
 
     points = [s for s in ("daily", "anom") if s in scales]
     if points:
@@ -105,7 +108,7 @@ def standard_series(frames: SeriesFrames, scales: Sequence[str]) -> DataFrame:
             usual = {c: F.avg(F.when(valid, F.col(c))).over(same_day) for c in ("y_true", "y_pred")}
             enough = F.count_if(valid).over(same_day) >= F.lit(limits.anom)
             days = days.select(
-                *keys, "unit",
+                *keys, "slot", "unit",
                 F.when(is_daily, F.col("y_true")).otherwise(F.col("y_true") - F.when(enough, usual["y_true"])).alias("y_true"),
                 F.when(is_daily, F.col("y_pred")).otherwise(F.col("y_pred") - usual["y_pred"]).alias("y_pred"),
             )
@@ -136,7 +139,7 @@ def standard_series(frames: SeriesFrames, scales: Sequence[str]) -> DataFrame:
         )
         if {"iav", "spatial"} & set(grouped):
             means = means.select(
-                *keys, "unit", "scale", "y_true", "y_pred",
+                *keys, "slot", "unit", "scale", "y_true", "y_pred",
                 F.avg("y_true").over(years).alias("mean_true"), F.avg("y_pred").over(years).alias("mean_pred"),
                 F.row_number().over(years.orderBy("period")).alias("place"),
             ).where((F.col("scale") != "spatial") | (F.col("place") == 1))
@@ -145,10 +148,7 @@ def standard_series(frames: SeriesFrames, scales: Sequence[str]) -> DataFrame:
                                          .when(F.col("scale") == "spatial", F.col(m)).otherwise(F.col(c)))
         parts.append(means.select(*out))
 
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part)
-    return stacked
+    return [(part, [c for c in ("kind", "slot") if c in part.columns]) for part in parts]
 
 
 def metrics_by_unit(
@@ -173,18 +173,18 @@ def compute_metrics(
     """Metrics of all experiments at all scales in one plan.
 
     ``predictions`` is a cleaned table (see ``clean_predictions``) that already carries the truth
-    to score against. Each scale is reduced to metric buffers inside its own partitions before
-    the closing shuffle, which therefore moves one row per (experiment, scale, unit). ``totals`` are the
+    to score against. Standard scales are reduced to metrics inside their own partitions; hourly rows and other scales are
+    reduced to metric buffers before a closing shuffle. ``totals`` are the
     day totals of the predictions where these are known already.
     """
     registry = registry or DEFAULT_SCALES
     names = list(scales or (SCALES if registry is DEFAULT_SCALES else registry))
     frames = SeriesFrames(predictions, list(keys), thresholds or ts.Thresholds(), totals)
-    stacked = None
+    stacked, scored = None, []
     limits = frames.thresholds
     counts_only = min(limits.weekly, limits.monthly, limits.seasonal, limits.anom, limits.iav, limits.spatial) >= 1
     if registry is DEFAULT_SCALES and counts_only and all(n in registry for n in names):
-        stacked = standard_series(frames, names)
+        scored = [metrics_by_unit(part, [*keys, *spread, "scale", "env"], metrics).drop(*spread) for part, spread in standard_series(frames, names)]
         names = []
     for name in names:
         if name not in registry:
@@ -194,9 +194,11 @@ def compute_metrics(
             *keys, F.lit(name).alias("scale"), F.col("unit").alias("env"), "y_true", "y_pred"
         )
         stacked = part if stacked is None else stacked.unionByName(part)
-    if stacked is None:
+    if stacked is not None:
+        scored.append(metrics_by_unit(stacked, [*keys, "scale", "env"], metrics))
+    if not scored:
         raise ValueError("no known scale to compute")
-    scored = metrics_by_unit(stacked, [*keys, "scale", "env"], metrics)
+    scored = reduce(DataFrame.unionByName, scored)
     leading = [c for c in ["target", "setting", "model", "val_strategy"] if c in keys]
     leading += [c for c in keys if c not in leading] + ["scale", "env", "n_samples"]
     return scored.select(*leading, *[c for c in scored.columns if c not in leading])
@@ -205,28 +207,43 @@ def compute_metrics(
 def metrics_and_coverage(
     joined: DataFrame, scales: Sequence[str] | None = None, metrics: dict[str, Metric] | None = None,
     thresholds: ts.Thresholds | None = None, registry: dict[str, Scale] | None = None, by_day: bool = False,
+    chosen: Callable[[DataFrame], DataFrame] | None = None, store_totals: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """``(metrics, coverage)`` of rows joined with the truth. The join is evaluated once and stored, and serves all
-    scales and the coverage.
+    scales and the coverage. Rows are stored site by site, so that tasks which read them have few groups each, and day totals are
+    stored as well: what the shuffles of both take goes before the next one begins.
 
     With ``by_day``, what is stored are site-days with their error moments (``moments``) instead of rows: for series with
     many rows a day, built-in scales and metrics, and thresholds by count. Otherwise it is without effect.
+
+    ``chosen`` gives from the coverage a small table of the experiments (or of some of their keys) whose metrics are wanted; those of
+    others are not computed. Without ``store_totals`` nothing but the rows is stored before the metrics are read.
     """
-    from skillgauge.operators.truth import coverage
+    from skillgauge.operators.truth import COMBO, coverage
     from skillgauge.sources.stores import stage
 
     limits, own = thresholds or ts.Thresholds(), metrics or DEFAULT_METRICS
     names = list(scales or SCALES)
     by_count = min(limits.hour_to_day, limits.weekly, limits.monthly, limits.seasonal, limits.anom, limits.iav, limits.spatial) >= 1
+
+    def only(table: DataFrame, found: DataFrame) -> DataFrame:
+        return table if chosen is None else table.join(keys := chosen(found), keys.columns, "left_semi")
+
     if not by_day or registry is not None or not by_count or any(DEFAULT_METRICS.get(m) is not f for m, f in own.items()) or not set(names) <= set(SCALES):
-        rows = stage(joined, "scored-rows")
-        return compute_metrics(rows, scales, metrics, thresholds, registry=registry), coverage(rows)
-    days = stage(moments.site_days(joined), "site-days")
+        rows = stage(joined.hint("rebalance", *[F.col(c) for c in (*COMBO, "site_id")]), "scored-rows")
+        found = coverage(rows)
+        rows, totals = only(rows, found), None
+        if store_totals and (registry is not None or set(names) - {"hourly"}):
+            totals = ts.day_totals(rows, by_share=limits.hour_to_day < 1)
+            totals = stage(totals.sortWithinPartitions(*EXPERIMENT, "site_id", "env", "day"), "day-totals")  # like rows together take less room
+        return compute_metrics(rows, scales, metrics, thresholds, registry=registry, totals=totals), found
+    every = stage(moments.site_days(joined), "site-days")
+    found = moments.coverage_of(every)
+    days = only(every, found)
     parts = [moments.hourly_metrics(days, EXPERIMENT, list(own))] if "hourly" in names else []
     if rest := [s for s in names if s != "hourly"]:
         parts.append(compute_metrics(joined, rest, metrics, thresholds, totals=days))
-    found = parts[-1] if len(parts) == 1 else parts[1].unionByName(parts[0])
-    return found, moments.coverage_of(days)
+    return parts[-1] if len(parts) == 1 else parts[1].unionByName(parts[0]), found
 
 
 def sample_sizes(metrics: DataFrame, keys: Sequence[str] = EXPERIMENT) -> DataFrame:

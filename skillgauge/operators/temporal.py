@@ -218,6 +218,7 @@ def daily_frame(
     return (
         days.join(state, [*keys, "slot"])
         .where(~daily_input | (F.col("n_valid") > 0))
+        .where(F.col("n_rows") > 0)  # always; the state reads it too, and so both sides share one shuffle
         .where(F.col("state").isin(wanted))
         .select(
             *keys, "slot", "unit", "day",

@@ -135,8 +135,9 @@ def score_against_truth(predictions: DataFrame, truth: DataFrame, require_full_c
     from skillgauge.operators.scoring import metrics_and_coverage
     from skillgauge.sources.stores import stage
 
-    metrics, found = metrics_and_coverage(join_truth(predictions, truth), **options)
-    if not require_full_coverage:
-        return metrics
-    covered = stage(found.where("covered").select(*EXPERIMENT), "covered")  # of known size: the metrics are not shuffled by experiment
-    return metrics.join(covered, EXPERIMENT, "left_semi")
+    def covered(found: DataFrame) -> DataFrame:
+        return stage(found.where("covered").select(*EXPERIMENT), "covered")  # of known size: the rows are not shuffled by experiment
+
+    if require_full_coverage:
+        options["chosen"] = covered
+    return metrics_and_coverage(join_truth(predictions, truth), **options)[0]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -95,14 +97,30 @@ def load_all_metrics(
     return shown.where(F.col("scale").isin(list(scales))) if scales else shown
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Writes within it remove their shuffle files as soon as they are done. Otherwise these stay until the driver happens
+    to collect its garbage, which large data does not hasten."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a result to the shared folder and read it back.
 
-    Cuts the lineage where a costly result is used many times, and survives lost executors.
+    Cuts the lineage where a costly result is used many times, and survives lost executors. The shuffles it took are removed.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_released(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
