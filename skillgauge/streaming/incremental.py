@@ -76,18 +76,30 @@ def score_submissions(
     submissions: DataFrame, predictions: DataFrame, truth: DataFrame, files: DataFrame, **options
 ) -> tuple[DataFrame, DataFrame]:
     """``(metrics, status)`` of the listed submissions (model, val_strategy). ``files`` names the
-    (setting, target) each must cover.
+    (setting, target) each must cover. Metrics of those that fail are not computed.
 
     Submissions and their status, one row each, are staged: their true size is known to the joins, which then need not
     shuffle the rows by the few submissions there are."""
     submissions = stores.stage(submissions.select(*SUBMISSION_KEYS).distinct(), "submissions")
     wanted = predictions.join(submissions, SUBMISSION_KEYS, "left_semi")
-    metrics, covered = metrics_and_coverage(join_truth(wanted, truth), **options)
+    judged = []
+
+    def good(covered: DataFrame) -> DataFrame:
+        status = stores.stage(_status(submissions, covered, files), "status")
+        judged.append(status)
+        return status.where(F.col("status") == SCORED).select(*SUBMISSION_KEYS)
+
+    metrics, _ = metrics_and_coverage(join_truth(wanted, truth), chosen=good, **options)
+    return metrics, judged[0]
+
+
+def _status(submissions: DataFrame, covered: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows, uncovered rows and absent files of each submission, and whether it can be scored."""
     found = covered.groupBy(*SUBMISSION_KEYS).agg(F.sum("rows").alias("rows"), F.sum("unmatched").alias("unmatched"))
     lacking = files.join(covered.select(*FILES_SCHEMA.names), FILES_SCHEMA.names, "left_anti").groupBy(*SUBMISSION_KEYS).agg(
         F.count(F.lit(1)).alias("absent"))
     counts = ["rows", "unmatched", "absent"]
-    status = (
+    return (
         submissions.join(found, SUBMISSION_KEYS, "left").join(lacking, SUBMISSION_KEYS, "left")
         .na.fill(0, counts)
         .select(
@@ -96,9 +108,6 @@ def score_submissions(
             *SUBMISSION_KEYS,
         )
     )
-    status = stores.stage(status, "status")
-    good = status.where(F.col("status") == SCORED).select(*SUBMISSION_KEYS)
-    return metrics.join(good, SUBMISSION_KEYS, "left_semi"), status
 
 
 def score_into(
@@ -111,7 +120,7 @@ def score_into(
     if todo.isEmpty():
         return
     metrics, status = score_submissions(todo, predictions, truth, files, **options)
-    stores.write_metrics(metrics, store.metrics)
+    stores.write_metrics(stores.stage(metrics, "metrics"), store.metrics)  # without what computing them takes
     stores._replace_partitions(status, store.status, SUBMISSION_KEYS)
 
 
