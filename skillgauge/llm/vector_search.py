@@ -277,7 +277,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
 
     def look(asked: DataFrame, later: bool) -> DataFrame:
         packs = asked.mapInArrow(_visits(shared, k, later), packed).select("ring", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"))
-        return packs.join(blocks, "ring").select("q_ids", "q_rows", "ids", "rows").mapInArrow(_score(shared, k), "query_id long, vec_id long, score long")
+        # A pack holds vectors for each of its rings, far more than the queries' file tells: broadcast, all would pass through the driver.
+        return blocks.join(packs.hint("merge"), "ring").select("q_ids", "q_rows", "ids", "rows").mapInArrow(_score(shared, k), "query_id long, vec_id long, score long")
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = lambda found: found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
