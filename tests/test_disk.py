@@ -1,5 +1,6 @@
 """What scoring leaves on disk, and what it does not compute."""
 
+import os
 import re
 import time
 
@@ -36,6 +37,20 @@ def test_a_stage_leaves_no_shuffle_files(spark):
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
 
 
+def test_a_pipeline_leaves_only_the_rows_of_its_stages(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    docs = tmp_path / "documents.parquet"
+    spark.range(50).withColumn("doc_id", F.col("id") % 7).write.parquet(str(docs))
+    counted = lambda _, df, sf: stage(stage(df, "kept").groupBy("doc_id").count().select("doc_id"), "counted")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", counted), ("two", counted)])
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 7
+    new = set(os.listdir(shared)) - before
+    assert len(new) == 1 and sorted(os.listdir(f"{shared}/{new.pop()}")) == ["0-one", "1-two"]
+
+
 def test_metrics_of_units_need_no_shuffle_of_their_own(spark):
     found, _ = scoring.metrics_and_coverage(two_models(spark), thresholds=LIMITS)
     plan = found._jdf.queryExecution().executedPlan().toString()
